@@ -1,0 +1,3 @@
+"""Imports every module that registers queries."""
+
+from clickmart.plans import registry  # noqa: F401
