@@ -13,8 +13,6 @@ from pyspark.sql import types as T
 
 ColumnOrName = Column | str
 
-_EPOCH_NTZ = F.lit("1970-01-01 00:00:00").cast("timestamp_ntz")
-
 
 def _c(c: ColumnOrName) -> Column:
     return F.col(c) if isinstance(c, str) else c
@@ -44,9 +42,9 @@ def mean2(total: ColumnOrName, n: ColumnOrName) -> Column:
     return F.when(n > 0, idiv(total * 200 + n, n * 2).cast("double") / F.lit(100.0))
 
 
-def micros_between(start: ColumnOrName, end: ColumnOrName) -> Column:
-    """Exact microseconds from ``start`` to ``end`` (BIGINT)."""
-    return F.timestamp_diff("MICROSECOND", _c(start), _c(end))
+def micros_between(start: ColumnOrName, end: ColumnOrName, dtype: T.DataType | None = None) -> Column:
+    """Exact microseconds from ``start`` to ``end`` (BIGINT); see :func:`epoch_micros`."""
+    return epoch_micros(end, dtype) - epoch_micros(start, dtype)
 
 
 def floor_seconds(total_micros: ColumnOrName, n: ColumnOrName) -> Column:
@@ -55,15 +53,24 @@ def floor_seconds(total_micros: ColumnOrName, n: ColumnOrName) -> Column:
     return F.when(n > 0, idiv(total_micros, n * 1_000_000))
 
 
-def epoch_micros(ts: ColumnOrName, dtype: T.DataType) -> Column:
-    """Microseconds since 1970-01-01 of a TIMESTAMP or TIMESTAMP_NTZ column.
+def epoch_micros(ts: ColumnOrName, dtype: T.DataType | None = None) -> Column:
+    """Microseconds since 1970-01-01 00:00 of a timestamp (BIGINT).
 
-    NTZ values are measured on the wall clock, zoned values on the instant;
-    neither depends on the session time zone's daylight rules.
+    Zoned TIMESTAMP columns (``dtype`` given) are measured on the instant.
+    Otherwise the value is read on the wall clock from its date and time
+    fields, which for TIMESTAMP_NTZ involves no time zone at all --
+    ``timestamp_diff`` and ``unix_micros`` would first cast an NTZ value
+    through the session zone and shift differences across DST changes.
     """
-    if isinstance(dtype, T.TimestampNTZType):
-        return micros_between(_EPOCH_NTZ, ts)
-    return F.unix_micros(_c(ts))
+    if isinstance(dtype, T.TimestampType):
+        return F.unix_micros(_c(ts))
+    c = _c(ts)
+    return (
+        F.unix_date(F.to_date(c)).cast("bigint") * 86_400_000_000
+        + F.hour(c).cast("bigint") * 3_600_000_000
+        + F.minute(c).cast("bigint") * 60_000_000
+        + (F.extract(F.lit("SECOND"), c) * 1_000_000).cast("bigint")
+    )
 
 
 def ts_type(df: DataFrame, name: str) -> T.DataType:

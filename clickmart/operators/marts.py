@@ -45,14 +45,25 @@ def bounce_rate(ev: DataFrame) -> DataFrame:
 
 def realtime_metrics(ev: DataFrame, metric_ts: Column | None = None) -> DataFrame:
     """One metrics row per batch, with bounce rate (D2) and mean session
-    duration (M1) from the same pre-aggregation.
+    duration (M1) in the same plan.
 
     ``metric_ts`` is an expression over ``batch_id`` (default: the local
-    clock, one value per query).  Events are first reduced to one row per
-    (batch, session, user); the batch totals, the two distinct counts and
-    the per-session figures all come from that much smaller set.
+    clock, one value per query).
+
+    Plan: one ``GROUPING SETS ((batch, session), (batch, user))`` pass turns
+    the events into one row per session and one row per user of each batch
+    (map-side partial aggregation, so a hot batch, session or user collapses
+    before the shuffle); a second, tiny aggregation per batch reads the
+    session rows for the counters, the bounce rate and the durations, and
+    counts the user rows for the distinct users.  The input is read once,
+    with no self-join and no driver round trip.
     """
-    l1 = ev.groupBy("batch_id", "session_id", "user_id").agg(
+    session_level = F.col("_gid") == 1  # user_id rolled up
+    user_level = F.col("_gid") == 2     # session_id rolled up
+    parts = ev.groupingSets(
+        [["batch_id", "session_id"], ["batch_id", "user_id"]], "batch_id", "session_id", "user_id"
+    ).agg(
+        F.grouping_id("batch_id", "session_id", "user_id").alias("_gid"),
         F.count(F.lit(1)).alias("_n"),
         F.count_if(_is(PAGE_VIEW)).alias("_pv"),
         F.count_if(_is(PURCHASE)).alias("_p"),
@@ -60,26 +71,25 @@ def realtime_metrics(ev: DataFrame, metric_ts: Column | None = None) -> DataFram
         F.min("timestamp").alias("_tmin"),
         F.max("timestamp").alias("_tmax"),
     )
-    totals = l1.groupBy("batch_id").agg(
-        F.sum("_n").alias("total_events"),
-        F.count_distinct("user_id").alias("unique_users"),
-        F.count_distinct("session_id").alias("unique_sessions"),
-        F.sum("_pv").alias("page_views"),
-        F.sum("_p").alias("purchases"),
-        F.sum("_atc").alias("cart_additions"),
-    )
-    sessions = l1.groupBy("batch_id", "session_id").agg(
-        F.sum("_n").alias("_n"), F.min("_tmin").alias("_tmin"), F.max("_tmax").alias("_tmax")
-    )
-    timed = F.col("session_id").isNotNull() & F.col("_tmin").isNotNull()
-    per_batch = sessions.groupBy("batch_id").agg(
-        F.count(F.lit(1)).alias("_groups"),
-        F.count_if(F.col("_n") == 1).alias("_bounced"),
+    timed = session_level & F.col("session_id").isNotNull() & F.col("_tmin").isNotNull()
+
+    def s_sum(c: str) -> Column:
+        return F.coalesce(F.sum(F.when(session_level, F.col(c))), F.lit(0)).cast("bigint")
+
+    per_batch = parts.groupBy("batch_id").agg(
+        s_sum("_n").alias("total_events"),
+        F.count_if(user_level).alias("unique_users"),
+        F.count_if(session_level & F.col("session_id").isNotNull()).alias("unique_sessions"),
+        s_sum("_pv").alias("page_views"),
+        s_sum("_p").alias("purchases"),
+        s_sum("_atc").alias("cart_additions"),
+        F.count_if(session_level).alias("_groups"),
+        F.count_if(session_level & (F.col("_n") == 1)).alias("_bounced"),
         F.count_if(timed).alias("_timed"),
         F.sum(F.when(timed, micros_between("_tmin", "_tmax"))).alias("_span"),
     )
     ts = metric_ts if metric_ts is not None else F.localtimestamp()
-    return totals.join(per_batch, "batch_id", "inner").select(
+    return per_batch.select(
         "batch_id",
         ts.cast("timestamp_ntz").alias("metric_timestamp"),
         "total_events", "unique_users", "unique_sessions", "page_views", "purchases", "cart_additions",

@@ -6,10 +6,11 @@ Scale notes
 -----------
 A window partitioned by a bare user or session id puts the whole history of
 that key into one task; one robot user or one endless session can hold a
-third of all rows.  Every "previous / next event of the same key" below is
-therefore computed on *time-bucketed* partitions ``(key, bucket)`` and the
-seams between buckets are patched from a per-bucket summary, which has at
-most one row per (key, non-empty bucket) and is tiny next to the events.
+third of all rows.  No window here is partitioned by a bare key: every
+"previous / next event of the same key" is computed on *time-bucketed*
+groups ``(key, bucket)`` and the seams between buckets are patched from a
+per-bucket summary, which has one row per (key, non-empty bucket) and is
+tiny next to the events.
 Everything else is a plain multi-level ``groupBy`` (map-side partial
 aggregation, so hot keys collapse before the shuffle).
 """
@@ -78,30 +79,32 @@ def sessionize(
     A new session starts at a user's first event and whenever the time since
     the user's previous event is *more* than ``gap_seconds``; a gap of exactly
     the threshold stays in the session (as Spark's ``session_window`` merges
-    touching windows).  Rows without a user or a time are left out.  Rows
-    with equal times always get the same number.
+    touching windows).  Rows without a user or a time are left out.
+
+    Plan: time buckets are made no wider than the gap, so two events of one
+    bucket are always closer than the gap and a session can only start at
+    the first event of a bucket.  The rows are therefore never sorted: a
+    ``groupBy(user, bucket)`` gives each bucket's first and last time, a
+    window over those summary rows (one per user and non-empty bucket)
+    numbers the sessions, and an equi-join on (user, bucket) hands the
+    number back to the rows.  A hot user is spread over all its buckets.
     """
-    gap = F.lit(int(gap_seconds) * 1_000_000)
-    d = _with_bucket(df.filter(F.col(user).isNotNull() & F.col(ts).isNotNull()), ts, bucket_micros)
-    inside = Window.partitionBy(user, _B).orderBy(ts)
-    d = d.withColumn("_prev", F.lag(ts).over(inside))
-    d = d.withColumn("_lb", F.when(micros_between("_prev", ts) > gap, 1).otherwise(0))
-    d = d.withColumn("_run", F.sum("_lb").over(inside.rowsBetween(Window.unboundedPreceding, Window.currentRow)))
-
+    gap_us = int(gap_seconds) * 1_000_000
+    if gap_us <= 0:
+        raise ValueError("gap_seconds must be positive")
+    width = max(1, min(int(bucket_micros), gap_us))
+    d = _with_bucket(df.filter(F.col(user).isNotNull() & F.col(ts).isNotNull()), ts, width)
     by_bucket = Window.partitionBy(user).orderBy(_B)
-    seams = d.groupBy(user, _B).agg(F.min(ts).alias("_bmin"), F.max(ts).alias("_bmax"), F.sum("_lb").alias("_lbs"))
-    prev_max = F.lag("_bmax").over(by_bucket)
-    seams = seams.withColumn("_fb", F.when(prev_max.isNull() | (micros_between(prev_max, "_bmin") > gap), 1).otherwise(0))
-    seams = seams.withColumn(
-        "_off",
-        F.coalesce(F.sum(F.col("_fb") + F.col("_lbs")).over(by_bucket.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)),
-    ).select(user, _B, "_fb", "_off")
-
-    return (
-        d.join(seams, [user, _B], "inner")
-        .withColumn(out, (F.col("_off") + F.col("_fb") + F.col("_run")).cast("bigint"))
-        .drop("_prev", "_lb", "_run", "_fb", "_off", _B)
+    prev_last = F.lag("_bmax").over(by_bucket)
+    gap_after = micros_between(prev_last, "_bmin", df.schema[ts].dataType) > F.lit(gap_us)
+    starts = F.when(prev_last.isNull() | gap_after, 1).otherwise(0)
+    seams = (
+        d.groupBy(user, _B).agg(F.min(ts).alias("_bmin"), F.max(ts).alias("_bmax"))
+        .withColumn("_st", starts)
+        .select(user, _B, F.sum("_st").over(by_bucket.rowsBetween(Window.unboundedPreceding, Window.currentRow))
+                .cast("bigint").alias(out))
     )
+    return d.join(seams, [user, _B], "inner").drop(_B)
 
 
 def derived_sessions(ev: DataFrame, gap_seconds: int = 86400, user: str = "user_id", ts: str = "timestamp") -> DataFrame:

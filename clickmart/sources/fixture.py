@@ -44,8 +44,13 @@ ALERT_HOLD = 2
 # ---------------------------------------------------------------------------
 
 
+# Schema of the driver's ``events`` table; given explicitly so no job is run
+# to infer it from file footers.
+EVENTS_SCHEMA = "event_id BIGINT, ts TIMESTAMP_NTZ, user_id BIGINT, event_type STRING, value DOUBLE, props STRING"
+
+
 def driver_events(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/events.parquet")
+    return spark.read.schema(EVENTS_SCHEMA).parquet(f"{sf_dir}/events.parquet")
 
 
 def _every(n: int) -> F.Column:
