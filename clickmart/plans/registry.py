@@ -6,12 +6,14 @@ adapter) and builds one lazy Spark plan; nothing is collected.
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Mapping
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from clickmart.operators import marts
+from clickmart.operators import marts, sessions, windows
+from clickmart.plans import panels as P
+from clickmart.sinks.publish import publish_events
 from clickmart.sources import decode, fixture as fx
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -37,8 +39,36 @@ def events(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fx.clicks(spark, sf_dir)
 
 
-def tables(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
-    return marts.build_marts(events(spark, sf_dir), metric_ts=fx.metric_ts())
+class LazyTables(Mapping):
+    """The five stored tables derived from the fixture, each built on first use
+    (so a query only plans the tables it reads)."""
+
+    _BUILDERS = {
+        "clickstream_events": lambda ev: marts.raw_events(ev, with_created_at=False),
+        "realtime_metrics": lambda ev: marts.realtime_metrics(ev, metric_ts=fx.metric_ts()),
+        "page_metrics": marts.page_metrics,
+        "user_behavior": marts.user_behavior,
+        "device_analytics": marts.device_analytics,
+    }
+
+    def __init__(self, spark: SparkSession, sf_dir: str):
+        self._ev = events(spark, sf_dir)
+        self._built: dict[str, DataFrame] = {}
+
+    def __getitem__(self, name: str) -> DataFrame:
+        if name not in self._built:
+            self._built[name] = self._BUILDERS[name](self._ev)
+        return self._built[name]
+
+    def __iter__(self):
+        return iter(self._BUILDERS)
+
+    def __len__(self) -> int:
+        return len(self._BUILDERS)
+
+
+def tables(spark: SparkSession, sf_dir: str) -> Mapping[str, DataFrame]:
+    return LazyTables(spark, sf_dir)
 
 
 # --- A: decoding -------------------------------------------------------------
@@ -106,4 +136,123 @@ def q_rollup_dimensions(spark, sf_dir):
     return marts.rollup_dimensions(events(spark, sf_dir))
 
 
-__all__ = ["queries", "register", "events", "tables", "F"]
+# --- J: dashboard panels -----------------------------------------------------
+
+RNG = (fx.TIME_FROM, fx.TIME_TO)
+
+_PANELS: dict[str, Callable] = {
+    "event_stream_series": lambda T: P.event_stream_series(T, RNG),
+    "event_stream_series_plain": lambda T: P.event_stream_series(T, RNG, labelled=False),
+    "active_users_latest": P.active_users_latest,
+    "conversion_rate_latest": P.conversion_rate_latest,
+    "conversion_rate_latest_nullable": lambda T: P.conversion_rate_latest(T, null_if_no_views=True),
+    "top_pages": P.top_pages,
+    "top_pages_visitor_ratio": P.top_pages_visitor_ratio,
+    "events_by_type_last_hour": lambda T: P.events_by_type_last_hour(T, fx.NOW),
+    "device_distribution": P.device_distribution,
+    "device_distribution_rows": P.device_distribution_rows,
+    "hourly_activity": lambda T: P.hourly_activity(T, RNG),
+    "recent_session_metrics": P.recent_session_metrics,
+    "session_metrics": P.session_metrics,
+    "bounce_rate_trend": lambda T: P.bounce_rate_trend(T, RNG),
+    "region_distribution": P.region_distribution,
+    "engagement_funnel_distinct": P.engagement_funnel_distinct,
+    "conversion_funnel": P.conversion_funnel,
+    "top_users_by_page_views": P.top_users_by_page_views,
+    "retention_cohort_daily": P.retention_cohort_daily,
+    "retention_cohort": P.retention_cohort,
+    "total_users": P.total_users,
+    "avg_sessions_per_user": P.avg_sessions_per_user,
+    "purchase_conversion": P.purchase_conversion,
+    "top_active_users": P.top_active_users,
+    "user_activity_distribution": P.user_activity_distribution,
+    "user_activity_histogram": P.user_activity_histogram,
+    "device_by_segment": P.device_by_segment,
+    "active_users_by_hour": lambda T: P.active_users_by_hour(T, RNG),
+    "recent_activity": P.recent_activity,
+    "event_count_check": P.event_count_check,
+    "recent_metrics_check": P.recent_metrics_check,
+    "time_range_events": lambda T: P.time_range_events(T, RNG),
+}
+
+
+def _panel_query(panel: Callable) -> Query:
+    return lambda spark, sf_dir: panel(tables(spark, sf_dir))
+
+
+for _name, _panel in _PANELS.items():
+    register(_name)(_panel_query(_panel))
+
+
+# --- K/M: sessions -------------------------------------------------------------
+
+@register("sessionize")
+def q_sessionize(spark, sf_dir):
+    return sessions.derived_sessions(events(spark, sf_dir), gap_seconds=fx.SESSION_GAP_SECONDS)
+
+
+@register("avg_session_duration")
+def q_avg_session_duration(spark, sf_dir):
+    return sessions.avg_session_duration(events(spark, sf_dir), by_batch=True)
+
+
+@register("avg_time_on_page")
+def q_avg_time_on_page(spark, sf_dir):
+    return sessions.avg_time_on_page(events(spark, sf_dir))
+
+
+@register("page_bounce_rate")
+def q_page_bounce_rate(spark, sf_dir):
+    return sessions.page_bounce_rate(events(spark, sf_dir))
+
+
+@register("page_conversion_rate")
+def q_page_conversion_rate(spark, sf_dir):
+    return sessions.page_conversion_rate(events(spark, sf_dir))
+
+
+@register("session_funnel")
+def q_session_funnel(spark, sf_dir):
+    return sessions.session_funnel(events(spark, sf_dir))
+
+
+# --- K/D/N: event-time windows ------------------------------------------------------
+
+@register("tumbling_event_counts")
+def q_tumbling_event_counts(spark, sf_dir):
+    return windows.tumbling_event_counts(events(spark, sf_dir), "5 minutes")
+
+
+@register("sliding_active_users")
+def q_sliding_active_users(spark, sf_dir):
+    return windows.sliding_active_users(events(spark, sf_dir), "1 hour", "10 minutes")
+
+
+@register("approx_uniques_windowed")
+def q_approx_uniques_windowed(spark, sf_dir):
+    return windows.approx_uniques_windowed(events(spark, sf_dir), "1 hour")
+
+
+@register("active_sessions")
+def q_active_sessions(spark, sf_dir):
+    return windows.active_sessions(events(spark, sf_dir), "30 minutes")
+
+
+@register("dedup_events")
+def q_dedup_events(spark, sf_dir):
+    return windows.dedup_events(fx.duplicated_clicks(spark, sf_dir)).select(*windows.DEDUP_KEYS)
+
+
+@register("error_rate_alert")
+def q_error_rate_alert(spark, sf_dir):
+    return windows.error_rate_alert(
+        fx.driver_events(spark, sf_dir), F.col("event_type") == fx.ALERT_EVENT_TYPE,
+        window_seconds=fx.ALERT_WINDOW_SECONDS, threshold_per_second=fx.ALERT_THRESHOLD, hold=fx.ALERT_HOLD, ts="ts",
+    )
+
+
+# --- B6: publishing ----------------------------------------------------------------
+
+@register("publish_events")
+def q_publish_events(spark, sf_dir):
+    return publish_events(events(spark, sf_dir))

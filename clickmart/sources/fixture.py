@@ -38,7 +38,7 @@ TIME_FROM = dt.datetime(2024, 1, 15, 0, 0, 0)             # dashboard range
 TIME_TO = dt.datetime(2024, 1, 31, 0, 0, 0)
 # N3 alert fixture: error predicate, window, threshold (per second), hold.
 ALERT_EVENT_TYPE = "error"
-ALERT_WINDOW = "6 hours"
+ALERT_WINDOW_SECONDS = 6 * 3600
 ALERT_THRESHOLD = 0.0009
 ALERT_HOLD = 2
 # ---------------------------------------------------------------------------
