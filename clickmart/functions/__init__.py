@@ -7,6 +7,7 @@ from clickmart.functions.scalars import (  # noqa: F401
     is_type,
     mean2,
     micros_between,
+    ntz_lit,
     parse_event_time,
     pct2,
     ts_type,

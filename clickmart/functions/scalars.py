@@ -73,6 +73,15 @@ def epoch_micros(ts: ColumnOrName, dtype: T.DataType | None = None) -> Column:
     )
 
 
+def ntz_lit(value) -> Column:
+    """A TIMESTAMP_NTZ literal of a naive ``datetime``, read from its text.
+
+    ``F.lit(datetime)`` makes a zoned literal in the Python process's zone,
+    which a later cast to NTZ shifts by the session zone; text has no zone.
+    """
+    return F.lit(value.isoformat(sep=" ")).cast("timestamp_ntz")
+
+
 def ts_type(df: DataFrame, name: str) -> T.DataType:
     return df.schema[name].dataType
 

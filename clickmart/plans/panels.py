@@ -19,7 +19,7 @@ from collections.abc import Mapping
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from clickmart.functions import day_bucket, hour_bucket, is_type, mean2, pct2
+from clickmart.functions import day_bucket, hour_bucket, is_type, mean2, ntz_lit, pct2
 from clickmart.schema import (
     FUNNEL_STAGES,
     LABEL_BOUNCE_RATE,
@@ -36,7 +36,7 @@ Range = tuple[dt.datetime, dt.datetime]
 
 
 def _ts(v: dt.datetime) -> Column:
-    return F.lit(v).cast("timestamp_ntz")
+    return ntz_lit(v)
 
 
 def _in_range(c: str, rng: Range) -> Column:
