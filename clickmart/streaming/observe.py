@@ -30,10 +30,12 @@ PROGRESS_SCHEMA = T.StructType([
 
 
 def _as_dict(progress) -> dict:
+    """A progress report as plain JSON data (PySpark's progress object is a
+    dict whose nested values are Rows; its ``json`` text is not)."""
+    if isinstance(getattr(progress, "json", None), str):
+        return json.loads(progress.json)
     if isinstance(progress, Mapping):
         return dict(progress)
-    if hasattr(progress, "json"):
-        return json.loads(progress.json)
     return json.loads(str(progress))
 
 
