@@ -61,7 +61,8 @@ def write_jdbc_idempotent(df: DataFrame, conf: JdbcConf, name: str, batch_id: in
     out = conform(out, table_schema or name)
     spark = df.sparkSession
     try:
-        _execute(spark, conf, f"DELETE FROM {name} WHERE batch_id = ?", (batch_id,))
+        # Spark's JDBC writer creates quoted lower-case column names.
+        _execute(spark, conf, f'DELETE FROM {name} WHERE "batch_id" = ?', (batch_id,))
     except Exception as e:  # first write: the table does not exist yet
         if "does not exist" not in str(e).lower() and "not found" not in str(e).lower():
             raise
