@@ -20,6 +20,10 @@ from pyspark.sql import types as T
 from clickmart.schema import REQUIRED_TABLES, TABLE_SCHEMAS, WRITE_TIME_COLUMN
 
 
+# Columns each table is sorted by inside its files.
+SORT_WITHIN_FILES = {"clickstream_events": ("timestamp",), "realtime_metrics": ("metric_timestamp",)}
+
+
 def checkpoint_root(spark: SparkSession) -> str:
     """The shared folder the cluster names in ``spark.checkpoint.dir``."""
     root = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir", None)
@@ -71,7 +75,13 @@ def write_batch_idempotent(df: DataFrame, root: str, name: str, batch_id: int |
     partitions.  ``batch_id`` (when given) is stamped on every row."""
     if batch_id is not None:
         df = df.withColumn("batch_id", F.lit(int(batch_id)).cast("bigint"))
-    (conform(df, name).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+    out = conform(df, name)
+    if name in SORT_WITHIN_FILES:
+        # Row groups then cover narrow time spans, so time-range filters skip
+        # most of them from Parquet min/max statistics (the stand-in for the
+        # timestamp index of the original tables).  A per-task sort, no shuffle.
+        out = out.sortWithinPartitions(*SORT_WITHIN_FILES[name])
+    (out.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
      .partitionBy("batch_id").parquet(table_path(root, name)))
 
 

@@ -114,11 +114,15 @@ class BatchProcessor:
         return report
 
     def _process(self, raw: DataFrame, batch_id: int) -> BatchReport:
-        if raw.isEmpty():
+        # One pass fills the persisted batch and answers "is it empty"; the
+        # decoded events are then materialised once, before the table writes
+        # run side by side over them.
+        if raw.count() == 0:
             log.info("empty batch %s", batch_id)
             return BatchReport(batch_id, empty=True)
         ev = self.events(raw, batch_id).persist(StorageLevel.MEMORY_AND_DISK)
         try:
+            ev.count()
             outputs = dict(build_marts(ev, metric_ts=ntz_lit(self.clock()), region_label=self.region_label))
             if self.quarantine:
                 outputs[QUARANTINE_TABLE] = quarantine_events(raw)
