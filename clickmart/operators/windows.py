@@ -13,9 +13,11 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from clickmart.functions import epoch_micros, idiv
+
 # Columns that identify one click event when no event id exists (K8).
 DEDUP_KEYS = ("user_id", "session_id", "event_type", "timestamp", "page_url")
 
@@ -101,23 +103,23 @@ def error_rate_alert(
     are all above.
 
     Windows without a matching event are absent (their rate is 0, so they
-    are never above; the firing test looks windows up by start time, not by
-    row order).  The per-window table has one row per window, so the
-    consecutive-window test is a small aggregation: every window above the
-    threshold "covers" itself and the next ``hold - 1`` starts, and a window
-    fires when it is covered ``hold`` times.
+    are never above); the firing test therefore looks back by *time* -- a
+    RANGE frame over the window start -- not by row count.  The events are
+    scanned once; the window function runs over the per-window table, which
+    has one row per window (bounded by time span / width, not by data
+    volume), so its single partition stays small.
     """
-    width = f"{int(window_seconds)} seconds"
-    per_window = events.filter(predicate).groupBy(F.window(ts, width).alias("_w")).agg(
+    width = int(window_seconds)
+    per_window = events.filter(predicate).groupBy(F.window(ts, f"{width} seconds").alias("_w")).agg(
         F.count(F.lit(1)).alias("errors")
     ).select(*_flat(), "errors")
-    per_window = per_window.withColumn("error_rate", F.col("errors").cast("double") / F.lit(float(window_seconds)))
-    per_window = per_window.withColumn("above_threshold", F.col("error_rate") > F.lit(float(threshold_per_second)))
-    covered = per_window.filter("above_threshold").select(
-        "window_start", F.explode(F.sequence(F.lit(0), F.lit(int(hold) - 1))).alias("_k")
-    ).select((F.col("window_start") + F.make_dt_interval(secs=F.col("_k") * int(window_seconds))).alias("_covers"))
-    firing = covered.groupBy("_covers").agg(F.count(F.lit(1)).alias("_c")).filter(F.col("_c") == int(hold))
-    return per_window.join(firing, per_window["window_start"] == firing["_covers"], "left").select(
-        "window_start", "window_end", "errors", "error_rate", "above_threshold",
-        F.col("_covers").isNotNull().alias("firing"),
+    rate = F.col("errors").cast("double") / F.lit(float(width))
+    above = rate > F.lit(float(threshold_per_second))
+    start_seconds = idiv(epoch_micros("window_start"), F.lit(1_000_000))
+    recent = Window.orderBy("_start_s").rangeBetween(-(int(hold) - 1) * width, 0)
+    return (
+        per_window.select("window_start", "window_end", "errors", rate.alias("error_rate"),
+                          above.alias("above_threshold"), start_seconds.alias("_start_s"))
+        .withColumn("firing", F.sum(F.col("above_threshold").cast("int")).over(recent) == int(hold))
+        .drop("_start_s")
     )
