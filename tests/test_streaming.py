@@ -157,3 +157,52 @@ def test_empty_batch_writes_nothing(spark, scratch):
     proc = BatchProcessor(ParquetSink(scratch), clock=CLOCK)
     report = proc(spark.createDataFrame([], "value string"), 9)
     assert report.empty and not os.listdir(scratch)
+
+
+def _stream_events(spark, scratch):
+    raw_dir = os.path.join(scratch, "raw")
+    _write_chunks(spark, SMOKE, raw_dir, chunks=2)
+    raw = streams.file_events(spark, raw_dir, max_files_per_trigger=1)
+    return decode.to_click_events(decode.parse_events(raw), zoned=True).filter(F.col("timestamp").isNotNull())
+
+
+def _drain(df, name, mode):
+    q = df.writeStream.format("memory").queryName(name).outputMode(mode).trigger(availableNow=True).start()
+    q.awaitTermination(300)
+    return q
+
+
+def test_window_operators_on_a_stream_match_batch(spark, scratch):
+    from clickmart.operators import windows
+
+    old = spark.conf.get("spark.sql.session.timeZone")
+    spark.conf.set("spark.sql.session.timeZone", "UTC")
+    try:
+        batch = fx.clicks(spark, SMOKE).filter(F.col("timestamp").isNotNull())
+        ev = _stream_events(spark, scratch)
+        as_ntz = lambda df: df.withColumn("window_start", F.col("window_start").cast("timestamp_ntz")).withColumn(
+            "window_end", F.col("window_end").cast("timestamp_ntz"))
+
+        _drain(windows.tumbling_event_counts(ev, "5 minutes", watermark="10 minutes"), "s_tumbling", "complete")
+        got = as_ntz(spark.table("s_tumbling"))
+        want = windows.tumbling_event_counts(batch, "5 minutes")
+        assert got.exceptAll(want).count() == 0 and want.exceptAll(got).count() == 0
+
+        _drain(windows.sliding_active_users(ev, watermark="10 minutes", approx=True), "s_sliding", "complete")
+        got = {(r.window_start, r.active_users) for r in as_ntz(spark.table("s_sliding")).collect()}
+        want = {(r.window_start, r.active_users) for r in windows.sliding_active_users(batch).collect()}
+        assert {w for w, _ in got} == {w for w, _ in want}
+        exact = dict(want)
+        assert all(abs(n - exact[w]) <= max(1, 0.1 * exact[w]) for w, n in got)
+
+        _drain(windows.approx_uniques_windowed(ev, watermark="10 minutes"), "s_uniques", "complete")
+        assert spark.table("s_uniques").agg(F.sum("events")).first()[0] == batch.count()
+
+        _drain(windows.active_sessions(ev, watermark="10 minutes", approx=True), "s_sessions", "complete")
+        assert spark.table("s_sessions").count() == windows.active_sessions(batch).count()
+
+        dup = ev.unionByName(ev.filter(F.col("event_type") == "PURCHASE"))
+        _drain(windows.dedup_events(dup, watermark="10 minutes").select(*windows.DEDUP_KEYS), "s_dedup", "append")
+        assert spark.table("s_dedup").count() == batch.select(*windows.DEDUP_KEYS).distinct().count()
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", old)
