@@ -101,7 +101,10 @@ def raw_clicks(spark: SparkSession, sf_dir: str) -> DataFrame:
     if key not in _MATERIALIZED:
         df = derive_raw_clicks(spark, sf_dir)
         if _checkpoint_dir(spark):
-            df = df.checkpoint(eager=True)
+            # Spread the copy like the many files of a stored table (the one
+            # input file would otherwise make every scan a single task);
+            # round-robin, so no key can skew it.
+            df = df.repartition(spark.sparkContext.defaultParallelism).checkpoint(eager=True)
         _MATERIALIZED[key] = df
     return _MATERIALIZED[key]
 
