@@ -191,6 +191,11 @@ def q_sessionize(spark, sf_dir):
     return sessions.derived_sessions(events(spark, sf_dir), gap_seconds=fx.SESSION_GAP_SECONDS)
 
 
+@register("session_windows")
+def q_session_windows(spark, sf_dir):
+    return sessions.session_windows(events(spark, sf_dir), gap_seconds=fx.SESSION_GAP_SECONDS)
+
+
 @register("avg_session_duration")
 def q_avg_session_duration(spark, sf_dir):
     return sessions.avg_session_duration(events(spark, sf_dir), by_batch=True)
@@ -255,4 +260,6 @@ def q_error_rate_alert(spark, sf_dir):
 
 @register("publish_events")
 def q_publish_events(spark, sf_dir):
-    return publish_events(events(spark, sf_dir))
+    # The records as text (the sink writes the same bytes).
+    return publish_events(events(spark, sf_dir)).select(
+        F.col("key").cast("string").alias("key"), F.col("value").cast("string").alias("value"))

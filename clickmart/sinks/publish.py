@@ -14,11 +14,19 @@ from pyspark.sql import functions as F
 WIRE_TIME_FORMAT = "yyyy-MM-dd'T'HH:mm:ss.SSSSSS"
 
 
-def publish_events(ev: DataFrame) -> DataFrame:
-    """Stored click events -> ``key`` (session id bytes) and ``value`` (UTF-8 JSON)."""
+def event_json(ev: DataFrame) -> DataFrame:
+    """Stored click events -> ``key`` (session id) and ``value`` (JSON text with
+    every wire field; a missing value is written as ``null``, as a JSON
+    serializer of the event record would)."""
     body = F.to_json(F.struct(
         F.col("user_id").alias("userId"), F.col("session_id").alias("sessionId"),
         F.col("event_type").alias("eventType"), F.date_format("timestamp", WIRE_TIME_FORMAT).alias("eventTime"),
         F.col("page_url").alias("page"), "referrer", "device", "region",
-    ))
-    return ev.select(F.col("session_id").cast("binary").alias("key"), body.cast("binary").alias("value"))
+    ), {"ignoreNullFields": "false"})
+    return ev.select(F.col("session_id").alias("key"), body.alias("value"))
+
+
+def publish_events(ev: DataFrame) -> DataFrame:
+    """Records for a topic sink: ``key`` (session id bytes), ``value`` (UTF-8 JSON)."""
+    j = event_json(ev)
+    return j.select(F.col("key").cast("binary").alias("key"), F.col("value").cast("binary").alias("value"))

@@ -206,3 +206,23 @@ def test_window_operators_on_a_stream_match_batch(spark, scratch):
         assert spark.table("s_dedup").count() == batch.select(*windows.DEDUP_KEYS).distinct().count()
     finally:
         spark.conf.set("spark.sql.session.timeZone", old)
+
+
+def test_session_windows_on_a_stream(spark, scratch):
+    from clickmart.operators import sessions
+
+    old = spark.conf.get("spark.sql.session.timeZone")
+    spark.conf.set("spark.sql.session.timeZone", "UTC")
+    try:
+        ev = _stream_events(spark, scratch)
+        q = _drain(sessions.session_windows(ev, gap_seconds=3600, watermark="1 hour"), "s_sessions_k4", "append")
+        got = spark.table("s_sessions_k4").withColumn("session_start", F.col("session_start").cast("timestamp_ntz")) \
+            .withColumn("session_end", F.col("session_end").cast("timestamp_ntz"))
+        batch = sessions.derived_sessions(fx.clicks(spark, SMOKE), gap_seconds=3600).drop("session_seq")
+        # Append mode emits the sessions the final watermark has closed.
+        wm = observe._as_dict(q.lastProgress)["eventTime"]["watermark"]
+        closed = batch.filter(F.col("session_end") + F.expr("INTERVAL 1 HOUR") <= F.lit(wm[:19].replace("T", " ")).cast("timestamp_ntz"))
+        assert got.count() > 0
+        assert got.exceptAll(closed).count() == 0 and closed.exceptAll(got).count() == 0
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", old)
