@@ -66,6 +66,26 @@ def with_next_time(
     )
 
 
+def _session_buckets(df: DataFrame, user: str, ts: str, gap_seconds: int, bucket_micros: int, out: str) -> tuple:
+    """Rows with their time bucket, and the per-(user, bucket) summary with
+    the session number of each bucket's events (see :func:`sessionize`)."""
+    gap_us = int(gap_seconds) * 1_000_000
+    if gap_us <= 0:
+        raise ValueError("gap_seconds must be positive")
+    width = max(1, min(int(bucket_micros), gap_us))
+    d = _with_bucket(df.filter(F.col(user).isNotNull() & F.col(ts).isNotNull()), ts, width)
+    by_bucket = Window.partitionBy(user).orderBy(_B)
+    prev_last = F.lag("_bmax").over(by_bucket)
+    gap_after = micros_between(prev_last, "_bmin", df.schema[ts].dataType) > F.lit(gap_us)
+    starts = F.when(prev_last.isNull() | gap_after, 1).otherwise(0)
+    summary = (
+        d.groupBy(user, _B).agg(F.min(ts).alias("_bmin"), F.max(ts).alias("_bmax"), F.count(F.lit(1)).alias("_bn"))
+        .withColumn("_st", starts)
+        .withColumn(out, F.sum("_st").over(by_bucket.rowsBetween(Window.unboundedPreceding, Window.currentRow)).cast("bigint"))
+    )
+    return d, summary
+
+
 def sessionize(
     df: DataFrame,
     user: str = "user_id",
@@ -89,32 +109,22 @@ def sessionize(
     numbers the sessions, and an equi-join on (user, bucket) hands the
     number back to the rows.  A hot user is spread over all its buckets.
     """
-    gap_us = int(gap_seconds) * 1_000_000
-    if gap_us <= 0:
-        raise ValueError("gap_seconds must be positive")
-    width = max(1, min(int(bucket_micros), gap_us))
-    d = _with_bucket(df.filter(F.col(user).isNotNull() & F.col(ts).isNotNull()), ts, width)
-    by_bucket = Window.partitionBy(user).orderBy(_B)
-    prev_last = F.lag("_bmax").over(by_bucket)
-    gap_after = micros_between(prev_last, "_bmin", df.schema[ts].dataType) > F.lit(gap_us)
-    starts = F.when(prev_last.isNull() | gap_after, 1).otherwise(0)
-    seams = (
-        d.groupBy(user, _B).agg(F.min(ts).alias("_bmin"), F.max(ts).alias("_bmax"))
-        .withColumn("_st", starts)
-        .select(user, _B, F.sum("_st").over(by_bucket.rowsBetween(Window.unboundedPreceding, Window.currentRow))
-                .cast("bigint").alias(out))
-    )
-    return d.join(seams, [user, _B], "inner").drop(_B)
+    d, summary = _session_buckets(df, user, ts, gap_seconds, bucket_micros, out)
+    return d.join(summary.select(user, _B, out), [user, _B], "inner").drop(_B)
 
 
-def derived_sessions(ev: DataFrame, gap_seconds: int = 86400, user: str = "user_id", ts: str = "timestamp") -> DataFrame:
+def derived_sessions(ev: DataFrame, gap_seconds: int = 86400, user: str = "user_id", ts: str = "timestamp",
+                     bucket_micros: int = HOUR_MICROS) -> DataFrame:
     """One row per derived session (K4 key): user, session_seq, start, end,
-    number of events and duration in whole seconds."""
-    s = sessionize(ev.select(user, ts), user, ts, gap_seconds)
-    return s.groupBy(user, "session_seq").agg(
-        F.min(ts).alias("session_start"),
-        F.max(ts).alias("session_end"),
-        F.count(F.lit(1)).alias("events"),
+    number of events and duration in whole seconds.
+
+    Rolled up from the per-bucket summary alone: events only pass through a
+    map-side partial aggregation, never a shuffle of rows or a join back."""
+    _, summary = _session_buckets(ev.select(user, ts), user, ts, gap_seconds, bucket_micros, "session_seq")
+    return summary.groupBy(user, "session_seq").agg(
+        F.min("_bmin").alias("session_start"),
+        F.max("_bmax").alias("session_end"),
+        F.sum("_bn").alias("events"),
     ).withColumn("duration_seconds", idiv(micros_between("session_start", "session_end"), F.lit(1_000_000)))
 
 
