@@ -25,7 +25,7 @@ from clickmart.functions import ntz_lit
 from clickmart.operators.marts import build_marts
 from clickmart.operators.windows import DEDUP_KEYS
 from clickmart.sinks import jdbc as jdbc_sink
-from clickmart.sinks.tables import table_path, write_batch_idempotent
+from clickmart.sinks.tables import create_tables, require_tables, table_path, write_batch_idempotent
 from clickmart.sources.decode import parse_events, quarantine_events, to_click_events
 
 log = logging.getLogger(__name__)
@@ -46,6 +46,12 @@ class ParquetSink:
     def __init__(self, root: str):
         self.root = root.rstrip("/")
 
+    def prepare(self, spark) -> None:
+        """Start-up check: create missing tables, then require all five with
+        their declared columns (fails naming the first bad one)."""
+        create_tables(spark, self.root)
+        require_tables(spark, self.root)
+
     def write(self, df: DataFrame, name: str, batch_id: int) -> None:
         if name in (FAILURES_TABLE, QUARANTINE_TABLE):
             out = df.withColumn("batch_id", F.lit(int(batch_id)).cast("bigint"))

@@ -44,7 +44,11 @@ def start_pipeline(
 ) -> StreamingQuery:
     """Run ``processor`` on every micro-batch of the raw wire stream ``raw``
     (A1 or A5) in append mode.  ``observe`` publishes per-batch input
-    figures in the query progress (N1)."""
+    figures in the query progress (N1).  The sink's tables are checked
+    before the query starts (A7)."""
+    prepare = getattr(processor.sink, "prepare", None)
+    if prepare is not None:
+        prepare(spark)
     observed = raw.observe(
         "ingest",
         F.count(F.lit(1)).alias("records"),

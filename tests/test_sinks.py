@@ -55,6 +55,7 @@ def test_create_and_verify_tables(spark, scratch):
     with pytest.raises(RuntimeError, match="clickstream_events"):
         tb.require_tables(spark, root)
     tb.create_tables(spark, root)
+    assert all(r.ok for r in tb.verify_tables(spark, root).collect())
     tb.write_batch_idempotent(marts.realtime_metrics(fx.clicks(spark, SMOKE), fx.metric_ts()), root, "realtime_metrics")
     ok = {r.table_name: (r.ok, list(r.missing_columns)) for r in tb.verify_tables(spark, root).collect()}
     assert ok["realtime_metrics"] == (True, [])
