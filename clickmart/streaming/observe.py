@@ -13,6 +13,7 @@ import threading
 from collections.abc import Iterable, Mapping
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQueryListener
 
@@ -108,6 +109,18 @@ class ProgressRecorder(StreamingQueryListener):
         return spark.createDataFrame(self.rows(), PROGRESS_SCHEMA)
 
 
+PROGRESS_TABLE = "batch_progress"
+
+
+def write_progress(frame: DataFrame, root: str) -> None:
+    """Store progress rows in ``<root>/batch_progress``, partitioned by
+    query name; rows of a batch id already stored are replaced, so writing
+    the recorder's rows again does not duplicate them."""
+    (frame.withColumn("query", F.coalesce(F.col("query_name"), F.lit("unnamed")))
+     .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+     .partitionBy("query", "batch_id").parquet(f"{root.rstrip('/')}/{PROGRESS_TABLE}"))
+
+
 def progress_frame(spark: SparkSession, reports: Iterable) -> DataFrame:
     """Progress reports (e.g. ``query.recentProgress``) as ``batch_progress`` rows."""
     return spark.createDataFrame([progress_row(p) for p in reports], PROGRESS_SCHEMA)

@@ -128,6 +128,10 @@ def test_graceful_stop_and_progress_rows(spark, scratch):
         frame = rec.to_frame(spark)
         row = frame.filter("input_rows > 0").first()
         assert row is not None and row.observed["ingest.records"] == str(row.input_rows)
+        observe.write_progress(frame, root)
+        observe.write_progress(frame, root)  # again: replaced, not duplicated
+        stored = spark.read.parquet(os.path.join(root, observe.PROGRESS_TABLE))
+        assert stored.count() == frame.count() and stored.filter("query = 'graceful'").count() > 0
         assert observe.consumer_lag(q.recentProgress[-1])[0]["avg_offsets_behind"] is None
     finally:
         spark.streams.removeListener(rec)
