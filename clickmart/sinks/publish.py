@@ -30,3 +30,15 @@ def publish_events(ev: DataFrame) -> DataFrame:
     """Records for a topic sink: ``key`` (session id bytes), ``value`` (UTF-8 JSON)."""
     j = event_json(ev)
     return j.select(F.col("key").cast("binary").alias("key"), F.col("value").cast("binary").alias("value"))
+
+
+def write_topic(records: DataFrame, servers: str, topic: str, checkpoint: str | None = None):
+    """Send ``key``/``value`` records to a topic: a batch write, or -- for a
+    streaming frame -- a started query (``checkpoint`` required there)."""
+    opts = {"kafka.bootstrap.servers": servers, "topic": topic}
+    if records.isStreaming:
+        if not checkpoint:
+            raise ValueError("a streaming topic sink needs a checkpoint location")
+        return records.writeStream.format("kafka").options(**opts).option("checkpointLocation", checkpoint).start()
+    records.write.format("kafka").options(**opts).save()
+    return None

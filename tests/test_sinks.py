@@ -87,3 +87,11 @@ def test_publish_then_parse_round_trip(spark):
     cols = ["user_id", "page_url", "event_type", "timestamp", "session_id", "device", "region", "referrer"]
     assert back.select(*cols).exceptAll(ev.select(*cols)).count() == 0
     assert back.count() == ev.count()
+
+
+def test_topic_sink_needs_the_connector(spark):
+    from clickmart.sinks.publish import write_topic
+
+    records = publish_events(fx.clicks(spark, SMOKE).limit(3))
+    with pytest.raises(Exception, match="(?i)kafka"):
+        write_topic(records, "localhost:1", "clickstream-events")
