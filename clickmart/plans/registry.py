@@ -30,8 +30,6 @@ def register(name: str) -> Callable[[Query], Query]:
 
 
 def queries() -> dict[str, Query]:
-    from clickmart.plans import catalog  # noqa: F401  (registers the rest)
-
     return dict(_REGISTRY)
 
 
