@@ -53,17 +53,21 @@ def _execute(spark: SparkSession, conf: JdbcConf, sql: str, params: tuple = ())
         con.close()
 
 
-def write_jdbc_idempotent(df: DataFrame, conf: JdbcConf, name: str, batch_id: int, table_schema: str | None = None) -> None:
-    """B5 for a database: delete the batch's rows, then append them again, so
-    a replayed batch does not duplicate.  ``table_schema`` names the stored
-    layout used to conform the columns (defaults to ``name``)."""
-    out = df.withColumn("batch_id", F.lit(int(batch_id)).cast("bigint"))
-    out = conform(out, table_schema or name)
-    spark = df.sparkSession
+def replace_batch(df: DataFrame, conf: JdbcConf, name: str, batch_id: int) -> None:
+    """Delete the rows of ``batch_id`` from table ``name``, then append
+    ``df`` (which carries that ``batch_id``): a replayed batch replaces its
+    own rows instead of duplicating them."""
     try:
         # Spark's JDBC writer creates quoted lower-case column names.
-        _execute(spark, conf, f'DELETE FROM {name} WHERE "batch_id" = ?', (batch_id,))
+        _execute(df.sparkSession, conf, f'DELETE FROM {name} WHERE "batch_id" = ?', (batch_id,))
     except Exception as e:  # first write: the table does not exist yet
         if "does not exist" not in str(e).lower() and "not found" not in str(e).lower():
             raise
-    write_jdbc(out, conf, name, mode="append")
+    write_jdbc(df, conf, name, mode="append")
+
+
+def write_jdbc_idempotent(df: DataFrame, conf: JdbcConf, name: str, batch_id: int, table_schema: str | None = None) -> None:
+    """B5 for a database: conform ``df`` to the stored layout of ``name`` (or
+    ``table_schema``) and replace the batch's rows (:func:`replace_batch`)."""
+    out = df.withColumn("batch_id", F.lit(int(batch_id)).cast("bigint"))
+    replace_batch(conform(out, table_schema or name), conf, name, batch_id)

@@ -69,7 +69,8 @@ class JdbcSink:
 
     def write(self, df: DataFrame, name: str, batch_id: int) -> None:
         if name in (FAILURES_TABLE, QUARANTINE_TABLE):
-            jdbc_sink.write_jdbc(df.withColumn("batch_id", F.lit(int(batch_id)).cast("bigint")), self.conf, name)
+            out = df.withColumn("batch_id", F.lit(int(batch_id)).cast("bigint"))
+            jdbc_sink.replace_batch(out, self.conf, name, batch_id)
         else:
             jdbc_sink.write_jdbc_idempotent(df, self.conf, name, batch_id)
 

@@ -46,6 +46,8 @@ def test_batch_processor_on_jdbc(spark, derby):
     proc(wire, 0)
     n = _upper(jdbc.read_table(spark, derby, "clickstream_events")).count()
     assert n == fx.clicks(spark, SMOKE).filter("batch_id = 0").count()
+    quarantined = _upper(jdbc.read_table(spark, derby, "quarantine_events")).count()
+    assert quarantined == wire.count() - n
 
 
 def test_create_and_verify_tables(spark, scratch):
