@@ -85,3 +85,41 @@ def test_mart_invariants(spark, rows):
     assert da == len(rows)
     funnel = [r.sessions for r in sorted(sessions.session_funnel(e).collect(), key=lambda r: r.stage_order)]
     assert funnel[0] >= funnel[1] >= funnel[2]
+
+
+def test_hot_user_sessions_match_sql_brute_force(spark):
+    """One user holds most rows (the skew the bucketed plan is built for);
+    sessions must equal a plain window-function derivation in DuckDB."""
+    import random
+
+    import duckdb
+    import pandas as pd
+
+    rnd = random.Random(7)
+    rows, t = [], 0
+    for _ in range(18_000):                       # hot user: bursts with occasional long pauses
+        t += rnd.choice([1, 5, 30, 120, 600, 1800, 1801, 5400])
+        rows.append(("hot", BASE + dt.timedelta(seconds=t)))
+    for u in range(200):                          # the long tail
+        for _ in range(10):
+            rows.append((f"u{u}", BASE + dt.timedelta(seconds=rnd.randint(0, 2 * 86400))))
+    pdf = pd.DataFrame(rows, columns=["user_id", "timestamp"])
+    df = spark.createDataFrame(pdf, "user_id string, timestamp timestamp_ntz")
+
+    got = sessions.derived_sessions(df, gap_seconds=1800).select(
+        "user_id", "session_seq", "session_start", "session_end", "events").toPandas()
+    want = duckdb.sql("""
+        WITH g AS (SELECT *, CASE WHEN lag("timestamp") OVER (PARTITION BY user_id ORDER BY "timestamp")
+                   + INTERVAL 1800 SECOND >= "timestamp" THEN 0 ELSE 1 END AS brk FROM pdf),
+             s AS (SELECT *, SUM(brk) OVER (PARTITION BY user_id ORDER BY "timestamp"
+                   ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS session_seq FROM g)
+        SELECT user_id, CAST(session_seq AS BIGINT) AS session_seq, MIN("timestamp") AS session_start,
+               MAX("timestamp") AS session_end, COUNT(*) AS events FROM s GROUP BY 1, 2""").df()
+    key = ["user_id", "session_seq"]
+    got = got.sort_values(key).reset_index(drop=True)
+    want = want.sort_values(key).reset_index(drop=True)
+    assert len(got) == len(want) and (got["user_id"] == "hot").sum() > 100
+    assert (got[key].values == want[key].values).all()
+    assert (got["events"].values == want["events"].values).all()
+    assert (pd.to_datetime(got["session_start"]).values == pd.to_datetime(want["session_start"]).values).all()
+    assert (pd.to_datetime(got["session_end"]).values == pd.to_datetime(want["session_end"]).values).all()
