@@ -198,18 +198,25 @@ def rollup_dimensions(ev: DataFrame) -> DataFrame:
     )
 
 
-def build_marts(ev: DataFrame, metric_ts: Column | None = None, region_label: str = "region") -> dict[str, DataFrame]:
-    """All five stored tables (without the write-time column) from one set of
-    decoded events with ``batch_id``."""
+def page_metrics_full(ev: DataFrame) -> DataFrame:
+    """The stored ``page_metrics`` row: D3 plus the three columns the table
+    declares (M2 time on page, M3 landing bounce rate, M4 conversion rate),
+    each per (batch, page); NULL where a page has no such sessions."""
     from clickmart.operators.sessions import avg_time_on_page, page_bounce_rate, page_conversion_rate
 
-    pages = page_metrics(ev)
     keys = ["batch_id", "page_url"]
-    pages = (
-        pages.join(avg_time_on_page(ev, by_batch=True).drop("timed_views"), keys, "left")
+    return (
+        page_metrics(ev)
+        .join(avg_time_on_page(ev, by_batch=True).drop("timed_views"), keys, "left")
         .join(page_bounce_rate(ev, by_batch=True).select(*keys, "bounce_rate"), keys, "left")
         .join(page_conversion_rate(ev, by_batch=True).select(*keys, "conversion_rate"), keys, "left")
     )
+
+
+def build_marts(ev: DataFrame, metric_ts: Column | None = None, region_label: str = "region") -> dict[str, DataFrame]:
+    """All five stored tables (without the write-time column) from one set of
+    decoded events with ``batch_id``."""
+    pages = page_metrics_full(ev)
     return {
         "clickstream_events": raw_events(ev, with_created_at=False),
         "realtime_metrics": realtime_metrics(ev, metric_ts),

@@ -104,6 +104,11 @@ def q_page_metrics(spark, sf_dir):
     return marts.page_metrics(events(spark, sf_dir))
 
 
+@register("page_metrics_full")
+def q_page_metrics_full(spark, sf_dir):
+    return marts.page_metrics_full(events(spark, sf_dir))
+
+
 @register("user_behavior")
 def q_user_behavior(spark, sf_dir):
     return marts.user_behavior(events(spark, sf_dir))
