@@ -6,11 +6,12 @@ Scale notes
 -----------
 A window partitioned by a bare user or session id puts the whole history of
 that key into one task; one robot user or one endless session can hold a
-third of all rows.  No window here is partitioned by a bare key: every
-"previous / next event of the same key" is computed on *time-bucketed*
-groups ``(key, bucket)`` and the seams between buckets are patched from a
-per-bucket summary, which has one row per (key, non-empty bucket) and is
-tiny next to the events.
+third of all rows.  No window over *events* is partitioned by a bare key:
+every "previous / next event of the same key" is computed on time-bucketed
+groups ``(key, bucket)``, and the seams between buckets are patched from a
+per-bucket summary.  Windows partitioned by the bare key run only over that
+summary, which has one row per (key, non-empty bucket) -- bounded by the
+time span, not by the key's event count.
 Everything else is a plain multi-level ``groupBy`` (map-side partial
 aggregation, so hot keys collapse before the shuffle).
 """
