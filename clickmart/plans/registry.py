@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 
 from clickmart.operators import marts, sessions, windows
 from clickmart.plans import panels as P
+from clickmart.plans.dashboard import PANELS, bind
 from clickmart.sinks.publish import publish_events
 from clickmart.sources import decode, fixture as fx
 
@@ -144,38 +145,10 @@ def q_rollup_dimensions(spark, sf_dir):
 RNG = (fx.TIME_FROM, fx.TIME_TO)
 
 _PANELS: dict[str, Callable] = {
-    "event_stream_series": lambda T: P.event_stream_series(T, RNG),
+    **{name: (lambda fn: lambda T: bind(fn, T, fx.NOW, RNG))(fn) for name, fn in PANELS.items()},
+    # The second bundle's variants of two panels.
     "event_stream_series_plain": lambda T: P.event_stream_series(T, RNG, labelled=False),
-    "active_users_latest": P.active_users_latest,
-    "conversion_rate_latest": P.conversion_rate_latest,
     "conversion_rate_latest_nullable": lambda T: P.conversion_rate_latest(T, null_if_no_views=True),
-    "top_pages": P.top_pages,
-    "top_pages_visitor_ratio": P.top_pages_visitor_ratio,
-    "events_by_type_last_hour": lambda T: P.events_by_type_last_hour(T, fx.NOW),
-    "device_distribution": P.device_distribution,
-    "device_distribution_rows": P.device_distribution_rows,
-    "hourly_activity": lambda T: P.hourly_activity(T, RNG),
-    "recent_session_metrics": P.recent_session_metrics,
-    "session_metrics": P.session_metrics,
-    "bounce_rate_trend": lambda T: P.bounce_rate_trend(T, RNG),
-    "region_distribution": P.region_distribution,
-    "engagement_funnel_distinct": P.engagement_funnel_distinct,
-    "conversion_funnel": P.conversion_funnel,
-    "top_users_by_page_views": P.top_users_by_page_views,
-    "retention_cohort_daily": P.retention_cohort_daily,
-    "retention_cohort": P.retention_cohort,
-    "total_users": P.total_users,
-    "avg_sessions_per_user": P.avg_sessions_per_user,
-    "purchase_conversion": P.purchase_conversion,
-    "top_active_users": P.top_active_users,
-    "user_activity_distribution": P.user_activity_distribution,
-    "user_activity_histogram": P.user_activity_histogram,
-    "device_by_segment": P.device_by_segment,
-    "active_users_by_hour": lambda T: P.active_users_by_hour(T, RNG),
-    "recent_activity": P.recent_activity,
-    "event_count_check": P.event_count_check,
-    "recent_metrics_check": P.recent_metrics_check,
-    "time_range_events": lambda T: P.time_range_events(T, RNG),
 }
 
 

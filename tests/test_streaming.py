@@ -230,3 +230,19 @@ def test_session_windows_on_a_stream(spark, scratch):
         assert got.exceptAll(closed).count() == 0 and closed.exceptAll(got).count() == 0
     finally:
         spark.conf.set("spark.sql.session.timeZone", old)
+
+
+def test_job_command_and_dashboard(spark, scratch):
+    from clickmart.plans import dashboard
+    from clickmart.streaming import job
+
+    raw_dir, root, ckpt = (os.path.join(scratch, d) for d in ("raw", "tables", "ckpt"))
+    _write_chunks(spark, SMOKE, raw_dir, chunks=1)
+    args = job.parse_args(["--files", raw_dir, "--tables", root, "--available-now", "--checkpoint", ckpt,
+                           "--name", "jobcli"])
+    job.run(spark, args).awaitTermination(300)
+    now, rng = fx.NOW, (fx.TIME_FROM, fx.TIME_TO)
+    count = dashboard.run_panel(spark, root, "event_count_check", now, rng).first().event_count
+    assert count == fx.clicks(spark, SMOKE).count()
+    assert dashboard.run_panel(spark, root, "top_pages", now, rng).count() == 10
+    assert dashboard.run_panel(spark, root, "hourly_activity", now, rng).count() > 0
