@@ -69,9 +69,10 @@ def test_next_time_matches_brute_force(spark, rows):
     for i, (s, t, et, p) in enumerate(keyed):
         nxt = keyed[i + 1][1] if i + 1 < len(keyed) and keyed[i + 1][0] == s else None
         expect.append((s, t, et, p, nxt))
-    have = sorted((r.session_id, int((r.timestamp - BASE).total_seconds()), r.event_type, r.page_url,
-                   None if r.next_ts is None else int((r.next_ts - BASE).total_seconds())) for r in got)
-    assert have == sorted(expect)
+    have = [(r.session_id, int((r.timestamp - BASE).total_seconds()), r.event_type, r.page_url,
+             None if r.next_ts is None else int((r.next_ts - BASE).total_seconds())) for r in got]
+    nulls_first = lambda t: (*t[:4], -1 if t[4] is None else t[4])
+    assert sorted(have, key=nulls_first) == sorted(expect, key=nulls_first)
 
 
 @SETTINGS
