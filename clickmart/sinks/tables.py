@@ -92,6 +92,31 @@ def path_exists(spark: SparkSession, path: str) -> bool:
     return bool(p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(p))
 
 
+def compact(spark: SparkSession, root: str, name: str, first_batch: int, last_batch: int, files_per_batch: int = 1) -> int:
+    """Rewrite the partitions ``first_batch..last_batch`` of table ``name`` into
+    ``files_per_batch`` files each (every micro-batch leaves small files; a
+    year of 30-second batches is millions of them).
+
+    The rows are first copied out with a reliable ``checkpoint()`` into the
+    shared checkpoint folder, so the overwrite never reads the files it
+    replaces and a retried task finds its input intact; then exactly those
+    partitions are replaced (dynamic overwrite).  Returns the rows rewritten.
+    """
+    sc = spark.sparkContext
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(checkpoint_root(spark))
+    part = read_table(spark, root, name).filter(F.col("batch_id").between(int(first_batch), int(last_batch)))
+    copy = part.checkpoint(eager=True)
+    n = copy.count()
+    if n:
+        out = copy.repartition(max(1, int(files_per_batch)), "batch_id")
+        if name in SORT_WITHIN_FILES:
+            out = out.sortWithinPartitions("batch_id", *SORT_WITHIN_FILES[name])
+        (out.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+         .partitionBy("batch_id").parquet(table_path(root, name)))
+    return n
+
+
 def verify_tables(spark: SparkSession, root: str, required: Iterable[str] = REQUIRED_TABLES) -> DataFrame:
     """One row per required table: present and complete or not, and the
     declared columns it lacks.  Only metadata is read (no data scan): the

@@ -97,3 +97,22 @@ def test_topic_sink_needs_the_connector(spark):
     records = publish_events(fx.clicks(spark, SMOKE).limit(3))
     with pytest.raises(Exception, match="(?i)kafka"):
         write_topic(records, "localhost:1", "clickstream-events")
+
+
+def test_compaction_keeps_rows_and_merges_files(spark, scratch):
+    import glob
+
+    root = os.path.join(scratch, "wh")
+    ev = fx.clicks(spark, SMOKE).filter("batch_id < 4")
+    for b in range(4):  # many small files per batch, as frequent micro-batches leave them
+        tb.write_batch_idempotent(marts.raw_events(ev.filter(F.col("batch_id") == b), with_created_at=False)
+                                  .repartition(6), root, "clickstream_events")
+    files = lambda: glob.glob(os.path.join(root, "clickstream_events", "batch_id=*", "*.parquet"))
+    from collections import Counter
+
+    snapshot = lambda: Counter(tuple(r) for r in tb.read_table(spark, root, "clickstream_events").drop("created_at").collect())
+    before = snapshot()
+    assert len(files()) > 4
+    assert tb.compact(spark, root, "clickstream_events", 0, 3) == ev.count()
+    assert len(files()) == 4
+    assert snapshot() == before
