@@ -104,11 +104,20 @@ def day_bucket(ts: ColumnOrName) -> Column:
 def parse_event_time(s: ColumnOrName, zoned: bool = False) -> Column:
     """Event-time text to a timestamp; unparsable text gives NULL (never throws).
 
-    Batch tables store TIMESTAMP_NTZ.  Streams need a zoned TIMESTAMP because
-    ``withWatermark`` rejects NTZ columns, so ``zoned=True`` parses to TIMESTAMP
-    under the session zone.
+    Batch tables store TIMESTAMP_NTZ on the UTC wall clock: naive text (what
+    the producer sends) is read as is; text with a zone (``...Z``,
+    ``...+02:00``) is read as an instant and moved to UTC -- a plain cast to
+    NTZ would silently drop the offset.  Streams need a zoned TIMESTAMP
+    because ``withWatermark`` rejects NTZ, so ``zoned=True`` parses to
+    TIMESTAMP (naive text under the session zone).
     """
-    return _c(s).try_cast("timestamp" if zoned else "timestamp_ntz")
+    c = _c(s)
+    if zoned:
+        return c.try_cast("timestamp")
+    instant = c.try_cast("timestamp")
+    utc_wall = F.timestamp_add("MICROSECOND", F.unix_micros(instant), F.lit("1970-01-01 00:00:00").cast("timestamp_ntz"))
+    has_zone = F.trim(c).rlike(r"(Z|[+-][0-9]{2}(:?[0-9]{2})?)$")
+    return F.when(has_zone, utc_wall).otherwise(c.try_cast("timestamp_ntz"))
 
 
 def is_type(col: ColumnOrName, event_type: str) -> Column:

@@ -61,6 +61,21 @@ def test_parse_and_quarantine_partition_the_input(spark, sf_dir):
     assert good + 104 == n
 
 
+def test_event_time_with_zone_is_moved_to_utc(spark):
+    from clickmart.functions import parse_event_time
+
+    old = spark.conf.get("spark.sql.session.timeZone")
+    try:
+        spark.conf.set("spark.sql.session.timeZone", "America/New_York")
+        df = spark.createDataFrame([("2025-08-03T10:00:00",), ("2025-08-03T10:00:00Z",), ("2025-08-03T12:00:00+02:00",),
+                                    ("2025-08-03T10:00:00.5",), ("garbage",)], "t string")
+        got = [r.ts for r in df.select(parse_event_time("t").alias("ts")).collect()]
+        ten = dt.datetime(2025, 8, 3, 10, 0, 0)
+        assert got == [ten, ten, ten, dt.datetime(2025, 8, 3, 10, 0, 0, 500000), None]
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", old)
+
+
 # --- marts --------------------------------------------------------------------------
 
 def test_known_realtime_metrics_values(spark, sf_dir):
