@@ -18,25 +18,40 @@ from clickmart.schema import CORRUPT_COLUMN, EVENT_SCHEMA_WITH_CORRUPT, WIRE_FIE
 _JSON_OPTIONS = {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": CORRUPT_COLUMN}
 
 
-def _decoded(raw: DataFrame, keep: Sequence[str]) -> DataFrame:
+def decode_records(raw: DataFrame, keep: Sequence[str] = ()) -> DataFrame:
+    """One JSON parse per record: the ``keep`` columns, the record text as
+    ``value``, the eight wire fields, and ``reason`` -- NULL for a usable
+    event, ``undecodable`` (NULL, not a JSON object) or ``missing_user``.
+    :func:`parse_events` and :func:`quarantine_events` are its two halves,
+    so a micro-batch can decode once and split."""
     text = F.col("value").cast("string")
-    return raw.select(*keep, text.alias("_text"), F.from_json(text, EVENT_SCHEMA_WITH_CORRUPT, _JSON_OPTIONS).alias("_d"))
+    d = raw.select(*keep, text.alias("_text"), F.from_json(text, EVENT_SCHEMA_WITH_CORRUPT, _JSON_OPTIONS).alias("_d"))
+    undecodable = F.col("_d").isNull() | F.col(f"_d.{CORRUPT_COLUMN}").isNotNull()
+    reason = F.when(undecodable, "undecodable").when(F.col("_d.userId").isNull(), "missing_user")
+    return d.select(*keep, F.col("_text").alias("value"), *[F.col(f"_d.{f}").alias(f) for f in WIRE_FIELDS],
+                    reason.alias("reason"))
 
 
 def parse_events(raw: DataFrame, keep: Sequence[str] = ()) -> DataFrame:
     """Wire value -> the eight wire fields (strings); records that do not
     decode or have no ``userId`` are dropped, as in the original job."""
-    d = _decoded(raw, keep)
-    return d.select(*keep, *[F.col(f"_d.{f}").alias(f) for f in WIRE_FIELDS]).filter(F.col("userId").isNotNull())
+    return events_of(decode_records(raw, keep), keep)
 
 
 def quarantine_events(raw: DataFrame, keep: Sequence[str] = ()) -> DataFrame:
     """Complement of :func:`parse_events`: every dropped record with a reason,
     ``undecodable`` (NULL, not a JSON object) or ``missing_user``."""
-    d = _decoded(raw, keep)
-    undecodable = F.col("_d").isNull() | F.col(f"_d.{CORRUPT_COLUMN}").isNotNull()
-    reason = F.when(undecodable, "undecodable").when(F.col("_d.userId").isNull(), "missing_user")
-    return d.select(*keep, F.col("_text").alias("value"), reason.alias("reason")).filter(F.col("reason").isNotNull())
+    return rejects_of(decode_records(raw, keep), keep)
+
+
+def events_of(decoded: DataFrame, keep: Sequence[str] = ()) -> DataFrame:
+    """The usable events of :func:`decode_records` output (wire fields)."""
+    return decoded.filter(F.col("reason").isNull()).select(*keep, *WIRE_FIELDS)
+
+
+def rejects_of(decoded: DataFrame, keep: Sequence[str] = ()) -> DataFrame:
+    """The quarantined records of :func:`decode_records` output."""
+    return decoded.filter(F.col("reason").isNotNull()).select(*keep, "value", "reason")
 
 
 def to_click_events(parsed: DataFrame, zoned: bool = False) -> DataFrame:

@@ -26,7 +26,7 @@ from clickmart.operators.marts import build_marts
 from clickmart.operators.windows import DEDUP_KEYS
 from clickmart.sinks import jdbc as jdbc_sink
 from clickmart.sinks.tables import create_tables, require_tables, table_path, write_batch_idempotent
-from clickmart.sources.decode import parse_events, quarantine_events, to_click_events
+from clickmart.sources.decode import decode_records, events_of, rejects_of, to_click_events
 
 log = logging.getLogger(__name__)
 
@@ -105,40 +105,42 @@ class BatchProcessor:
         self.quarantine = quarantine
         self.reports: list[BatchReport] = []
 
-    def events(self, raw: DataFrame, batch_id: int) -> DataFrame:
-        ev = to_click_events(parse_events(raw))
+    def events(self, decoded: DataFrame, batch_id: int) -> DataFrame:
+        ev = to_click_events(events_of(decoded))
         if self.dedupe:
             ev = ev.dropDuplicates(list(DEDUP_KEYS))
         return ev.withColumn("batch_id", F.lit(int(batch_id)).cast("bigint"))
 
     def __call__(self, raw: DataFrame, batch_id: int) -> BatchReport:
-        raw = raw.persist(StorageLevel.MEMORY_AND_DISK)
+        # Each record is JSON-decoded once; the decoded batch is persisted and
+        # both the events and the quarantine are cut from it.
+        decoded = decode_records(raw).persist(StorageLevel.MEMORY_AND_DISK)
         try:
-            report = self._process(raw, int(batch_id))
+            report = self._process(decoded, int(batch_id))
         finally:
-            raw.unpersist()
+            decoded.unpersist()
         self.reports.append(report)
         return report
 
-    def _process(self, raw: DataFrame, batch_id: int) -> BatchReport:
+    def _process(self, decoded: DataFrame, batch_id: int) -> BatchReport:
         # One pass fills the persisted batch and answers "is it empty"; the
-        # decoded events are then materialised once, before the table writes
-        # run side by side over them.
-        if raw.count() == 0:
+        # events are then materialised once, before the table writes run side
+        # by side over them.
+        if decoded.count() == 0:
             log.info("empty batch %s", batch_id)
             return BatchReport(batch_id, empty=True)
-        ev = self.events(raw, batch_id).persist(StorageLevel.MEMORY_AND_DISK)
+        ev = self.events(decoded, batch_id).persist(StorageLevel.MEMORY_AND_DISK)
         try:
             ev.count()
             outputs = dict(build_marts(ev, metric_ts=ntz_lit(self.clock()), region_label=self.region_label))
             if self.quarantine:
-                outputs[QUARANTINE_TABLE] = quarantine_events(raw)
+                outputs[QUARANTINE_TABLE] = rejects_of(decoded)
             report = BatchReport(batch_id, empty=False)
             self._write_all(outputs, batch_id, report)
         finally:
             ev.unpersist()
         if report.failures:
-            self._record_failures(raw, batch_id, report.failures)
+            self._record_failures(decoded, batch_id, report.failures)
             if self.strict:
                 raise RuntimeError(f"batch {batch_id}: sinks failed: {sorted(report.failures)}")
         return report
