@@ -26,13 +26,16 @@ def kafka_options(servers: str, topic: str = TOPIC, starting: str = "latest", fa
     }
     if max_offsets_per_trigger:
         opts["maxOffsetsPerTrigger"] = str(int(max_offsets_per_trigger))
+    if min_partitions:
+        opts["minPartitions"] = str(int(min_partitions))
     return opts
 
 
 def kafka_events(spark: SparkSession, servers: str, topic: str = TOPIC, starting: str = "latest",
-                 fail_on_data_loss: bool = False, max_offsets_per_trigger: int | None = None) -> DataFrame:
+                 fail_on_data_loss: bool = False, max_offsets_per_trigger: int | None = None,
+                 min_partitions: int | None = None) -> DataFrame:
     """A1: the event topic as a stream (key, value, topic, partition, offset, timestamp, ...)."""
-    opts = kafka_options(servers, topic, starting, fail_on_data_loss, max_offsets_per_trigger)
+    opts = kafka_options(servers, topic, starting, fail_on_data_loss, max_offsets_per_trigger, min_partitions)
     return spark.readStream.format("kafka").options(**opts).load()
 
 

@@ -26,6 +26,7 @@ def parse_args(argv=None) -> argparse.Namespace:
     p.add_argument("--topic", default=streams.TOPIC)
     p.add_argument("--starting-offsets", default="latest")
     p.add_argument("--max-offsets-per-trigger", type=int, default=None)
+    p.add_argument("--min-partitions", type=int, default=None, help="split hot topic partitions over more tasks")
     p.add_argument("--max-files-per-trigger", type=int, default=None)
     dst = p.add_mutually_exclusive_group(required=True)
     dst.add_argument("--tables", metavar="ROOT", help="folder of the Parquet tables")
@@ -45,7 +46,8 @@ def parse_args(argv=None) -> argparse.Namespace:
 def run(spark: SparkSession, args: argparse.Namespace):
     if args.kafka:
         raw = streams.kafka_events(spark, args.kafka, args.topic, args.starting_offsets,
-                                   max_offsets_per_trigger=args.max_offsets_per_trigger)
+                                   max_offsets_per_trigger=args.max_offsets_per_trigger,
+                                   min_partitions=args.min_partitions)
     else:
         raw = streams.file_events(spark, args.files, args.max_files_per_trigger)
     if args.tables:

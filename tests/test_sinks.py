@@ -70,9 +70,10 @@ def test_checkpoint_root_comes_from_session(spark):
 
 
 def test_kafka_source_options_and_missing_connector(spark):
-    opts = streams.kafka_options("broker:9092", starting="latest", max_offsets_per_trigger=1000)
+    opts = streams.kafka_options("broker:9092", starting="latest", max_offsets_per_trigger=1000, min_partitions=64)
     assert opts == {"kafka.bootstrap.servers": "broker:9092", "subscribe": "clickstream-events",
-                    "startingOffsets": "latest", "failOnDataLoss": "false", "maxOffsetsPerTrigger": "1000"}
+                    "startingOffsets": "latest", "failOnDataLoss": "false", "maxOffsetsPerTrigger": "1000",
+                    "minPartitions": "64"}
     with pytest.raises(Exception, match="(?i)kafka"):
         streams.kafka_events(spark, "localhost:1")
 
