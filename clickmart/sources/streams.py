@@ -15,9 +15,12 @@ TOPIC = "clickstream-events"
 
 
 def kafka_options(servers: str, topic: str = TOPIC, starting: str = "latest", fail_on_data_loss: bool = False,
-                  max_offsets_per_trigger: int | None = None) -> dict[str, str]:
+                  max_offsets_per_trigger: int | None = None, min_partitions: int | None = None) -> dict[str, str]:
     """Reader options of the event topic.  ``maxOffsetsPerTrigger`` bounds a
-    micro-batch after downtime, so catching up does not make one huge batch."""
+    micro-batch after downtime, so catching up does not make one huge batch;
+    ``minPartitions`` lets Spark split the offset range of a hot topic
+    partition (one holding a large share of the events) over several tasks
+    instead of reading it in one."""
     opts = {
         "kafka.bootstrap.servers": servers,
         "subscribe": topic,
