@@ -16,10 +16,10 @@ from __future__ import annotations
 import datetime as dt
 from collections.abc import Mapping
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from clickmart.functions import day_bucket, hour_bucket, is_type, mean2, ntz_lit, pct2
+from clickmart.functions import day_bucket, hour_bucket, idiv, is_type, mean2, ntz_lit, pct2
 from clickmart.schema import (
     FUNNEL_STAGES,
     LABEL_BOUNCE_RATE,
@@ -219,8 +219,6 @@ def retention_cohort(T: Tables) -> DataFrame:
     Events are first reduced to distinct (user, day); the first day comes
     from a window over those rows (at most one row per active day of a
     user, so no user's history is gathered in one place)."""
-    from pyspark.sql import Window
-
     days = _events(T).filter(F.col("timestamp").isNotNull()).select(
         "user_id", F.to_date("timestamp").alias("_day")
     ).distinct()
@@ -240,13 +238,14 @@ def device_distribution(T: Tables) -> DataFrame:
     da = T["device_analytics"].filter(F.col("dimension_type") == "device")
     return da.groupBy("dimension_value").agg(F.sum("event_count").alias("total_events")).select(
         F.col("dimension_value").alias("device"), "total_events"
-    ).orderBy(F.col("total_events").desc())
+    ).orderBy(F.col("total_events").desc(), "device")
 
 
 def device_distribution_rows(T: Tables) -> DataFrame:
     """The stored device rows, most events first."""
     da = T["device_analytics"].filter(F.col("dimension_type") == "device")
-    return da.select(F.col("dimension_value").alias("device"), "event_count").orderBy(F.col("event_count").desc())
+    return da.select(F.col("dimension_value").alias("device"), "event_count").orderBy(
+        F.col("event_count").desc(), "device")
 
 
 def region_distribution(T: Tables, k: int = 10, region_label: str = "region") -> DataFrame:
@@ -299,7 +298,7 @@ def user_activity_histogram(T: Tables, width: int = 5) -> DataFrame:
     """The histogram itself: users per bucket ``[start, start + width)``
     of events per user."""
     per_user = _per_user(T).agg(F.sum("events").alias("_e"))
-    start = (F.floor(F.col("_e") / F.lit(int(width))) * int(width)).cast("bigint")
+    start = idiv("_e", F.lit(int(width))) * int(width)
     return per_user.groupBy(start.alias("bucket_start")).agg(F.count(F.lit(1)).alias("users")).orderBy("bucket_start")
 
 
