@@ -183,6 +183,28 @@ def user_behavior_from_partials(partials: DataFrame) -> DataFrame:
     )
 
 
+def latest_per_key(partials: DataFrame, keys: list[str], order: str = "batch_id") -> DataFrame:
+    """B4, latest-wins form: for each key the row of its newest batch -- the
+    upsert a unique key on the stored table would give.
+
+    An aggregate (``max_by`` of the whole row), not a ``row_number`` window:
+    partial aggregation keeps one candidate per key and task, so a key seen
+    in every batch never gathers its rows in one place."""
+    others = [c for c in partials.columns if c not in keys]
+    newest = F.max_by(F.struct(*[F.col(c) for c in others]), F.col(order)).alias("_row")
+    return partials.groupBy(*keys).agg(newest).select(*keys, *[F.col(f"_row.{c}").alias(c) for c in others])
+
+
+def user_behavior_latest(partials: DataFrame) -> DataFrame:
+    """``user_behavior`` as an upsert table (one row per user, newest batch wins)."""
+    return latest_per_key(partials, ["user_id"])
+
+
+def device_analytics_latest(partials: DataFrame) -> DataFrame:
+    """``device_analytics`` as an upsert table on (dimension_type, dimension_value)."""
+    return latest_per_key(partials, ["dimension_type", "dimension_value"])
+
+
 def rollup_dimensions(ev: DataFrame) -> DataFrame:
     """Events and distinct users per device x region with all subtotals.
 

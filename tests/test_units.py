@@ -149,6 +149,15 @@ def test_user_over_two_batches(spark):
     assert (partial_sum, exact) == (2, 1)
 
 
+def test_latest_wins_upsert(spark):
+    rows = [row(sess="a", batch=0), row(sess="a", batch=1, ts=T0(0, 1), et="PURCHASE"), row(user="u2", sess="b", batch=0)]
+    partials = marts.user_behavior(ev(spark, rows))
+    latest = {r.user_id: (r.batch_id, r.purchases, r.events) for r in marts.user_behavior_latest(partials).collect()}
+    assert latest == {"u1": (1, 1, 1), "u2": (0, 0, 1)}
+    dims = marts.device_analytics_latest(marts.device_analytics(ev(spark, rows))).collect()
+    assert len(dims) == 2 and all(r.batch_id == 1 for r in dims if r.dimension_type == "device")
+
+
 def test_pct2_rounds_half_up(spark):
     df = spark.createDataFrame([(1, 8), (1, 3), (2, 3), (0, 0)], "n long, d long")
     from clickmart.functions import mean2, pct2
