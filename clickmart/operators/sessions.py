@@ -210,6 +210,27 @@ def page_conversion_rate(ev: DataFrame, by_batch: bool = False) -> DataFrame:
     ).withColumn("conversion_rate", pct2("converted_sessions", "sessions"))
 
 
+def page_contributions(ev: DataFrame, by_batch: bool = True) -> list[DataFrame]:
+    """M2-M4 as per-(grain, page) partial sums, ready to be unioned and summed:
+    ``timed_views``/``span`` (time to the next event after a PAGE_VIEW),
+    ``landing``/``bounced`` (sessions landing on the page, one-event ones),
+    ``viewed_sessions``/``converted`` (sessions viewing it, those with a
+    PURCHASE).  The ratios of the sums are M2, M3 and M4."""
+    g = _grain(by_batch)
+    t = _timed(ev)
+    nxt = with_next_time(t.select(*g, "session_id", *SESSION_ORDER), [*g, "session_id"], out="_next")
+    timed = nxt.filter((F.col("event_type") == PAGE_VIEW) & F.col("_next").isNotNull()).groupBy(*g, "page_url").agg(
+        F.count(F.lit(1)).alias("timed_views"), F.sum(micros_between("timestamp", "_next")).alias("span"))
+    first = F.min(F.struct(*[F.col(c) for c in SESSION_ORDER]))
+    landing = t.groupBy(*g, "session_id").agg(F.count(F.lit(1)).alias("_n"), first.getField("page_url").alias("page_url")) \
+        .groupBy(*g, "page_url").agg(F.count(F.lit(1)).alias("landing"), F.count_if(F.col("_n") == 1).alias("bounced"))
+    bought = t.groupBy(*g, "session_id").agg(F.max(F.when(F.col("event_type") == PURCHASE, 1).otherwise(0)).alias("_b"))
+    viewed = t.filter(F.col("event_type") == PAGE_VIEW).select(*g, "session_id", "page_url").distinct()
+    conv = viewed.join(bought, [*g, "session_id"], "inner").groupBy(*g, "page_url").agg(
+        F.count(F.lit(1)).alias("viewed_sessions"), F.sum("_b").alias("converted"))
+    return [timed, landing, conv]
+
+
 def session_funnel(ev: DataFrame) -> DataFrame:
     """M6: sessions reaching each stage in time order.
 
