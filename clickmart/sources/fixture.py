@@ -14,6 +14,7 @@ from __future__ import annotations
 
 import datetime as dt
 import os
+import threading
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -66,6 +67,7 @@ def _pick(index: F.Column, values: tuple[str, ...]) -> F.Column:
 
 
 _MATERIALIZED: dict[tuple, DataFrame] = {}
+_LOCK = threading.Lock()
 
 
 def _checkpoint_dir(spark: SparkSession) -> str | None:
@@ -98,15 +100,16 @@ def raw_clicks(spark: SparkSession, sf_dir: str) -> DataFrame:
     Without a checkpoint folder the plan stays lazy.
     """
     key = (spark.sparkContext.applicationId, sf_dir, _input_stamp(sf_dir))
-    if key not in _MATERIALIZED:
-        df = derive_raw_clicks(spark, sf_dir)
-        if _checkpoint_dir(spark):
-            # Spread the copy like the many files of a stored table (the one
-            # input file would otherwise make every scan a single task);
-            # round-robin, so no key can skew it.
-            df = df.repartition(spark.sparkContext.defaultParallelism).checkpoint(eager=True)
-        _MATERIALIZED[key] = df
-    return _MATERIALIZED[key]
+    with _LOCK:  # queries started from several threads derive the copy once
+        if key not in _MATERIALIZED:
+            df = derive_raw_clicks(spark, sf_dir)
+            if _checkpoint_dir(spark):
+                # Spread the copy like the many files of a stored table (the one
+                # input file would otherwise make every scan a single task);
+                # round-robin, so no key can skew it.
+                df = df.repartition(spark.sparkContext.defaultParallelism).checkpoint(eager=True)
+            _MATERIALIZED[key] = df
+        return _MATERIALIZED[key]
 
 
 def derive_raw_clicks(spark: SparkSession, sf_dir: str) -> DataFrame:
