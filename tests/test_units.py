@@ -2,6 +2,7 @@
 
 import datetime as dt
 
+import pytest
 from pyspark.sql import functions as F
 
 from clickmart.functions import ntz_lit
@@ -224,3 +225,22 @@ def test_hour_bucket_is_zone_free(spark):
         assert r.d == 3_600_000_000
     finally:
         spark.conf.set("spark.sql.session.timeZone", old)
+
+
+def test_panel_sql_text_runs_on_the_tables(spark, sf_dir):
+    from clickmart.plans import sql
+    from clickmart.plans.registry import tables
+
+    T = tables(spark, sf_dir)
+    sql.register_views(spark, {"clickstream_events": T["clickstream_events"]})
+    rng = (fx.TIME_FROM, fx.TIME_TO)
+    text = """SELECT window(timestamp, '1 hour').start AS time, COUNT(DISTINCT user_id) AS active_users
+              FROM clickstream_events WHERE $__timeFilter(timestamp) GROUP BY 1"""
+    got = sql.run_sql(spark, text, rng)
+    want = P.active_users_by_hour(T, rng)
+    assert got.exceptAll(want).count() == 0 and want.exceptAll(got).count() == 0
+    recent = sql.run_sql(spark, "SELECT COUNT(*) AS n FROM clickstream_events WHERE timestamp > NOW() - INTERVAL 1 HOUR",
+                         now=fx.NOW).first().n
+    assert recent == sum(r["count"] for r in P.events_by_type_last_hour(T, fx.NOW).collect())
+    with pytest.raises(ValueError):
+        sql.expand_macros("SELECT 1 WHERE $__timeFilter(ts)")
