@@ -159,6 +159,22 @@ def test_latest_wins_upsert(spark):
     assert len(dims) == 2 and all(r.batch_id == 1 for r in dims if r.dimension_type == "device")
 
 
+def test_sketch_partials_merge_to_current_figures(spark, sf_dir):
+    clicks = fx.clicks(spark, sf_dir)
+    exact = {(r.dimension_type, r.dimension_value): (r.event_count, r.unique_users)
+             for r in marts.device_analytics_current(clicks).collect()}
+    merged = marts.device_analytics_from_sketches(marts.dimension_sketches(clicks)).collect()
+    assert len(merged) == len(exact)
+    for r in merged:
+        events, users = exact[(r.dimension_type, r.dimension_value)]
+        assert r.event_count == events and abs(r.approx_unique_users - users) <= max(2, 0.05 * users)
+    users = {r.user_id: r for r in marts.user_behavior_current(clicks).collect()}
+    for r in marts.user_behavior_from_sketches(marts.user_sessions_sketches(clicks)).collect():
+        u = users[r.user_id]
+        assert (r.events, r.purchases, r.last_active) == (u.events, u.purchases, u.last_active)
+        assert abs(r.approx_sessions - u.sessions) <= 1
+
+
 def test_pct2_rounds_half_up(spark):
     df = spark.createDataFrame([(1, 8), (1, 3), (2, 3), (0, 0)], "n long, d long")
     from clickmart.functions import mean2, pct2
