@@ -39,6 +39,7 @@ def parse_args(argv=None) -> argparse.Namespace:
     p.add_argument("--trigger", default=DEFAULT_TRIGGER)
     p.add_argument("--available-now", action="store_true", help="process what is there, then stop")
     p.add_argument("--lenient", action="store_true", help="record sink failures instead of failing the batch")
+    p.add_argument("--dedup-within", default=None, help="drop repeated records across batches within this watermark")
     p.add_argument("--region-label", default="region")
     return p.parse_args(argv)
 
@@ -57,7 +58,7 @@ def run(spark: SparkSession, args: argparse.Namespace):
                          "password": args.jdbc_password})
     processor = BatchProcessor(sink, strict=not args.lenient, region_label=args.region_label)
     return start_pipeline(spark, raw, processor, name=args.name, checkpoint=args.checkpoint,
-                          trigger=args.trigger, available_now=args.available_now)
+                          trigger=args.trigger, available_now=args.available_now, dedup_within=args.dedup_within)
 
 
 def main(argv=None) -> None:

@@ -41,14 +41,28 @@ def start_pipeline(
     checkpoint: str | None = None,
     trigger: str | None = DEFAULT_TRIGGER,
     available_now: bool = False,
+    dedup_within: str | None = None,
+    ingest_time: str = "timestamp",
 ) -> StreamingQuery:
     """Run ``processor`` on every micro-batch of the raw wire stream ``raw``
     (A1 or A5) in append mode.  ``observe`` publishes per-batch input
     figures in the query progress (N1).  The sink's tables are checked
-    before the query starts (A7)."""
+    before the query starts (A7).
+
+    ``dedup_within`` (e.g. ``"10 minutes"``) drops repeated deliveries of
+    the same record across micro-batches -- a producer retry resends the
+    same bytes, possibly into a later batch -- with Spark's stateful
+    ``dropDuplicatesWithinWatermark`` on the record value, watermarked on
+    the source's ingest time column (Kafka's ``timestamp``); the state is
+    bounded by the watermark.  Inside a batch the processor deduplicates
+    events as well."""
     prepare = getattr(processor.sink, "prepare", None)
     if prepare is not None:
         prepare(spark)
+    if dedup_within:
+        if ingest_time not in raw.columns:
+            raise ValueError(f"dedup_within needs an ingest time column {ingest_time!r} on the source")
+        raw = raw.withWatermark(ingest_time, dedup_within).dropDuplicatesWithinWatermark(["value"])
     observed = raw.observe(
         "ingest",
         F.count(F.lit(1)).alias("records"),

@@ -246,3 +246,22 @@ def test_job_command_and_dashboard(spark, scratch):
     assert count == fx.clicks(spark, SMOKE).count()
     assert dashboard.run_panel(spark, root, "top_pages", now, rng).count() == 10
     assert dashboard.run_panel(spark, root, "hourly_activity", now, rng).count() > 0
+
+
+def test_retry_in_a_later_batch_is_dropped(spark, scratch):
+    raw_dir, root, ckpt = (os.path.join(scratch, d) for d in ("raw", "tables", "ckpt"))
+    mk = lambda u, t: f'{{"userId":"{u}","sessionId":"s","eventType":"PAGE_VIEW","eventTime":"{t}","page":"/p"}}'
+    first = [(mk("u1", "2024-01-01T00:00:00"), "2024-01-01 00:00:01"), (mk("u2", "2024-01-01T00:00:05"), "2024-01-01 00:00:06")]
+    retry = [(mk("u1", "2024-01-01T00:00:00"), "2024-01-01 00:00:30"), (mk("u3", "2024-01-01T00:00:40"), "2024-01-01 00:00:41")]
+    for rows in (first, retry):
+        spark.createDataFrame(rows, "value string, ts string").selectExpr(
+            "value", "CAST(ts AS TIMESTAMP) AS timestamp").coalesce(1).write.mode("append").json(raw_dir)
+        time.sleep(1.1)
+    raw = spark.readStream.schema("value string, timestamp timestamp").option("maxFilesPerTrigger", 1).json(raw_dir)
+    proc = BatchProcessor(ParquetSink(root), clock=CLOCK)
+    q = pipeline.start_pipeline(spark, raw, proc, name="retry", checkpoint=ckpt, available_now=True,
+                                dedup_within="10 minutes")
+    q.awaitTermination(300)
+    users = sorted(r.user_id for r in tb.read_table(spark, root, "clickstream_events").collect())
+    assert users == ["u1", "u2", "u3"]
+    assert len([r for r in proc.reports if not r.empty]) == 2
