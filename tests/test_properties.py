@@ -124,3 +124,31 @@ def test_hot_user_sessions_match_sql_brute_force(spark):
     assert (got["events"].values == want["events"].values).all()
     assert (pd.to_datetime(got["session_start"]).values == pd.to_datetime(want["session_start"]).values).all()
     assert (pd.to_datetime(got["session_end"]).values == pd.to_datetime(want["session_end"]).values).all()
+
+
+def test_hot_session_time_on_page_matches_sql(spark):
+    """One session holds most rows across many hour buckets (with ties and
+    bucket-boundary times); M2 must equal a plain ``lead`` derivation."""
+    import random
+
+    import duckdb
+    import pandas as pd
+
+    rnd = random.Random(11)
+    rows, t = [], 0
+    for _ in range(20_000):
+        t += rnd.choice([0, 0, 1, 7, 60, 3599, 3600])
+        rows.append(("hot", BASE + dt.timedelta(seconds=t), rnd.choice(TYPES), rnd.choice(["/a", "/b", "/c"])))
+    for s in range(300):
+        for _ in range(5):
+            rows.append((f"s{s}", BASE + dt.timedelta(seconds=rnd.randint(0, 86400)), rnd.choice(TYPES), "/a"))
+    pdf = pd.DataFrame(rows, columns=["session_id", "timestamp", "event_type", "page_url"])
+    df = spark.createDataFrame(pdf, "session_id string, timestamp timestamp_ntz, event_type string, page_url string")
+    got = {r.page_url: (r.timed_views, r.avg_time_on_page) for r in sessions.avg_time_on_page(df).collect()}
+    want = duckdb.sql("""
+        WITH n AS (SELECT *, lead("timestamp") OVER (PARTITION BY session_id ORDER BY "timestamp", event_type, page_url) AS nxt
+                   FROM pdf)
+        SELECT page_url, COUNT(nxt) AS timed_views,
+               CASE WHEN COUNT(nxt) > 0 THEN SUM(date_diff('microsecond', "timestamp", nxt)) // (COUNT(nxt) * 1000000) END AS avg
+        FROM n WHERE event_type = 'PAGE_VIEW' GROUP BY page_url""").fetchall()
+    assert got == {p: (int(n), None if a is None else int(a)) for p, n, a in want}
