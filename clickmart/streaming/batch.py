@@ -12,6 +12,7 @@ from __future__ import annotations
 
 import datetime as dt
 import logging
+from collections import deque
 from collections.abc import Callable, Mapping
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field
@@ -95,7 +96,7 @@ class BatchProcessor:
 
     def __init__(self, sink, strict: bool = True, clock: Callable[[], dt.datetime] | None = None,
                  region_label: str = "region", dedupe: bool = True, parallel: bool = True,
-                 quarantine: bool = True):
+                 quarantine: bool = True, keep_reports: int = 1000):
         self.sink = sink
         self.strict = strict
         self.clock = clock or (lambda: dt.datetime.now(dt.timezone.utc).replace(tzinfo=None))
@@ -103,7 +104,8 @@ class BatchProcessor:
         self.dedupe = dedupe
         self.parallel = parallel
         self.quarantine = quarantine
-        self.reports: list[BatchReport] = []
+        # The latest reports only: a long-running job must not grow the driver.
+        self.reports: deque[BatchReport] = deque(maxlen=keep_reports)
 
     def events(self, decoded: DataFrame, batch_id: int) -> DataFrame:
         ev = to_click_events(events_of(decoded))

@@ -10,6 +10,7 @@ from __future__ import annotations
 
 import json
 import threading
+from collections import deque
 from collections.abc import Iterable, Mapping
 
 from pyspark.sql import DataFrame, SparkSession
@@ -83,8 +84,9 @@ def progress_row(progress) -> tuple:
 class ProgressRecorder(StreamingQueryListener):
     """Collects a row per micro-batch of every query in the session."""
 
-    def __init__(self):
-        self._rows: list[tuple] = []
+    def __init__(self, keep: int = 10_000):
+        # Bounded: flush with ``write_progress`` before older rows fall out.
+        self._rows: deque[tuple] = deque(maxlen=keep)
         self._lock = threading.Lock()
 
     def onQueryStarted(self, event):
