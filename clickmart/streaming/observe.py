@@ -123,6 +123,22 @@ def write_progress(frame: DataFrame, root: str) -> None:
      .partitionBy("query", "batch_id").parquet(f"{root.rstrip('/')}/{PROGRESS_TABLE}"))
 
 
+def pipeline_status(progress: DataFrame) -> DataFrame:
+    """Pipeline status panel over ``batch_progress`` rows: per query the
+    newest batch and its time, input rows in total, mean processing rate,
+    late rows, and the slowest trigger.  One aggregation; ``max_by`` picks
+    the newest batch's time without a sort."""
+    return progress.groupBy("query_name").agg(
+        F.max("batch_id").alias("last_batch_id"),
+        F.max_by("batch_time", "batch_id").alias("last_batch_time"),
+        F.count(F.lit(1)).alias("batches"),
+        F.sum("input_rows").alias("input_rows"),
+        F.avg("processed_rows_per_second").alias("mean_rows_per_second"),
+        F.sum("late_rows").alias("late_rows"),
+        F.max("trigger_ms").alias("max_trigger_ms"),
+    )
+
+
 def progress_frame(spark: SparkSession, reports: Iterable) -> DataFrame:
     """Progress reports (e.g. ``query.recentProgress``) as ``batch_progress`` rows."""
     return spark.createDataFrame([progress_row(p) for p in reports], PROGRESS_SCHEMA)

@@ -132,6 +132,9 @@ def test_graceful_stop_and_progress_rows(spark, scratch):
         observe.write_progress(frame, root)  # again: replaced, not duplicated
         stored = spark.read.parquet(os.path.join(root, observe.PROGRESS_TABLE))
         assert stored.count() == frame.count() and stored.filter("query = 'graceful'").count() > 0
+        status = observe.pipeline_status(frame).filter("query_name = 'graceful'").first()
+        assert status.input_rows == frame.filter("query_name = 'graceful'").agg(F.sum("input_rows")).first()[0]
+        assert status.last_batch_id >= 0 and status.batches >= 1
         assert observe.consumer_lag(q.recentProgress[-1])[0]["avg_offsets_behind"] is None
     finally:
         spark.streams.removeListener(rec)
