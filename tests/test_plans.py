@@ -36,10 +36,14 @@ def clicks(spark):
     return fx.derive_raw_clicks(spark, SMOKE).filter(F.col("user_id").isNotNull())
 
 
-def test_no_pair_producing_join_anywhere(spark):
+PYTHON_NODES = ("BatchEvalPython", "ArrowEvalPython", "MapInPandas", "FlatMapGroupsInPandas", "PythonUDF")
+
+
+def test_no_pair_producing_join_or_python_anywhere(spark):
     for name, fn in entry.queries().items():
         text = plan(fn(spark, SMOKE))
         assert "CartesianProduct" not in text and "BroadcastNestedLoopJoin" not in text, name
+        assert not any(node in text for node in PYTHON_NODES), name
 
 
 def test_realtime_metrics_is_one_pass(spark):
