@@ -71,7 +71,10 @@ _LOCK = threading.Lock()
 
 
 def _checkpoint_dir(spark: SparkSession) -> str | None:
-    sc = spark.sparkContext
+    try:
+        sc = spark.sparkContext
+    except Exception:  # a remote (Spark Connect) session has no SparkContext
+        return None
     current = sc.getCheckpointDir()
     if current:
         return current
@@ -97,18 +100,19 @@ def raw_clicks(spark: SparkSession, sf_dir: str) -> DataFrame:
     it runs once per application: the result is written with a reliable
     ``checkpoint()`` to the shared ``spark.checkpoint.dir`` (lineage cut,
     recoverable after executor loss) and every query reads that copy.
-    Without a checkpoint folder the plan stays lazy.
+    Without a checkpoint folder (or without a SparkContext, as in a remote
+    session) the plan stays lazy.
     """
+    if _checkpoint_dir(spark) is None:
+        return derive_raw_clicks(spark, sf_dir)
     key = (spark.sparkContext.applicationId, sf_dir, _input_stamp(sf_dir))
     with _LOCK:  # queries started from several threads derive the copy once
         if key not in _MATERIALIZED:
+            # Spread the copy like the many files of a stored table (the one
+            # input file would otherwise make every scan a single task);
+            # round-robin, so no key can skew it.
             df = derive_raw_clicks(spark, sf_dir)
-            if _checkpoint_dir(spark):
-                # Spread the copy like the many files of a stored table (the one
-                # input file would otherwise make every scan a single task);
-                # round-robin, so no key can skew it.
-                df = df.repartition(spark.sparkContext.defaultParallelism).checkpoint(eager=True)
-            _MATERIALIZED[key] = df
+            _MATERIALIZED[key] = df.repartition(spark.sparkContext.defaultParallelism).checkpoint(eager=True)
         return _MATERIALIZED[key]
 
 

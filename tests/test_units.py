@@ -260,3 +260,10 @@ def test_panel_sql_text_runs_on_the_tables(spark, sf_dir):
     assert recent == sum(r["count"] for r in P.events_by_type_last_hour(T, fx.NOW).collect())
     with pytest.raises(ValueError):
         sql.expand_macros("SELECT 1 WHERE $__timeFilter(ts)")
+
+
+def test_fixture_stays_lazy_without_checkpoint_folder(spark, monkeypatch):
+    monkeypatch.setattr(fx, "_checkpoint_dir", lambda s: None)
+    lazy = fx.raw_clicks(spark, "/root/testdata/sf0.001")
+    assert "checkpoint" not in lazy._jdf.queryExecution().analyzed().toString().lower()
+    assert lazy.count() == fx.driver_events(spark, "/root/testdata/sf0.001").count()
