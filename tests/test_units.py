@@ -267,3 +267,12 @@ def test_fixture_stays_lazy_without_checkpoint_folder(spark, monkeypatch):
     lazy = fx.raw_clicks(spark, "/root/testdata/sf0.001")
     assert "checkpoint" not in lazy._jdf.queryExecution().analyzed().toString().lower()
     assert lazy.count() == fx.driver_events(spark, "/root/testdata/sf0.001").count()
+
+
+def test_dashboard_panels_and_registry_agree():
+    import __spark_entry__ as entry
+    from clickmart.plans.dashboard import PANELS
+
+    keys = set(entry.queries())
+    assert set(PANELS) <= keys
+    assert {"event_stream_series_plain", "conversion_rate_latest_nullable"} <= keys
