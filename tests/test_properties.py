@@ -152,3 +152,30 @@ def test_hot_session_time_on_page_matches_sql(spark):
                CASE WHEN COUNT(nxt) > 0 THEN SUM(date_diff('microsecond', "timestamp", nxt)) // (COUNT(nxt) * 1000000) END AS avg
         FROM n WHERE event_type = 'PAGE_VIEW' GROUP BY page_url""").fetchall()
     assert got == {p: (int(n), None if a is None else int(a)) for p, n, a in want}
+
+
+def _brute_funnel(rows):
+    by_session = {}
+    for _, s, t, _, sess, _ in rows:
+        if sess is not None:
+            by_session.setdefault(sess, []).append((s, t))
+    counts = [0, 0, 0]
+    for evs in by_session.values():
+        views = [s for s, t in evs if t == "PAGE_VIEW"]
+        if not views:
+            continue
+        v = min(views)
+        counts[0] += 1
+        carts = [s for s, t in evs if t == "ADD_TO_CART" and s >= v]
+        counts[1] += bool(carts)
+        buys = [s for s, t in evs if t == "PURCHASE"]
+        counts[2] += any(p >= a for a in carts for p in buys)
+    return counts
+
+
+@SETTINGS
+@given(rows=events_strategy)
+def test_session_funnel_matches_brute_force(spark, rows):
+    got = {r.stage_order: r.sessions for r in sessions.session_funnel(_frame(spark, rows)).collect()}
+    want = _brute_funnel([(u, s, t, p, sess, d) for u, s, t, p, sess, d in rows])
+    assert [got[1], got[2], got[3]] == want
