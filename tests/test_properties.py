@@ -179,3 +179,29 @@ def test_session_funnel_matches_brute_force(spark, rows):
     got = {r.stage_order: r.sessions for r in sessions.session_funnel(_frame(spark, rows)).collect()}
     want = _brute_funnel([(u, s, t, p, sess, d) for u, s, t, p, sess, d in rows])
     assert [got[1], got[2], got[3]] == want
+
+
+@SETTINGS
+@given(rows=events_strategy)
+def test_page_bounce_and_conversion_match_brute_force(spark, rows):
+    df = _frame(spark, rows)
+    by_session = {}
+    for _, s, t, p, sess, _ in rows:
+        if sess is not None:
+            by_session.setdefault(sess, []).append((s, t, p))
+    landing, bounced, viewed, converted = {}, {}, {}, {}
+    for evs in by_session.values():
+        first = min(evs)                                   # order: time, type, page
+        landing[first[2]] = landing.get(first[2], 0) + 1
+        bounced[first[2]] = bounced.get(first[2], 0) + (len(evs) == 1)
+        bought = any(t == "PURCHASE" for _, t, _ in evs)
+        for page in {p for _, t, p in evs if t == "PAGE_VIEW"}:
+            viewed[page] = viewed.get(page, 0) + 1
+            converted[page] = converted.get(page, 0) + bought
+    rate = lambda n, d: ((n * 20000 + d) // (2 * d)) / 100.0
+    got_b = {r.page_url: (r.landing_sessions, r.bounced_sessions, r.bounce_rate)
+             for r in sessions.page_bounce_rate(df).collect()}
+    assert got_b == {p: (n, bounced[p], rate(bounced[p], n)) for p, n in landing.items()}
+    got_c = {r.page_url: (r.sessions, r.converted_sessions, r.conversion_rate)
+             for r in sessions.page_conversion_rate(df).collect()}
+    assert got_c == {p: (n, converted[p], rate(converted[p], n)) for p, n in viewed.items()}
