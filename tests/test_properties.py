@@ -205,3 +205,20 @@ def test_page_bounce_and_conversion_match_brute_force(spark, rows):
     got_c = {r.page_url: (r.sessions, r.converted_sessions, r.conversion_rate)
              for r in sessions.page_conversion_rate(df).collect()}
     assert got_c == {p: (n, converted[p], rate(converted[p], n)) for p, n in viewed.items()}
+
+
+@SETTINGS
+@given(rows=events_strategy)
+def test_realtime_metrics_match_brute_force(spark, rows):
+    r = marts.realtime_metrics(_frame(spark, rows), ntz_lit(BASE)).first()
+    groups = {}
+    for _, s, t, _, sess, _ in rows:
+        groups.setdefault(sess, []).append(s)         # the NULL session is one group
+    bounced = sum(len(v) == 1 for v in groups.values())
+    spans = [max(v) - min(v) for k, v in groups.items() if k is not None]
+    assert r.total_events == len(rows)
+    assert r.unique_users == len({u for u, *_ in rows})
+    assert r.unique_sessions == len([k for k in groups if k is not None])
+    assert r.page_views == sum(t == "PAGE_VIEW" for _, _, t, *_ in rows)
+    assert r.bounce_rate == ((bounced * 20000 + len(groups)) // (2 * len(groups))) / 100.0
+    assert r.avg_session_duration == (sum(spans) // len(spans) if spans else 0)
