@@ -222,3 +222,32 @@ def test_realtime_metrics_match_brute_force(spark, rows):
     assert r.page_views == sum(t == "PAGE_VIEW" for _, _, t, *_ in rows)
     assert r.bounce_rate == ((bounced * 20000 + len(groups)) // (2 * len(groups))) / 100.0
     assert r.avg_session_duration == (sum(spans) // len(spans) if spans else 0)
+
+
+@SETTINGS
+@given(rows=events_strategy)
+def test_user_and_dimension_marts_match_brute_force(spark, rows):
+    df = _frame(spark, rows)
+    users = {}
+    for u, s, t, _, sess, _ in rows:
+        d = users.setdefault(u, {"sessions": set(), "events": 0, "purchases": 0, "last": s})
+        if sess is not None:
+            d["sessions"].add(sess)
+        d["events"] += 1
+        d["purchases"] += t == "PURCHASE"
+        d["last"] = max(d["last"], s)
+    got = {r.user_id: (r.sessions, r.events, r.purchases, int((r.last_active - BASE).total_seconds()))
+           for r in marts.user_behavior(df).collect()}
+    assert got == {u: (len(d["sessions"]), d["events"], d["purchases"], d["last"]) for u, d in users.items()}
+
+    dev = {}
+    for u, _, t, _, _, device in rows:
+        d = dev.setdefault(device, {"events": 0, "users": set(), "buyers": set()})
+        d["events"] += 1
+        d["users"].add(u)
+        if t == "PURCHASE":
+            d["buyers"].add(u)
+    rate = lambda n, m: ((n * 20000 + m) // (2 * m)) / 100.0
+    got = {r.dimension_value: (r.event_count, r.unique_users, r.conversion_rate)
+           for r in marts.device_analytics(df).filter("dimension_type = 'device'").collect()}
+    assert got == {k: (d["events"], len(d["users"]), rate(len(d["buyers"]), len(d["users"]))) for k, d in dev.items()}
