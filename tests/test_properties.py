@@ -251,3 +251,28 @@ def test_user_and_dimension_marts_match_brute_force(spark, rows):
     got = {r.dimension_value: (r.event_count, r.unique_users, r.conversion_rate)
            for r in marts.device_analytics(df).filter("dimension_type = 'device'").collect()}
     assert got == {k: (d["events"], len(d["users"]), rate(len(d["buyers"]), len(d["users"]))) for k, d in dev.items()}
+
+
+@SETTINGS
+@given(rows=events_strategy)
+def test_windows_match_brute_force(spark, rows):
+    from clickmart.operators import windows
+
+    df = _frame(spark, rows)
+    tumbling = {}
+    for _, s, t, *_ in rows:
+        start = s // 300 * 300
+        tumbling[(start, t)] = tumbling.get((start, t), 0) + 1
+    got = {(int((r.window_start - BASE).total_seconds()), r.event_type): r.events
+           for r in windows.tumbling_event_counts(df, "5 minutes").collect()}
+    assert got == tumbling
+
+    sliding = {}
+    for u, s, *_ in rows:
+        first = s // 600 * 600 - 3000                # the six 1-hour windows sliding by 10 minutes
+        for start in range(first, first + 3600, 600):
+            if start <= s < start + 3600:
+                sliding.setdefault(start, set()).add(u)
+    got = {int((r.window_start - BASE).total_seconds()): r.active_users
+           for r in windows.sliding_active_users(df, "1 hour", "10 minutes").collect()}
+    assert got == {k: len(v) for k, v in sliding.items()}
