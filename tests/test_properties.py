@@ -276,3 +276,21 @@ def test_windows_match_brute_force(spark, rows):
     got = {int((r.window_start - BASE).total_seconds()): r.active_users
            for r in windows.sliding_active_users(df, "1 hour", "10 minutes").collect()}
     assert got == {k: len(v) for k, v in sliding.items()}
+
+
+@SETTINGS
+@given(minutes=st.lists(st.integers(min_value=0, max_value=120), min_size=1, max_size=60),
+       hold=st.integers(min_value=1, max_value=3), threshold=st.sampled_from([0.0, 1 / 300, 2 / 300]))
+def test_error_alert_matches_brute_force(spark, minutes, hold, threshold):
+    from clickmart.operators import windows
+
+    df = spark.createDataFrame([(BASE + dt.timedelta(minutes=m), "error") for m in minutes],
+                               "ts timestamp_ntz, event_type string")
+    per = {}
+    for m in minutes:
+        per[m // 5 * 5] = per.get(m // 5 * 5, 0) + 1
+    above = {w for w, n in per.items() if n / 300 > threshold}
+    want = {w: (n, w in above, all(w - 5 * i in above for i in range(hold))) for w, n in per.items()}
+    got = {int((r.window_start - BASE).total_seconds() // 60): (r.errors, r.above_threshold, r.firing)
+           for r in windows.error_rate_alert(df, F.col("event_type") == "error", 300, threshold, hold).collect()}
+    assert got == want
