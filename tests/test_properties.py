@@ -294,3 +294,15 @@ def test_error_alert_matches_brute_force(spark, minutes, hold, threshold):
     got = {int((r.window_start - BASE).total_seconds() // 60): (r.errors, r.above_threshold, r.firing)
            for r in windows.error_rate_alert(df, F.col("event_type") == "error", 300, threshold, hold).collect()}
     assert got == want
+
+
+@SETTINGS
+@given(rows=events_strategy)
+def test_dedup_matches_brute_force(spark, rows):
+    from clickmart.operators import windows
+
+    doubled = rows + rows[: len(rows) // 2]             # a retry of the first half
+    got = windows.dedup_events(_frame(spark, doubled)).select(*windows.DEDUP_KEYS).collect()
+    want = {(u, sess, t, s, p) for u, s, t, p, sess, _ in rows}  # NULL keys compare equal, as in SQL DISTINCT
+    assert sorted(map(str, ((r.user_id, r.session_id, r.event_type, int((r.timestamp - BASE).total_seconds()), r.page_url)
+                            for r in got))) == sorted(map(str, want))
