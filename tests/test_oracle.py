@@ -3,10 +3,16 @@
 import pytest
 
 import __spark_entry__ as entry
+from clickmart.plans import oracle, registry
 from tests.oracle_compare import compare, duck
 
-QUERIES = entry.queries()
-ORACLE = entry.oracle_sql()
+QUERIES = registry.queries()
+ORACLE = oracle.oracle_sql()
+
+
+def test_entry_has_every_query():
+    assert set(QUERIES) <= set(entry.queries())
+    assert set(ORACLE) <= set(entry.oracle_sql())
 
 
 @pytest.fixture(scope="module")
