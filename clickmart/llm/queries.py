@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from clickmart.llm import mixing, quality
+from clickmart.llm import mixing, quality, token_planes
 from clickmart.llm.common import read
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -17,13 +17,20 @@ def op7_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixed.select("doc_id", "size", "source_size", "target", "taken")
 
 
+def op8_token_planes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers
+
+    docs = read(spark, sf_dir, "documents")
+    return token_planes.encode_documents(docs, public_tokenizers.path("word_bpe_49k.json"))
+
+
 def op9_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     judged = quality.quality(read(spark, sf_dir, "documents"))
     return judged.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept")
 
 
 def queries() -> dict[str, Query]:
-    return {f.__name__: f for f in (op7_mix_sources, op9_quality_rules)}
+    return {f.__name__: f for f in (op7_mix_sources, op8_token_planes, op9_quality_rules)}
 
 
 def oracle_sql() -> dict[str, str]:
