@@ -5,13 +5,21 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from clickmart.llm import mixing, quality, token_planes
-from clickmart.llm.common import read
+from clickmart.llm import language, mixing, quality, token_planes
+from clickmart.llm.common import crc, read
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 
+def op3_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    held_out = F.coalesce(crc("doc_id") % 3 == 1, F.lit(False))
+    docs = read(spark, sf_dir, "documents").withColumn("held_out", held_out)
+    texts = language.sample(docs.filter(~F.col("held_out")))
+    return language.identify(docs.select("doc_id", "held_out", "text"), texts).drop("text")
+
+
 def op7_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     mixed = mixing.mix_sources(read(spark, sf_dir, "documents"))
     return mixed.select("doc_id", "size", "source_size", "target", "taken")
@@ -30,7 +38,7 @@ def op9_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Query]:
-    return {f.__name__: f for f in (op7_mix_sources, op8_token_planes, op9_quality_rules)}
+    return {f.__name__: f for f in (op3_language_id, op7_mix_sources, op8_token_planes, op9_quality_rules)}
 
 
 def oracle_sql() -> dict[str, str]:
