@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from clickmart.llm import language, mixing, quality, token_planes
+from clickmart.llm import language, mixing, quality, token_planes, toxicity
 from clickmart.llm.common import crc, read
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -37,8 +37,16 @@ def op9_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return judged.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept")
 
 
+def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    held_out = F.coalesce(crc("doc_id") % 5 == 0, F.lit(False))
+    docs = read(spark, sf_dir, "documents").select("doc_id", "text", held_out.alias("held_out"))
+    labels = read(spark, sf_dir, "labels").filter(crc("doc_id") % 5 != 0)
+    scored = toxicity.toxicity(docs, toxicity.fit(docs, labels))
+    return scored.select("doc_id", "held_out", "score", "predicted", "evidence")
+
+
 def queries() -> dict[str, Query]:
-    return {f.__name__: f for f in (op3_language_id, op7_mix_sources, op8_token_planes, op9_quality_rules)}
+    return {f.__name__: f for f in (op3_language_id, op7_mix_sources, op8_token_planes, op9_quality_rules, op10_toxicity)}
 
 
 def oracle_sql() -> dict[str, str]:
