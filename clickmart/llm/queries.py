@@ -7,12 +7,16 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from clickmart.llm import language, mixing, quality, token_planes, toxicity
+from clickmart.llm import decontaminate, language, mixing, quality, token_planes, toxicity
 from clickmart.llm.common import crc, read
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 
+def op1_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontaminate.contaminated(read(spark, sf_dir, "documents"), read(spark, sf_dir, "benchmark"))
+
+
 def op3_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     held_out = F.coalesce(crc("doc_id") % 3 == 1, F.lit(False))
     docs = read(spark, sf_dir, "documents").withColumn("held_out", held_out)
@@ -46,7 +50,7 @@ def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Query]:
-    return {f.__name__: f for f in (op3_language_id, op7_mix_sources, op8_token_planes, op9_quality_rules, op10_toxicity)}
+    return {f.__name__: f for f in (op1_decontaminate, op3_language_id, op7_mix_sources, op8_token_planes, op9_quality_rules, op10_toxicity)}
 
 
 def oracle_sql() -> dict[str, str]:
