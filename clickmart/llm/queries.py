@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from clickmart.llm import decontaminate, jaccard, language, mixing, quality, token_planes, toxicity, windows
+from clickmart.llm import decontaminate, jaccard, language, mixing, quality, suffixes, token_planes, toxicity, windows
 from clickmart.llm.common import crc, read
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -17,6 +17,12 @@ def op1_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.contaminated(read(spark, sf_dir, "documents"), read(spark, sf_dir, "benchmark"))
 
 
+def op2_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    kept = suffixes.remove_repeats(read(spark, sf_dir, "documents"), 400, ["doc_id"])
+    return kept.select("doc_id", "n_bytes", "n_removed", F.size("spans").cast("bigint").alias("n_spans"),
+                       F.sha2("kept", 256).alias("kept_sha256"))
+
+
 def op3_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     held_out = F.coalesce(crc("doc_id") % 3 == 1, F.lit(False))
     docs = read(spark, sf_dir, "documents").withColumn("held_out", held_out)
@@ -59,7 +65,7 @@ def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Query]:
-    return {f.__name__: f for f in (op1_decontaminate, op3_language_id, op4_window_dedup, op5_jaccard_join, op7_mix_sources, op8_token_planes, op9_quality_rules, op10_toxicity)}
+    return {f.__name__: f for f in (op1_decontaminate, op2_suffix_dedup, op3_language_id, op4_window_dedup, op5_jaccard_join, op7_mix_sources, op8_token_planes, op9_quality_rules, op10_toxicity)}
 
 
 def oracle_sql() -> dict[str, str]:
