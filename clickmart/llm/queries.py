@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from clickmart.llm import decontaminate, jaccard, language, mixing, quality, suffixes, token_planes, toxicity, windows
+from clickmart.llm import decontaminate, jaccard, language, mixing, quality, suffixes, surrogates, token_planes, toxicity, windows
 from clickmart.llm.common import crc, read
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -39,6 +39,11 @@ def op5_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard.jaccard_components(read(spark, sf_dir, "documents"), 4, 85)
 
 
+def op6_surrogates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    replaced = surrogates.replace_entities(read(spark, sf_dir, "documents").select("doc_id", "text"))
+    return replaced.select("doc_id", "n_entities", "entity_types", "text")
+
+
 def op7_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     mixed = mixing.mix_sources(read(spark, sf_dir, "documents"))
     return mixed.select("doc_id", "size", "source_size", "target", "taken")
@@ -65,7 +70,7 @@ def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Query]:
-    return {f.__name__: f for f in (op1_decontaminate, op2_suffix_dedup, op3_language_id, op4_window_dedup, op5_jaccard_join, op7_mix_sources, op8_token_planes, op9_quality_rules, op10_toxicity)}
+    return {f.__name__: f for f in (op1_decontaminate, op2_suffix_dedup, op3_language_id, op4_window_dedup, op5_jaccard_join, op6_surrogates, op7_mix_sources, op8_token_planes, op9_quality_rules, op10_toxicity)}
 
 
 def oracle_sql() -> dict[str, str]:
