@@ -76,7 +76,8 @@ def mix_sources(docs: DataFrame, weights: tuple[int, ...] = (5, 2, 1), max_epoch
         raise ValueError(f"boundary {boundary!r}")
     out = ("size", "source_size", "target", "taken")
     key = F.md5(F.concat_ws(":", F.lit(seed), F.coalesce(F.col("doc_id").cast("string"), F.lit(""))))
-    rows = (docs.drop(*out).withColumn("size", word_count()).withColumn("__key", key)
+    tie = F.xxhash64("text") if "text" in docs.columns else F.lit(0)  # here, so that no text is moved for its sake
+    rows = (docs.drop(*out).withColumn("size", word_count()).withColumn("__key", key).withColumn("__tie", tie)
             .withColumn("__fine", F.substring("__key", 1, FINE)))
     cells = stage(rows.groupBy("source", "__fine").agg(F.sum("size").alias("__cell")), "mix-cells")
 
@@ -94,8 +95,7 @@ def mix_sources(docs: DataFrame, weights: tuple[int, ...] = (5, 2, 1), max_epoch
         .select(F.col("source").alias("__s"), F.col("__fine").alias("__f"), (F.col("__from") + F.col("__inner")).alias("__start"),
                 "source_size", "target", "budget")
     )
-    tie = [F.xxhash64("text")] if "text" in docs.columns else []
-    in_cell = Window.partitionBy("source", "__fine").orderBy("__key", "doc_id", "size", *tie)
+    in_cell = Window.partitionBy("source", "__fine").orderBy("__key", "doc_id", "size", "__tie")
     due = F.col("budget") - F.col("__epochs") * F.col("source_size") - F.col("__before")
     if boundary == "cut":
         part = F.greatest(F.lit(0), F.least("size", due))
