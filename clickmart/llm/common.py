@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import contextlib
 import sys
 import tempfile
 import types
@@ -52,6 +53,19 @@ def stage(df: DataFrame, name: str, path: str | None = None) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+@contextlib.contextmanager
+def settings(spark: SparkSession, conf: dict[str, str]):
+    """Session settings for the actions inside; the old ones come back after."""
+    old = {k: spark.conf.get(k, None) for k in conf}
+    try:
+        for k, v in conf.items():
+            spark.conf.set(k, v)
+        yield
+    finally:
+        for k, v in old.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
+
+
 def crc(col: str) -> Column:
     """crc32 of the column's text; NULL where it is NULL."""
     return F.crc32(F.col(col).cast("string").cast("binary"))

@@ -22,20 +22,22 @@ import os
 import struct
 import uuid
 import zlib
-from collections import ChainMap
 from collections.abc import Iterator
 
 import numpy as np
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from clickmart.llm.common import flat, scratch, slices, stage, worker_cache
+from clickmart.llm.common import flat, scratch, settings, slices, stage, worker_cache
 
 MAGIC = b"IDPLANE1"
 BLOCK = 1 << 16
 TAIL = "<QQQIB8s"  # document index at, chunk index at, ids, block size, bits a plane, magic
 LEVEL = 3
-CACHED_WORDS, CACHED_LENGTH = 300_000, 64
+CACHED_WORDS, CACHED_LENGTH = 150_000, 64
+MARKS = ".,;:!?*#$%&|"
+BATCH_ROWS = "1000"
+SLICE = 2 << 20           # bytes of text encoded at once
 MANIFEST = "shard int, file string, n_docs bigint, n_tokens bigint"
 DOCUMENT = "start bigint, n_tokens bigint, ids_crc32 bigint"
 
@@ -157,34 +159,88 @@ class PlaneReader:
 class WordEncoder:
     """Ids of whole texts by the tokenizer, asked once per distinct word.
 
-    Only for tokenizers whose pre-tokenizer drops white space, so that no
-    token crosses a space and a text's ids are its words' ids in a row; this is
-    checked when the tokenizer is loaded.
+    Only for tokenizers whose pre-tokenizer drops white space and keeps runs of
+    letters apart from other characters, so that a text's ids are its words' ids
+    in a row.  Words of Latin-1 letters, with marks behind them or none, skip the
+    normaliser and the splitting rule, which would leave them as they are
+    once in lower case.  Both are checked when the tokenizer is loaded.
     """
 
     def __init__(self, path: str):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
-        from tokenizers import Tokenizer
-
-        self.tokenizer, self.words = Tokenizer.from_file(path), {}
-        probe = "Ab'c \n x-1 \n\nab"
-        if self._direct([probe])[0] != b"".join(self._direct(probe.replace("\n", " ").split(" "))):
+        from tokenizers import Tokenizer, pre_tokenizers
+
+        self.whole, self.words, self.cores = Tokenizer.from_file(path), {}, {}
+        self.letters = Tokenizer(self.whole.model)
+        self.letters.pre_tokenizer = pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)
+        self.marks: dict[str, bytes] | None = {"": b""}
+        probe = "The \u00c9t\u00e9, stra\u00dfe. ab'c \n x-1 \n\nab? reed*** x|, 12: \u03a3\u03c3, no! a;  "
+        split = probe.replace("\n", " ").split(" ")
+        if self._ids(self.whole, [probe])[0] != b"".join(self._ids(self.whole, split)):
             raise ValueError("this tokenizer's tokens may cross a space")
+        if self._ids(self.whole, split) != self._words(split):
+            self.marks = None
+
+    @staticmethod
+    def _ids(tokenizer, texts: list[str]) -> list[bytes]:
+        return [array.array("I", e.ids).tobytes() for e in tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
+
+    def _words(self, words: list[str]) -> list[bytes]:
+        if self.marks is None:
+            return self._ids(self.whole, words)
+        known, plain = self.cores, {}
+        parts: list[tuple[str, bytes] | None] = []
+        other: list[str] = []
+        for w in words:
+            low = w.lower()
+            core = low.rstrip(MARKS)
+            if core.isalpha() and (core.isascii() or max(w) < "\u0100"):
+                plain[core] = known.get(core)
+                mark = low[len(core):]
+                if mark not in self.marks:
+                    self.marks[mark] = self._ids(self.whole, [mark])[0]
+                parts.append((core, self.marks[mark]))
+            else:
+                other.append(w)
+                parts.append(None)
+        new = [c for c, b in plain.items() if b is None]
+        plain.update(zip(new, self._ids(self.letters, new), strict=True))
+        if len(known) > CACHED_WORDS:
+            known.clear()
+        known.update(plain)
+        rest = iter(self._ids(self.whole, other))
+        return [next(rest) if p is None else plain[p[0]] + p[1] for p in parts]
 
-    def _direct(self, texts: list[str]) -> list[bytes]:
-        return [array.array("I", e.ids).tobytes() for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
-
-    def encode(self, texts: list[str]) -> list[bytes]:
-        split = [t.replace("\n", " ").split(" ") for t in texts]
-        known = self.words
+    def encode(self, texts) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of an Arrow array of strings, one text after the other, and where
+        each text begins (and the last ends)."""
+        import pyarrow as pa
+        from pyarrow import compute as pc
+
+        lists = pc.split_pattern(pc.replace_substring(texts.cast(pa.large_string()), "\n", " "), " ")
+        coded = lists.flatten().dictionary_encode()
+        words, known = coded.dictionary.to_pylist(), self.words
+        found = list(map(known.get, words))
+        new = [w for w, b in zip(words, found, strict=True) if b is None]
+        fresh = iter(self._words(new))
+        index = coded.indices.to_numpy(zero_copy_only=False)
+        again = (np.bincount(index, minlength=len(words)) > 1).tolist()
         if len(known) > CACHED_WORDS:
             known.clear()
-        new = list(set().union(*split) - known.keys())
-        fresh = dict(zip(new, self._direct(new), strict=True))
-        known.update((w, b) for w, b in fresh.items() if len(w) <= CACHED_LENGTH)
-        if any(len(w) > CACHED_LENGTH for w in new):
-            known = ChainMap(fresh, known)
-        return [b"".join(map(known.__getitem__, words)) for words in split]
+            self.marks = self.marks and {"": b""}
+        for k, b in enumerate(found):
+            if b is None:
+                found[k] = b = next(fresh)
+                if again[k] and len(words[k]) <= CACHED_LENGTH:  # words met once seldom come back soon
+                    known[words[k]] = b
+
+        size = np.fromiter(map(len, found), np.int64, len(found)) // 4
+        pool = np.frombuffer(b"".join(found), "<u4")
+        n = size[index]
+        at = np.concatenate([[0], np.cumsum(n)])
+        ids = pool[np.repeat((np.cumsum(size) - size)[index] - at[:-1], n) + np.arange(at[-1])]
+        offsets = lists.offsets.to_numpy(zero_copy_only=False)
+        return ids, at[offsets - offsets[0]]
 
 
 def _open(path: str, write: bool):
@@ -218,27 +274,28 @@ def write_planes(docs: DataFrame, path: str, tokenizer: str, end_id: int = 2, bi
         encoder = worker_cache("encoders").get(tokenizer)
         if encoder is None:
             encoder = worker_cache("encoders")[tokenizer] = WordEncoder(tokenizer)
-        end, out, ids, sizes = array.array("I", [end_id]).tobytes(), None, [], []
+        out, ids, sizes = None, [], []
         for batch in batches:
-            for lo, hi in slices(flat(batch.column(1))[1], 1 << 20):
+            for lo, hi in slices(flat(batch.column(1))[1], SLICE):
                 if out is None:
                     shard = TaskContext.get().partitionId()
                     file = f"{path}/shard-{shard:06d}-{uuid.uuid4().hex}.planes"
                     out = _open(file, True)
                     writer = PlaneWriter(out, bits)
-                for b in encoder.encode(batch.column(1)[lo:hi].to_pylist()):
-                    coded = np.frombuffer(b + end, "<u4")
-                    sizes.append(len(coded))
-                    writer.add(coded)
+                coded, at = encoder.encode(batch.column(1)[lo:hi])
+                writer.add(np.insert(coded, at[1:], end_id))
+                sizes.append(np.diff(at) + 1)
             ids.append(batch.column(0))
         if out is not None:
-            writer.close(pa.table({"doc_id": pa.chunked_array(ids), "n_tokens": pa.array(sizes, pa.int64())}))
+            writer.close(pa.table({"doc_id": pa.chunked_array(ids), "n_tokens": np.concatenate(sizes)}))
             out.close()
             yield pa.RecordBatch.from_pydict({
-                "shard": pa.array([shard], pa.int32()), "file": [file], "n_docs": pa.array([len(sizes)], pa.int64()),
+                "shard": pa.array([shard], pa.int32()), "file": [file], "n_docs": pa.array([sum(map(len, sizes))], pa.int64()),
                 "n_tokens": pa.array([writer.total], pa.int64())})
 
-    return stage(rows.mapInArrow(write, MANIFEST), "manifest", f"{path}/manifest")
+    # Small batches: what a worker holds of the text then does not depend on the session.
+    with settings(docs.sparkSession, {"spark.sql.execution.arrow.maxRecordsPerBatch": BATCH_ROWS}):
+        return stage(rows.mapInArrow(write, MANIFEST), "manifest", f"{path}/manifest")
 
 
 def read_planes(spark: SparkSession, path: str, id_type: str = "bigint") -> DataFrame:
