@@ -17,16 +17,15 @@ from clickmart.llm.common import GAP, WORD, let, stage
 MIN_WORDS = 50            # shorter texts fail; also the least length of a reference document
 MAX_REPEAT_PERCENT = 50   # words in repeated 3-word windows
 SYMBOLS = "#*$%&|<>"
-CLASSES = {               # the rest of the characters is one more class
-    "lower": r"\p{Ll}\p{Nd}", "upper": r"\p{Lu}", "stop": r".,;:?'()\-", "mark": r"#*$%&|<>!",
-}
+CLASSES = ("upper", "stop", "mark")  # the rest of the characters is one more class
+UPPER, STOP, SHOUT = r"\p{Lu}", r".,;:?'()\-", "!"  # a mark is one of SYMBOLS or SHOUT
 COMMON_WORDS = 32         # words of a reference
 COMMON_LENGTH = 5         # letters of a common word at most
 VARIED = 4                # a reference document has a distinct word in so many at least
-PLAIN = 20                # and one mark in so many words at most, and more lower than upper case
+PLAIN = 20                # and one mark in so many words at most, and fewer capitals than half
 MIN_CHARS = 200           # least characters for the class distance
 MIN_LETTER_WORDS = 100    # least words for the word distance
-MAX_CLASS_DISTANCE = 0.15
+MAX_CLASS_DISTANCE = 0.13
 MAX_WORD_DISTANCE = 0.36
 # -----------------------------------------------------------------------------
 
@@ -35,28 +34,36 @@ def _chars(text: Column, kept: str) -> Column:
     return F.char_length(F.regexp_replace(text, f"[^{kept}]+", "")).cast("bigint")
 
 
-def _repeated_words(words: Column) -> Column:
-    """Words that lie in a 3-word window which the text has twice or more."""
-    def covered(at: Column) -> Column:  # sorted starts of such windows
+FEW = 64  # repeated windows that are looked up in a list
+
+
+def _window_hashes(words: Column) -> Column:
+    """Hash of every 3-word window; one for each word, the last two to be left out."""
+    hashes = let(words, lambda w: F.transform(w, lambda x, k: F.xxhash64(x, F.get(w, k + 1), F.get(w, k + 2))))
+    return F.when(F.size(words) < 4, F.array().cast("array<bigint>")).otherwise(F.slice(hashes, F.lit(1), F.size(words) - 2))
+
+
+def _repeated_words(hashes: Column, ordered: Column) -> Column:
+    """Words that lie in a 3-word window which the text has twice or more, from
+    the windows' hashes, as they stand and sorted."""
+    def covered(at: Column) -> Column:  # ascending starts of such windows
         gaps = F.transform(at, lambda p, k: F.least(F.lit(3), p - F.coalesce(F.get(at, k - 1), F.lit(-3))))
         return F.aggregate(gaps, F.lit(0), lambda a, g: a + g).cast("bigint")
 
-    def starts(pairs: Column) -> Column:  # (hash, start), sorted
-        same = lambda x, k: (F.get(pairs, k)["h"] == x["h"])
-        hit = F.filter(pairs, lambda x, k: F.coalesce(same(x, k - 1), F.lit(False)) | F.coalesce(same(x, k + 1), F.lit(False)))
-        return F.sort_array(F.transform(hit, lambda x: x["p"]))
-
-    def count(hashes: Column) -> Column:
-        pairs = F.transform(hashes, lambda h, p: F.struct(h.alias("h"), p.alias("p")))
-        slow = let(F.sort_array(pairs), lambda s: let(starts(s), covered))
-        return F.when(F.size(F.array_distinct(hashes)) == F.size(hashes), F.lit(0).cast("bigint")).otherwise(slow)
+    def listed(twice: Column) -> Column:
+        at = F.transform(hashes, lambda h, k: F.when(F.array_contains(twice, h), k))
+        return F.filter(at, lambda k: k.isNotNull())
 
-    def windows(w: Column) -> Column:
-        zipped = F.arrays_zip(w.alias("a"), F.slice(w, F.lit(2), F.size(w)).alias("b"), F.slice(w, F.lit(3), F.size(w)).alias("c"))
-        hashes = F.transform(F.slice(zipped, F.lit(1), F.size(w) - 2), lambda x: F.xxhash64(x))
-        return let(hashes, count)
+    def sorted_starts(pairs: Column) -> Column:  # (hash, start), sorted
+        same = lambda x, k: F.coalesce(F.get(pairs, k)["h"] == x["h"], F.lit(False))
+        hit = F.filter(pairs, lambda x, k: same(x, k - 1) | same(x, k + 1))
+        return F.sort_array(F.transform(hit, lambda x: x["p"]))
 
-    return F.when(F.size(words) < 4, F.lit(0).cast("bigint")).otherwise(windows(words))
+    twice = F.array_distinct(F.filter(ordered, lambda h, k: F.coalesce(F.get(ordered, k - 1) == h, F.lit(False))))
+    pairs = F.sort_array(F.transform(hashes, lambda h, p: F.struct(h.alias("h"), p.alias("p"))))
+    starts = let(twice, lambda d: F.when(F.size(d) <= FEW, listed(d)).otherwise(let(pairs, sorted_starts)))
+    none = F.size(F.array_distinct(hashes)) == F.size(hashes)
+    return F.when(none, F.lit(0).cast("bigint")).otherwise(let(starts, covered))
 
 
 def base_counts(docs: DataFrame) -> DataFrame:
@@ -70,15 +77,18 @@ def base_counts(docs: DataFrame) -> DataFrame:
         .withColumn("word_chars", F.char_length(F.array_join("__words", "")).cast("bigint"))
         .withColumn("n_symbols", _chars(text, SYMBOLS))
         .withColumn("n_dup_lines", let(lines, lambda x: F.size(x) - F.size(F.array_distinct(x))).cast("bigint"))
-        .withColumn("n_repeat_words", _repeated_words(F.col("__words")))
+        .withColumn("__windows", _window_hashes(F.col("__words")))
+        .withColumn("__ordered", F.sort_array("__windows"))
+        .withColumn("n_repeat_words", _repeated_words(F.col("__windows"), F.col("__ordered")))
         .withColumn("base_failed", (F.col("n_words") < MIN_WORDS) | (100 * F.col("n_repeat_words") > MAX_REPEAT_PERCENT * F.col("n_words")))
     )
 
 
-def _class_counts() -> list[Column]:
+def _class_counts(symbols: Column) -> list[Column]:
     text = F.coalesce(F.col("text"), F.lit(""))
-    named = [_chars(text, c).alias(f"__{n}") for n, c in CLASSES.items()]
-    return [*named, F.char_length(text).cast("bigint").alias("__chars")]
+    shouts = F.char_length(text) - F.char_length(F.replace(text, F.lit(SHOUT), F.lit("")))
+    return [_chars(text, UPPER).alias("__upper"), _chars(text, STOP).alias("__stop"), (symbols + shouts).cast("bigint").alias("__mark"),
+            F.char_length(text).cast("bigint").alias("__chars")]
 
 
 def _letter_words() -> Column:
@@ -89,16 +99,13 @@ def references(docs: DataFrame) -> DataFrame:
     """One row per ``lang`` (and one with NULL for all languages together): class
     shares and the most common words with their shares.  The table grows with
     the number of languages only."""
-    words = F.array_remove(F.split(F.coalesce(F.col("text"), F.lit("")), GAP), "")
-    long = (
-        docs.select("lang", "text", words.alias("__words"))
-        .filter((F.size("__words") >= MIN_WORDS) & (VARIED * F.size(F.array_distinct("__words")) >= F.size("__words")))
-    )
-    short = lambda w: F.length(w) <= COMMON_LENGTH
-    one = long.select("lang", "__words", *_class_counts(), _letter_words().alias("__letters"))
-    one = one.filter((F.col("__mark") * PLAIN <= F.size("__words")) & (F.col("__upper") <= F.col("__lower")))
-    one = one.withColumn("__row", F.explode(F.concat(  # the document's totals travel as one more word
-        F.array(F.lit(None).cast("string")), F.filter("__letters", short))))
+    one = docs.select("lang", *_class_counts(_chars(F.coalesce(F.col("text"), F.lit("")), SYMBOLS)), _letter_words().alias("__letters"))
+    n = F.size("__letters")
+    usable = (n >= MIN_WORDS) & (F.col("__mark") * PLAIN <= n) & (2 * F.col("__upper") <= F.col("__chars"))
+    usable &= VARIED * F.size(F.array_distinct("__letters")) >= n
+    short = F.filter("__letters", lambda w: F.length(w) <= COMMON_LENGTH)
+    totals = F.array(F.lit(None).cast("string"))  # the document's totals travel as one more word
+    one = one.withColumn("__row", F.explode(F.when(usable, F.concat(totals, short)).otherwise(F.array().cast("array<string>"))))
     total = lambda c: F.sum(F.when(F.col("__row").isNull(), c))
     counts = stage(
         one.groupBy("lang", "__row").agg(
@@ -151,7 +158,7 @@ def quality(docs: DataFrame, max_class_distance: float = MAX_CLASS_DISTANCE, max
     pooled = pooled.select([F.col(c).alias(f"all_{c}") for c in pooled.columns])
     # A row per language, of fixed width: languages are few hundred at most.
     table = F.broadcast(known)
-    rows = base_counts(docs).select("*", *_class_counts(), _letter_words().alias("__letters"))
+    rows = base_counts(docs).select("*", *_class_counts(F.col("n_symbols")), _letter_words().alias("__letters"))
     rows = rows.join(table, F.col("lang") == F.col("ref_lang"), "left").join(F.broadcast(pooled), F.lit(True), "left")
     ref = lambda c: F.coalesce(F.col(c), F.col(f"all_{c}"))
 
