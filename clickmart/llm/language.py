@@ -21,6 +21,7 @@ SAMPLE_ROWS = 400            # rows per language at most
 ALL_CHARS = 1_500_000        # of all languages together; more languages get less each
 ALPHABET = 254               # most frequent characters of the samples
 # -----------------------------------------------------------------------------
+CELLS = 64                   # in which a language's rows are chosen first
 BLOCK = 256                  # characters parsed in step; a phrase ends at the end of a block
 MISS = np.uint32(1 << 31)
 UNDETERMINED = "und"
@@ -38,9 +39,12 @@ def sample(docs: DataFrame, sample_chars: int = SAMPLE_CHARS, sample_rows: int =
     Every labelled row can be chosen; what is gathered has a fixed bound."""
     rows = docs.filter(F.col("lang").isNotNull() & (F.trim("lang") != "") & F.col("text").rlike(r"\p{L}"))
     rows = rows.select("lang", "text", F.xxhash64("text").alias("key"))
-    order = Window.partitionBy("lang").orderBy("key")
-    chosen = rows.select("lang", "key").distinct().withColumn("k", F.row_number().over(order))
-    chosen = chosen.filter(F.col("k") <= sample_rows)  # a bounded number of keys, so fit to broadcast
+    first = lambda *by: F.row_number().over(Window.partitionBy(*by).orderBy("key"))
+    # First within cells of a language, then among what the cells keep: no task has a language's rows.
+    chosen = rows.select("lang", "key").distinct().withColumn("cell", F.pmod("key", F.lit(CELLS)))
+    chosen = chosen.withColumn("k", first("lang", "cell")).filter(F.col("k") <= sample_rows)
+    chosen = chosen.withColumn("k", first("lang")).filter(F.col("k") <= sample_rows).select("lang", "key", "k")
+    # A bounded number of keys, so fit to broadcast.
     rows = rows.join(F.broadcast(chosen), ["lang", "key"]).withColumn("text", F.substring(normal("text"), 1, sample_chars))
     rows = rows.groupBy("lang", "k").agg(F.min("text").alias("text"))
     before = Window.partitionBy("lang").orderBy("k").rowsBetween(Window.unboundedPreceding, -1)
