@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from clickmart.llm import decontaminate, jaccard, language, mixing, quality, suffixes, surrogates, token_planes, toxicity, windows
+from clickmart.llm import decontaminate, jaccard, language, mixing, oracle, quality, suffixes, surrogates, token_planes, toxicity, windows
 from clickmart.llm.common import crc, read
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -74,4 +74,4 @@ def queries() -> dict[str, Query]:
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op7_mix_sources": mixing.ORACLE}
+    return oracle.oracle_sql()
