@@ -25,6 +25,7 @@ EXAMPLES = 6_000          # labelled rows per label at most
 TERMS = 4_000             # terms at most
 MIN_ROWS = 5              # sample rows that have a term, at least
 MIN_CHI2 = 30.0           # of a term and the label, one degree of freedom
+MIN_LIFT = 0.25           # of the share labelled 1 among rows that have a term, either way
 NEIGHBOURS = 25
 BLOCK = 32                # examples a block
 DAMPING = 0.3             # votes of the prior, in cosines
@@ -75,7 +76,8 @@ def _telling_terms(rows: DataFrame, total: int, ones: int) -> list[str]:
     expected = n * (ones / max(1, total))
     spread = n * (ones / max(1, total)) * (1 - ones / max(1, total)) * (1 - n / max(1, total))
     chi2 = F.when(spread > 0, (n1 - expected) * (n1 - expected) / spread).otherwise(F.lit(0.0))
-    best = _count_terms(rows).filter(n >= MIN_ROWS).withColumn("chi2", chi2).filter(F.col("chi2") >= MIN_CHI2)
+    lift = F.abs(n1 / n - ones / max(1, total))
+    best = _count_terms(rows).filter((n >= MIN_ROWS) & (lift >= MIN_LIFT)).withColumn("chi2", chi2).filter(F.col("chi2") >= MIN_CHI2)
     return [r.term for r in best.orderBy(F.desc("chi2"), "term").limit(TERMS).select("term").collect()]
 
 
