@@ -189,6 +189,7 @@ def identify(docs: DataFrame, texts: dict[str, str]) -> DataFrame:
 
     def label(batches):
         import pyarrow as pa
+        from pyarrow import compute as pc
 
         cache = worker_cache("language")
         if token not in cache:
@@ -197,8 +198,7 @@ def identify(docs: DataFrame, texts: dict[str, str]) -> DataFrame:
         model = cache[token]
         for batch in batches:
             at = batch.schema.get_field_index("__normal")
-            size = pa.array([len(t) for t in batch.column(at).to_pylist()], pa.int64()).to_numpy()
-            off = np.concatenate([[0], np.cumsum(size)])
+            off = np.concatenate([[0], np.cumsum(pc.utf8_length(batch.column(at)).to_numpy(zero_copy_only=False))])
             rest = batch.drop_columns(["__normal"])
             for lo, hi in slices(off, 1 << 21):
                 names, score = model.predict(batch.column(at)[lo:hi].to_pylist())
