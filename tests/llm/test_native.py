@@ -73,12 +73,13 @@ def test_coreference_gender_and_distinctness(spark):
     assert re.sub(r"\D", "", one) == re.sub(r"\D", "", two)
 
 
-def test_surrogates_are_one_to_one_and_nobody_s(spark):
-    # 900 of the 1000 last digits and so many collisions of draws.
-    parts = spark.createDataFrame([("phone", f"1{k:03d}") for k in range(900)], "type string, canon string")
+def test_surrogates_are_one_to_one_and_nobody_s(spark, monkeypatch):
+    monkeypatch.setattr(surrogates, "ROUNDS_BEFORE_GROWTH", 2)
+    # 60 of the 100 numbers occur, so draws meet them and each other.
+    parts = spark.createDataFrame([("phone", f"1{k:02d}") for k in range(60)], "type string, canon string")
     got = surrogates.assign(parts, "k").collect()
     said = [r.surrogate for r in got]
-    assert len(got) == 900 and len(set(said)) == 900
+    assert len(got) == 60 and len(set(said)) == 60
     assert not set(said) & {r.canon for r in got}
 
 
