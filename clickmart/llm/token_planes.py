@@ -34,10 +34,10 @@ MAGIC = b"IDPLANE1"
 BLOCK = 1 << 16
 TAIL = "<QQQIB8s"  # document index at, chunk index at, ids, block size, bits a plane, magic
 LEVEL = 3
-CACHED_WORDS, CACHED_LENGTH = 150_000, 64
+CACHED_WORDS, CACHED_LENGTH = 200_000, 64
 MARKS = ".,;:!?*#$%&|"
-BATCH_ROWS = "1000"
-SLICE = 2 << 20           # bytes of text encoded at once
+BATCH_ROWS = "2000"
+SLICE = 6 << 20           # bytes of text encoded at once
 MANIFEST = "shard int, file string, n_docs bigint, n_tokens bigint"
 DOCUMENT = "start bigint, n_tokens bigint, ids_crc32 bigint"
 
