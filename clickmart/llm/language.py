@@ -9,6 +9,8 @@ language with the fewest wins.
 
 from __future__ import annotations
 
+import re
+
 import numpy as np
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
@@ -28,9 +30,12 @@ UNDETERMINED = "und"
 SCHEMA = "lang_pred string, score double"
 
 
-def normal(text) -> F.Column:
+APART = re.compile(r"[\W\d_]+")
+
+
+def normal(text: str) -> str:
     """Letters in lower case, all else one space."""
-    return F.trim(F.regexp_replace(F.lower(text), r"[^\p{L}\p{M}]+", " "))
+    return APART.sub(" ", text.lower()).strip()
 
 
 def sample(docs: DataFrame, sample_chars: int = SAMPLE_CHARS, sample_rows: int = SAMPLE_ROWS) -> dict[str, str]:
@@ -45,13 +50,13 @@ def sample(docs: DataFrame, sample_chars: int = SAMPLE_CHARS, sample_rows: int =
     chosen = chosen.withColumn("k", first("lang", "cell")).filter(F.col("k") <= sample_rows)
     chosen = chosen.withColumn("k", first("lang")).filter(F.col("k") <= sample_rows).select("lang", "key", "k")
     # A bounded number of keys, so fit to broadcast.
-    rows = rows.join(F.broadcast(chosen), ["lang", "key"]).withColumn("text", F.substring(normal("text"), 1, sample_chars))
+    rows = rows.join(F.broadcast(chosen), ["lang", "key"]).withColumn("text", F.substring("text", 1, 2 * sample_chars))
     rows = rows.groupBy("lang", "k").agg(F.min("text").alias("text"))
     before = Window.partitionBy("lang").orderBy("k").rowsBetween(Window.unboundedPreceding, -1)
     rows = rows.withColumn("before", F.coalesce(F.sum(F.length("text")).over(before), F.lit(0)))
     gathered: dict[str, list] = {}
-    for r in rows.filter(F.col("before") < sample_chars).collect():
-        gathered.setdefault(r.lang, []).append((r.k, r.text))
+    for r in rows.filter(F.col("before") < 2 * sample_chars).collect():
+        gathered.setdefault(r.lang, []).append((r.k, normal(r.text)))
     each = min(sample_chars, ALL_CHARS // max(1, len(gathered)))
     return {lang: " ".join(t for _, t in sorted(parts))[:each] for lang, parts in sorted(gathered.items())}
 
@@ -183,7 +188,7 @@ def identify(docs: DataFrame, texts: dict[str, str]) -> DataFrame:
 
     docs = docs.drop("lang_pred", "score")
     has_letter = F.coalesce(F.col("text").rlike(r"\p{L}"), F.lit(False))
-    rows = docs.withColumn("__normal", F.when(has_letter, normal("text")).otherwise(""))
+    rows = docs.withColumn("__letters", has_letter)
     shared = docs.sparkSession.sparkContext.broadcast(texts)  # bounded by ALL_CHARS
     token = f"{hash(tuple(sorted(texts.items()))):x}"
 
@@ -197,12 +202,15 @@ def identify(docs: DataFrame, texts: dict[str, str]) -> DataFrame:
             cache[token] = Model(shared.value)
         model = cache[token]
         for batch in batches:
-            at = batch.schema.get_field_index("__normal")
-            off = np.concatenate([[0], np.cumsum(pc.utf8_length(batch.column(at)).to_numpy(zero_copy_only=False))])
-            rest = batch.drop_columns(["__normal"])
-            for lo, hi in slices(off, 1 << 21):
-                names, score = model.predict(batch.column(at)[lo:hi].to_pylist())
-                piece = rest.slice(lo, hi - lo)
+            letters = batch.column(batch.schema.get_field_index("__letters"))
+            text = batch.column(batch.schema.get_field_index("text"))
+            off = np.concatenate([[0], np.cumsum(pc.fill_null(pc.utf8_length(text), 0).to_numpy(zero_copy_only=False))])
+            rest = batch.drop_columns(["__letters"])
+            for lo, hi in slices(off, 1 << 20):
+                size = hi - lo
+                pairs = zip(text.slice(lo, size).to_pylist(), letters.slice(lo, size).to_pylist(), strict=True)
+                names, score = model.predict([normal(t) if ok else "" for t, ok in pairs])
+                piece = rest.slice(lo, size)
                 yield pa.RecordBatch.from_arrays([*piece.columns, pa.array(names), pa.array(score)],
                                                  [*piece.schema.names, "lang_pred", "score"])
 
