@@ -49,6 +49,22 @@ CLUSTER_CONF: Mapping[str, str] = {
 }
 
 
+# A micro-batch is small and has to be done before the next: few, warm tasks and
+# few state stores (their number is fixed by the first batch of a checkpoint).
+STREAM_CONF: Mapping[str, str] = {
+    **CLUSTER_CONF,
+    "spark.sql.adaptive.coalescePartitions.initialPartitionNum": "256",
+    "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(64 * 1024 * 1024),
+    "spark.sql.shuffle.partitions": "256",
+    "spark.sql.files.maxPartitionBytes": str(128 * 1024 * 1024),
+}
+
+
+def stream_builder(builder, app_name: str = "clickmart", extra: Mapping[str, str] | None = None):
+    """Apply :data:`STREAM_CONF` (plus ``extra``) to a ``SparkSession.builder``."""
+    return cluster_builder(builder, app_name, {**STREAM_CONF, **(extra or {})})
+
+
 def cluster_builder(builder, app_name: str = "clickmart", extra: Mapping[str, str] | None = None):
     """Apply :data:`CLUSTER_CONF` (plus ``extra``) to a ``SparkSession.builder``."""
     b = builder.appName(app_name)

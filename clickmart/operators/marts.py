@@ -15,7 +15,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from clickmart.functions import floor_seconds, micros_between, pct2
-from clickmart.schema import ADD_TO_CART, PAGE_VIEW, PURCHASE, RAW_EVENT_COLUMNS
+from clickmart.schema import ADD_TO_CART, IDENTITY, PAGE_VIEW, PURCHASE, RAW_EVENT_COLUMNS
 
 
 def _is(event_type: str) -> Column:
@@ -25,9 +25,9 @@ def _is(event_type: str) -> Column:
 def raw_events(ev: DataFrame, with_created_at: bool = True) -> DataFrame:
     """Stored projection of decoded events; ``created_at`` is the write time.
 
-    The optional ``amount`` extension column (order value of a PURCHASE) is
-    kept when present."""
-    extra = [c for c in ("amount", "batch_id") if c in ev.columns]
+    The optional ``amount`` (order value of a PURCHASE) and the source's identity
+    are kept when present."""
+    extra = [c for c in ("amount", *IDENTITY, "batch_id") if c in ev.columns]
     out = ev.select(*RAW_EVENT_COLUMNS, *extra)
     return out.withColumn("created_at", F.current_timestamp()) if with_created_at else out
 
@@ -297,11 +297,12 @@ def page_metrics_full(ev: DataFrame) -> DataFrame:
 def build_marts(ev: DataFrame, metric_ts: Column | None = None, region_label: str = "region") -> dict[str, DataFrame]:
     """All five stored tables (without the write-time column) from one set of
     decoded events with ``batch_id``."""
-    pages = page_metrics_full(ev)
-    return {
-        "clickstream_events": raw_events(ev, with_created_at=False),
+    out = {
         "realtime_metrics": realtime_metrics(ev, metric_ts),
-        "page_metrics": pages,
+        "page_metrics": page_metrics_full(ev),
         "user_behavior": user_behavior(ev),
         "device_analytics": device_analytics(ev, region_label),
     }
+    if metric_ts is not None:  # the batch's date, by which the marts are partitioned
+        out = {name: df.withColumn("batch_date", F.to_date(metric_ts)) for name, df in out.items()}
+    return {"clickstream_events": raw_events(ev, with_created_at=False), **out}

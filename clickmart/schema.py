@@ -1,8 +1,8 @@
 """Schemas, table layouts and fixed vocabulary of the click-event data model.
 
 Everything here is plain data: the wire schema of one JSON click event, the
-five stored tables (each partitioned by ``batch_id``), and the event-type and
-label constants the marts and dashboard queries compare against.
+five stored tables (partitioned by date, stream and batch), and the event-type
+and label constants the marts and dashboard queries compare against.
 """
 
 from __future__ import annotations
@@ -39,15 +39,21 @@ REQUIRED_TABLES = (TABLE_EVENTS, TABLE_METRICS, TABLE_PAGES, TABLE_USERS, TABLE_
 
 CORRUPT_COLUMN = "_corrupt_record"
 
+# Optional wire field: the order value of a PURCHASE (text of a number).
+AMOUNT = "amount"
+# Where a record came from; its identity, if the source knows it.
+IDENTITY = ("topic", "partition", "offset")
+
 EVENT_SCHEMA = T.StructType([T.StructField(name, T.StringType(), True) for name in WIRE_FIELDS])
 # Same schema plus the slot ``from_json`` fills with the text of a record it
 # cannot decode (used to tell undecodable records from records without a user).
-EVENT_SCHEMA_WITH_CORRUPT = T.StructType(EVENT_SCHEMA.fields + [T.StructField(CORRUPT_COLUMN, T.StringType(), True)])
+EVENT_SCHEMA_WITH_CORRUPT = T.StructType(EVENT_SCHEMA.fields + [
+    T.StructField(AMOUNT, T.StringType(), True), T.StructField(CORRUPT_COLUMN, T.StringType(), True)])
 
 # Decoded event as stored (wire names renamed, event time parsed).
 RAW_EVENT_COLUMNS = ("user_id", "page_url", "event_type", "timestamp", "session_id", "device", "region", "referrer")
 
-_S, _L, _NTZ, _TS = T.StringType(), T.LongType(), T.TimestampNTZType(), T.TimestampType()
+_S, _L, _NTZ, _TS, _D = T.StringType(), T.LongType(), T.TimestampNTZType(), T.TimestampType(), T.DateType()
 _RATE = T.DecimalType(5, 2)
 
 
@@ -58,24 +64,25 @@ def _struct(*fields: tuple[str, T.DataType]) -> T.StructType:
 TABLE_SCHEMAS: dict[str, T.StructType] = {
     TABLE_EVENTS: _struct(
         ("user_id", _S), ("page_url", _S), ("event_type", _S), ("timestamp", _NTZ), ("session_id", _S),
-        ("device", _S), ("region", _S), ("referrer", _S), ("created_at", _TS), ("batch_id", _L),
+        ("device", _S), ("region", _S), ("referrer", _S), ("amount", T.DecimalType(18, 2)), ("topic", _S),
+        ("partition", T.IntegerType()), ("offset", _L), ("created_at", _TS), ("event_date", _D), ("stream_id", _S), ("batch_id", _L),
     ),
     TABLE_METRICS: _struct(
         ("metric_timestamp", _NTZ), ("total_events", _L), ("unique_users", _L), ("unique_sessions", _L),
         ("page_views", _L), ("purchases", _L), ("cart_additions", _L), ("bounce_rate", _RATE),
-        ("avg_session_duration", _L), ("created_at", _TS), ("batch_id", _L),
+        ("avg_session_duration", _L), ("created_at", _TS), ("batch_date", _D), ("stream_id", _S), ("batch_id", _L),
     ),
     TABLE_PAGES: _struct(
         ("page_url", _S), ("view_count", _L), ("unique_visitors", _L), ("avg_time_on_page", _L),
-        ("bounce_rate", _RATE), ("conversion_rate", _RATE), ("last_updated", _TS), ("batch_id", _L),
+        ("bounce_rate", _RATE), ("conversion_rate", _RATE), ("last_updated", _TS), ("batch_date", _D), ("stream_id", _S), ("batch_id", _L),
     ),
     TABLE_USERS: _struct(
         ("user_id", _S), ("sessions", _L), ("events", _L), ("purchases", _L), ("last_active", _NTZ),
-        ("updated_at", _TS), ("batch_id", _L),
+        ("updated_at", _TS), ("batch_date", _D), ("stream_id", _S), ("batch_id", _L),
     ),
     TABLE_DIMENSIONS: _struct(
         ("dimension_type", _S), ("dimension_value", _S), ("event_count", _L), ("unique_users", _L),
-        ("conversion_rate", _RATE), ("updated_at", _TS), ("batch_id", _L),
+        ("conversion_rate", _RATE), ("updated_at", _TS), ("batch_date", _D), ("stream_id", _S), ("batch_id", _L),
     ),
 }
 
@@ -88,3 +95,8 @@ WRITE_TIME_COLUMN = {
     TABLE_USERS: "updated_at",
     TABLE_DIMENSIONS: "updated_at",
 }
+
+# Partition columns of each table, outermost first: the event's date or the
+# batch's date, so that a time range prunes whole folders; then the stream and
+# the batch, which a replay replaces.
+PARTITIONS = {name: ("event_date" if name == TABLE_EVENTS else "batch_date", "stream_id", "batch_id") for name in REQUIRED_TABLES}

@@ -1,27 +1,37 @@
-"""Stored tables as Parquet directories partitioned by ``batch_id``.
+"""Stored tables as Parquet directories partitioned by date, stream and batch.
 
 A table is ``<root>/<name>``, where ``root`` is a shared location (a
-distributed file system or object store on a cluster).  Writing one batch
-replaces exactly that batch's partition (dynamic partition overwrite), so a
-replayed micro-batch -- after a crash between the sink write and the
-offset commit -- leaves the tables unchanged instead of duplicating rows.
-Partitioning by ``batch_id`` also gives partition pruning for "newest
-batches" panels and replaces the B-tree indexes of the original tables.
+distributed file system or object store on a cluster).  The outermost
+partition is a date -- the event's for raw events, the batch's for the marts --
+so that a time range opens only the folders of its days; below it come the
+stream (a checkpoint's identity: batch numbers restart with each checkpoint)
+and the batch.  Writing a batch clears every partition the same stream's batch
+left before, then appends, so a replayed micro-batch -- after a crash between
+the sink write and the offset commit -- leaves the tables as they were, also
+where its new output is empty.
 """
 
 from __future__ import annotations
 
+import datetime as dt
+import re
 from collections.abc import Iterable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from clickmart.schema import REQUIRED_TABLES, TABLE_SCHEMAS, WRITE_TIME_COLUMN
-
+from clickmart.schema import PARTITIONS, REQUIRED_TABLES, TABLE_EVENTS, TABLE_METRICS, TABLE_SCHEMAS, WRITE_TIME_COLUMN
+from clickmart.sinks import files
+from clickmart.sinks.files import path_exists
 
 # Columns each table is sorted by inside its files.
 SORT_WITHIN_FILES = {"clickstream_events": ("timestamp",), "realtime_metrics": ("metric_timestamp",)}
+DEFAULT_STREAM = "default"
+# Tasks that share one partition's rows when many batches are written at once.
+SPREAD = 4
+# Tasks of one compaction at most.
+MOST_TASKS = 10_000
 
 
 def checkpoint_root(spark: SparkSession) -> str:
@@ -36,11 +46,22 @@ def table_path(root: str, name: str) -> str:
     return f"{root.rstrip('/')}/{name}"
 
 
-def conform(df: DataFrame, name: str) -> DataFrame:
+def conform(df: DataFrame, name: str, stream_id: str = DEFAULT_STREAM, batch_date: dt.date | None = None) -> DataFrame:
     """Select and cast ``df`` to the stored schema of table ``name``; the
     write-time column is filled with the current time, missing optional
-    columns with NULL."""
+    columns with NULL.
+
+    The date partition comes from the row: the event's date, or the batch's
+    (a ``batch_date`` column, the date of ``metric_timestamp``, or the given
+    ``batch_date``)."""
     schema = TABLE_SCHEMAS[name]
+    if "stream_id" not in df.columns:
+        df = df.withColumn("stream_id", F.lit(stream_id))
+    if name == TABLE_EVENTS:
+        df = df.withColumn("event_date", F.to_date("timestamp"))
+    elif "batch_date" not in df.columns:
+        own = F.to_date("metric_timestamp") if name == TABLE_METRICS else F.lit(None)
+        df = df.withColumn("batch_date", own if batch_date is None else F.lit(batch_date))
     cols = []
     for f in schema.fields:
         if f.name == WRITE_TIME_COLUMN[name]:
@@ -57,7 +78,7 @@ def create_tables(spark: SparkSession, root: str, names: Iterable[str] = REQUIRE
     for name in names:
         empty = spark.createDataFrame([], TABLE_SCHEMAS[name])
         mode = "overwrite" if drop else "ignore"
-        empty.write.mode(mode).partitionBy("batch_id").parquet(table_path(root, name))
+        empty.write.mode(mode).partitionBy(*PARTITIONS[name]).parquet(table_path(root, name))
 
 
 def read_table(spark: SparkSession, root: str, name: str) -> DataFrame:
@@ -70,50 +91,90 @@ def read_tables(spark: SparkSession, root: str, names: Iterable[str] = REQUIRED_
     return {n: read_table(spark, root, n) for n in names}
 
 
-def write_batch_idempotent(df: DataFrame, root: str, name: str, batch_id: int | None = None) -> None:
-    """Write rows of one or more batches, replacing exactly those batch
-    partitions.  ``batch_id`` (when given) is stamped on every row."""
+def stored_dates(df: DataFrame, column: str) -> list[dt.date] | None:
+    """The dates of a stored table's folders, newest first, from the file listing
+    alone; None if ``df`` is not such a table as it was read."""
+    found = set()
+    for path in df.inputFiles():
+        m = re.search(rf"/{column}=([^/]+)/", path)
+        if not m:
+            return None
+        if not m[1].startswith("__"):
+            found.add(dt.date.fromisoformat(m[1]))
+    return sorted(found, reverse=True) or None
+
+
+def clear_batch(spark: SparkSession, root: str, name: str, stream_id: str, batch_id: int) -> int:
+    """Remove every partition that batch ``batch_id`` of ``stream_id`` has in a table."""
+    old = files.glob(spark, f"{table_path(root, name)}/*/stream_id={stream_id}/batch_id={int(batch_id)}")
+    for path in old:
+        files.delete(spark, path)
+    return len(old)
+
+
+def batch_time(spark: SparkSession, root: str, stream_id: str, batch_id: int, now: dt.datetime) -> dt.datetime:
+    """The time of a batch: ``now`` when it is first seen, the same on a replay."""
+    path = f"{root.rstrip('/')}/_batches/stream_id={stream_id}/batch_id={int(batch_id)}"
+    return dt.datetime.fromisoformat(files.write_once(spark, path, now.isoformat()))
+
+
+def write_batch_idempotent(df: DataFrame, root: str, name: str, batch_id: int | None = None, stream_id: str = DEFAULT_STREAM,
+                           batch_date: dt.date | None = None) -> None:
+    """Write the rows of one batch, replacing all that the same batch of the
+    same stream has stored before, or (without ``batch_id``) of many batches,
+    replacing the partitions they fall in.
+
+    For many batches the rows are first brought together by partition, spread
+    over a few tasks each, so that not every task writes into every batch."""
+    if not re.fullmatch(r"[A-Za-z0-9_.-]+", stream_id):
+        raise ValueError(f"stream id {stream_id!r} is not fit for a folder name")
     if batch_id is not None:
         df = df.withColumn("batch_id", F.lit(int(batch_id)).cast("bigint"))
-    out = conform(df, name)
+    out = conform(df, name, stream_id, batch_date)
+    parts = PARTITIONS[name]
+    if batch_id is None:
+        out = out.repartition(*parts, F.pmod(F.xxhash64(*[c for c in out.columns if c not in parts]), F.lit(SPREAD)))
     if name in SORT_WITHIN_FILES:
         # Row groups then cover narrow time spans, so time-range filters skip
         # most of them from Parquet min/max statistics (the stand-in for the
         # timestamp index of the original tables).  A per-task sort, no shuffle.
-        out = out.sortWithinPartitions(*SORT_WITHIN_FILES[name])
-    (out.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-     .partitionBy("batch_id").parquet(table_path(root, name)))
-
-
-def path_exists(spark: SparkSession, path: str) -> bool:
-    """Whether ``path`` exists on its file system (local, HDFS, object store)."""
-    jvm = spark.sparkContext._jvm
-    p = jvm.org.apache.hadoop.fs.Path(path)
-    return bool(p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(p))
+        out = out.sortWithinPartitions(*parts, *SORT_WITHIN_FILES[name])
+    if batch_id is None:
+        (out.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+         .partitionBy(*parts).parquet(table_path(root, name)))
+    else:
+        clear_batch(df.sparkSession, root, name, stream_id, batch_id)
+        out.write.mode("append").partitionBy(*parts).parquet(table_path(root, name))
 
 
 def compact(spark: SparkSession, root: str, name: str, first_batch: int, last_batch: int, files_per_batch: int = 1) -> int:
-    """Rewrite the partitions ``first_batch..last_batch`` of table ``name`` into
-    ``files_per_batch`` files each (every micro-batch leaves small files; a
+    """Rewrite the partitions ``first_batch..last_batch`` of table ``name`` into at
+    most ``files_per_batch`` files each (every micro-batch leaves small files; a
     year of 30-second batches is millions of them).
 
-    The rows are first copied out with a reliable ``checkpoint()`` into the
-    shared checkpoint folder, so the overwrite never reads the files it
-    replaces and a retried task finds its input intact; then exactly those
-    partitions are replaced (dynamic overwrite).  Returns the rows rewritten.
+    The rows are first copied into the shared checkpoint folder, so the overwrite
+    never reads the files it replaces and a retried task finds its input intact;
+    then exactly those partitions are replaced (dynamic overwrite), in parallel
+    by partition and by a salt below ``files_per_batch``, and the copy goes.
+    Returns the rows rewritten.
     """
-    sc = spark.sparkContext
-    if not sc.getCheckpointDir():
-        sc.setCheckpointDir(checkpoint_root(spark))
+    import uuid
+
+    parts = PARTITIONS[name]
     part = read_table(spark, root, name).filter(F.col("batch_id").between(int(first_batch), int(last_batch)))
-    copy = part.checkpoint(eager=True)
+    copy_path = f"{checkpoint_root(spark)}/compact-{uuid.uuid4().hex}"
+    part.write.parquet(copy_path)
+    copy = spark.read.schema(part.schema).parquet(copy_path)
     n = copy.count()
     if n:
-        out = copy.repartition(max(1, int(files_per_batch)), "batch_id")
+        salt = F.pmod(F.xxhash64(*[c for c in part.columns if c not in parts]), F.lit(max(1, int(files_per_batch))))
+        tasks = copy.select(*parts).distinct().count() * max(1, int(files_per_batch))
+        out = copy.repartition(min(tasks, MOST_TASKS), *parts, salt)
         if name in SORT_WITHIN_FILES:
-            out = out.sortWithinPartitions("batch_id", *SORT_WITHIN_FILES[name])
+            out = out.sortWithinPartitions(*parts, *SORT_WITHIN_FILES[name])
         (out.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-         .partitionBy("batch_id").parquet(table_path(root, name)))
+         .partitionBy(*parts).parquet(table_path(root, name)))
+    files.delete(spark, copy_path)
     return n
 
 

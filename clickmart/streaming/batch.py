@@ -2,32 +2,37 @@
 
 ``BatchProcessor`` is what ``foreachBatch`` calls.  It decodes the batch
 once, keeps it persisted for the derivations, writes every table
-idempotently (replacing the batch's partition), and never swallows a
-failure silently: in strict mode (default) a failed sink fails the batch,
-so Spark retries it from the same offsets; in lenient mode the error is
-recorded as a row of ``sink_failures`` (N5) and the other sinks go on.
+idempotently (replacing what the same batch of the same stream left), and
+never swallows a failure silently: in strict mode (default) a failed sink
+fails the batch and thereby ends the query, and a restart replays the batch
+from the same offsets; in lenient mode the error is recorded as a row of
+``sink_failures`` (N5) and the other sinks go on.
+
+Every usable record is kept.  Repeated deliveries are dropped only on request
+and only by the record's identity (topic, partition, offset).
 """
 
 from __future__ import annotations
 
 import datetime as dt
 import logging
-from collections import deque
+import threading
 from collections.abc import Callable, Mapping
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field
 
-from pyspark import StorageLevel
+from pyspark import StorageLevel, inheritable_thread_target
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from clickmart.functions import ntz_lit
 from clickmart.operators.marts import build_marts
-from clickmart.operators.windows import DEDUP_KEYS
+from clickmart.operators.windows import dedup_events
+from clickmart.schema import AMOUNT, IDENTITY
 from clickmart.sinks import jdbc as jdbc_sink
-from clickmart.sinks.tables import create_tables, require_tables, table_path, write_batch_idempotent
-from clickmart.sources.decode import decode_records, events_of, rejects_of, to_click_events
+from clickmart.sinks.tables import DEFAULT_STREAM, batch_time, clear_batch, create_tables, require_tables, table_path, write_batch_idempotent
+from clickmart.sources.decode import decode_records, events_of, identity_of, rejects_of, to_click_events
 
 log = logging.getLogger(__name__)
 
@@ -53,27 +58,39 @@ class ParquetSink:
         create_tables(spark, self.root)
         require_tables(spark, self.root)
 
-    def write(self, df: DataFrame, name: str, batch_id: int) -> None:
+    def batch_time(self, spark, stream_id: str, batch_id: int, now: dt.datetime) -> dt.datetime:
+        return batch_time(spark, self.root, stream_id, batch_id, now)
+
+    def write(self, df: DataFrame, name: str, batch_id: int, stream_id: str = DEFAULT_STREAM, batch_date: dt.date | None = None) -> None:
         if name in (FAILURES_TABLE, QUARANTINE_TABLE):
-            out = df.withColumn("batch_id", F.lit(int(batch_id)).cast("bigint"))
-            (out.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-             .partitionBy("batch_id").parquet(table_path(self.root, name)))
+            out = df.withColumn("batch_id", F.lit(int(batch_id)).cast("bigint")).withColumn("stream_id", F.lit(stream_id))
+            out = out.withColumn("batch_date", F.lit(batch_date).cast("date"))
+            clear_batch(df.sparkSession, self.root, name, stream_id, batch_id)
+            out.write.mode("append").partitionBy("batch_date", "stream_id", "batch_id").parquet(table_path(self.root, name))
         else:
-            write_batch_idempotent(df, self.root, name, batch_id)
+            write_batch_idempotent(df, self.root, name, batch_id, stream_id, batch_date)
 
 
 class JdbcSink:
-    """Tables in a database reached by JDBC; a replayed batch is deleted first."""
+    """Tables in a database reached by JDBC; a replayed batch replaces its rows."""
 
     def __init__(self, conf: Mapping[str, str]):
         self.conf = dict(conf)
 
-    def write(self, df: DataFrame, name: str, batch_id: int) -> None:
+    def prepare(self, spark) -> None:
+        """Start-up check by JDBC: create missing tables, then require the columns."""
+        jdbc_sink.create_tables(spark, self.conf)
+        jdbc_sink.require_tables(spark, self.conf)
+
+    def batch_time(self, spark, stream_id: str, batch_id: int, now: dt.datetime) -> dt.datetime:
+        return jdbc_sink.batch_time(spark, self.conf, stream_id, batch_id, now)
+
+    def write(self, df: DataFrame, name: str, batch_id: int, stream_id: str = DEFAULT_STREAM, batch_date: dt.date | None = None) -> None:
         if name in (FAILURES_TABLE, QUARANTINE_TABLE):
-            out = df.withColumn("batch_id", F.lit(int(batch_id)).cast("bigint"))
-            jdbc_sink.replace_batch(out, self.conf, name, batch_id)
+            out = df.withColumn("batch_id", F.lit(int(batch_id)).cast("bigint")).withColumn("stream_id", F.lit(stream_id))
+            jdbc_sink.replace_batch(out, self.conf, name, batch_id, stream_id)
         else:
-            jdbc_sink.write_jdbc_idempotent(df, self.conf, name, batch_id)
+            jdbc_sink.write_jdbc_idempotent(df, self.conf, name, batch_id, stream_id=stream_id, batch_date=batch_date)
 
 
 @dataclass
@@ -88,15 +105,18 @@ class BatchProcessor:
     """``foreachBatch`` callback over raw wire records (a ``value`` column).
 
     Parameters: ``sink`` (``ParquetSink``/``JdbcSink``), ``strict`` failure
-    policy, ``clock`` giving the batch's ``metric_timestamp`` (one value per
-    batch), ``region_label`` of the dimension table, ``dedupe`` to drop
-    repeated deliveries inside a batch, ``parallel`` to run the table writes
-    as concurrent Spark jobs over the one persisted batch.
+    policy, ``clock`` giving the time of a batch when it is first seen (its
+    ``metric_timestamp``; a replay gets the same), ``region_label`` of the
+    dimension table, ``dedupe`` to drop repeated deliveries inside a batch by
+    the records' identity, ``parallel`` to run the table writes as concurrent
+    Spark jobs over the one persisted batch, ``stream_id`` under which the
+    batches are stored (``start_pipeline`` sets the streaming query's id).
+    ``reports`` holds a small entry per batch since the start.
     """
 
     def __init__(self, sink, strict: bool = True, clock: Callable[[], dt.datetime] | None = None,
-                 region_label: str = "region", dedupe: bool = True, parallel: bool = True,
-                 quarantine: bool = True, keep_reports: int = 1000):
+                 region_label: str = "region", dedupe: bool = False, parallel: bool = True,
+                 quarantine: bool = True, stream_id: str | None = None):
         self.sink = sink
         self.strict = strict
         self.clock = clock or (lambda: dt.datetime.now(dt.timezone.utc).replace(tzinfo=None))
@@ -104,19 +124,32 @@ class BatchProcessor:
         self.dedupe = dedupe
         self.parallel = parallel
         self.quarantine = quarantine
-        # The latest reports only: a long-running job must not grow the driver.
-        self.reports: deque[BatchReport] = deque(maxlen=keep_reports)
+        self.stream_id = stream_id
+        self._named = threading.Event()
+        self._named.set()
+        self.reports: list[BatchReport] = []
+
+    def expect_name(self) -> None:
+        """Let batches wait until :meth:`name` tells under which id to store them."""
+        self._named.clear()
+
+    def name(self, stream_id: str) -> None:
+        self.stream_id = stream_id
+        self._named.set()
 
     def events(self, decoded: DataFrame, batch_id: int) -> DataFrame:
-        ev = to_click_events(events_of(decoded))
-        if self.dedupe:
-            ev = ev.dropDuplicates(list(DEDUP_KEYS))
+        keep = [c for c in IDENTITY if c in decoded.columns]
+        ev = to_click_events(events_of(decoded, [*keep, AMOUNT]))
+        if self.dedupe and len(keep) == len(IDENTITY):
+            ev = dedup_events(ev)
         return ev.withColumn("batch_id", F.lit(int(batch_id)).cast("bigint"))
 
     def __call__(self, raw: DataFrame, batch_id: int) -> BatchReport:
         # Each record is JSON-decoded once; the decoded batch is persisted and
         # both the events and the quarantine are cut from it.
-        decoded = decode_records(raw).persist(StorageLevel.MEMORY_AND_DISK)
+        if not self._named.wait(120):
+            raise RuntimeError("no stream id for this batch")
+        decoded = decode_records(raw, identity_of(raw)).persist(StorageLevel.MEMORY_AND_DISK)
         try:
             report = self._process(decoded, int(batch_id))
         finally:
@@ -134,43 +167,49 @@ class BatchProcessor:
         ev = self.events(decoded, batch_id).persist(StorageLevel.MEMORY_AND_DISK)
         try:
             ev.count()
-            outputs = dict(build_marts(ev, metric_ts=ntz_lit(self.clock()), region_label=self.region_label))
+            spark = decoded.sparkSession
+            stream = self.stream_id or DEFAULT_STREAM
+            when = self.sink.batch_time(spark, stream, batch_id, self.clock())
+            outputs = dict(build_marts(ev, metric_ts=ntz_lit(when), region_label=self.region_label))
             if self.quarantine:
-                outputs[QUARANTINE_TABLE] = rejects_of(decoded)
+                outputs[QUARANTINE_TABLE] = rejects_of(decoded, [c for c in IDENTITY if c in decoded.columns])
             report = BatchReport(batch_id, empty=False)
-            self._write_all(outputs, batch_id, report)
+            self._write_all(outputs, batch_id, report, stream, when.date())
         finally:
             ev.unpersist()
         if report.failures:
-            self._record_failures(decoded, batch_id, report.failures)
+            self._record_failures(decoded, batch_id, report.failures, stream, when)
             if self.strict:
                 raise RuntimeError(f"batch {batch_id}: sinks failed: {sorted(report.failures)}")
         return report
 
-    def _write_one(self, name: str, df: DataFrame, batch_id: int) -> str | None:
+    def _write_one(self, name: str, df: DataFrame, batch_id: int, stream: str, date: dt.date) -> str | None:
         try:
-            self.sink.write(df, name, batch_id)
+            self.sink.write(df, name, batch_id, stream, date)
             return None
         except Exception as e:  # collected; strict mode re-raises after all sinks ran
             log.error("batch %s: writing %s failed: %s", batch_id, name, e)
-            return f"{type(e).__name__}: {str(e)[:2000]}"
+            return f"{type(e).__name__}: {e}"
 
-    def _write_all(self, outputs: Mapping[str, DataFrame], batch_id: int, report: BatchReport) -> None:
+    def _write_all(self, outputs: Mapping[str, DataFrame], batch_id: int, report: BatchReport, stream: str, date: dt.date) -> None:
+        one = lambda n: self._write_one(n, outputs[n], batch_id, stream, date)
         if self.parallel and len(outputs) > 1:
+            # The pool's threads take over the query's job group, so stopping the
+            # query cancels their jobs too.
             with ThreadPoolExecutor(max_workers=len(outputs)) as pool:
-                results = dict(zip(outputs, pool.map(lambda kv: self._write_one(kv[0], kv[1], batch_id), outputs.items())))
+                pending = {n: pool.submit(inheritable_thread_target(df.sparkSession)(one), n) for n, df in outputs.items()}
+                results = {n: f.result() for n, f in pending.items()}
         else:
-            results = {n: self._write_one(n, df, batch_id) for n, df in outputs.items()}
+            results = {n: one(n) for n in outputs}
         for name, err in results.items():
             if err:
                 report.failures[name] = err
             else:
                 report.written.append(name)
 
-    def _record_failures(self, raw: DataFrame, batch_id: int, failures: Mapping[str, str]) -> None:
-        now = self.clock()
+    def _record_failures(self, raw: DataFrame, batch_id: int, failures: Mapping[str, str], stream: str, now: dt.datetime) -> None:
         rows = [(batch_id, name, err, now) for name, err in sorted(failures.items())]
         try:
-            self.sink.write(raw.sparkSession.createDataFrame(rows, FAILURE_SCHEMA), FAILURES_TABLE, batch_id)
+            self.sink.write(raw.sparkSession.createDataFrame(rows, FAILURE_SCHEMA), FAILURES_TABLE, batch_id, stream, now.date())
         except Exception as e:  # the failure table itself is unavailable: keep the log line
             log.error("batch %s: could not record sink failures: %s", batch_id, e)

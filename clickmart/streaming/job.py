@@ -4,18 +4,23 @@
     python -m clickmart.streaming.job --files /data/incoming --tables /data/clicks --available-now
 
 The checkpoint is ``<spark.checkpoint.dir>/streams/<name>`` unless given.
+Progress and lag rows go to ``batch_progress`` and ``consumer_lag`` beside the
+tables.  SIGTERM and SIGINT let the running batch finish before the job ends.
 """
 
 from __future__ import annotations
 
 import argparse
+import signal
+import threading
 
 from pyspark.sql import SparkSession
 
 from clickmart import config
 from clickmart.sources import streams
 from clickmart.streaming.batch import BatchProcessor, JdbcSink, ParquetSink
-from clickmart.streaming.pipeline import DEFAULT_TRIGGER, start_pipeline
+from clickmart.streaming.observe import ProgressRecorder
+from clickmart.streaming.pipeline import DEFAULT_TRIGGER, start_pipeline, stop_gracefully
 
 
 def parse_args(argv=None) -> argparse.Namespace:
@@ -41,6 +46,9 @@ def parse_args(argv=None) -> argparse.Namespace:
     p.add_argument("--lenient", action="store_true", help="record sink failures instead of failing the batch")
     p.add_argument("--dedup-within", default=None, help="drop repeated records across batches within this watermark")
     p.add_argument("--region-label", default="region")
+    p.add_argument("--dedupe", action="store_true", help="drop repeated deliveries inside a batch by topic, partition and offset")
+    p.add_argument("--progress", default=None, metavar="ROOT", help="folder of the progress tables (default: that of the tables)")
+    p.add_argument("--stop-timeout", type=float, default=120.0, help="seconds a stop waits for the running batch")
     return p.parse_args(argv)
 
 
@@ -56,15 +64,31 @@ def run(spark: SparkSession, args: argparse.Namespace):
     else:
         sink = JdbcSink({"url": args.jdbc_url, "driver": args.jdbc_driver, "user": args.jdbc_user,
                          "password": args.jdbc_password})
-    processor = BatchProcessor(sink, strict=not args.lenient, region_label=args.region_label)
+    processor = BatchProcessor(sink, strict=not args.lenient, region_label=args.region_label, dedupe=args.dedupe)
+    root = args.progress or args.tables
+    if root:
+        spark.streams.addListener(ProgressRecorder(spark, root))
     return start_pipeline(spark, raw, processor, name=args.name, checkpoint=args.checkpoint,
                           trigger=args.trigger, available_now=args.available_now, dedup_within=args.dedup_within)
 
 
+def wait(query, stop: threading.Event, timeout: float) -> None:
+    """Until the query ends, or ``stop`` is set: then let its batch finish."""
+    while query.isActive and not stop.is_set():
+        query.awaitTermination(1)
+    if query.isActive:
+        stop_gracefully(query, timeout)
+    elif query.exception() is not None:
+        raise query.exception()
+
+
 def main(argv=None) -> None:
     args = parse_args(argv)
-    spark = config.cluster_builder(SparkSession.builder, f"clickmart-{args.name}").getOrCreate()
-    run(spark, args).awaitTermination()
+    spark = config.stream_builder(SparkSession.builder, f"clickmart-{args.name}").getOrCreate()
+    stop = threading.Event()
+    for s in (signal.SIGTERM, signal.SIGINT):
+        signal.signal(s, lambda *_: stop.set())
+    wait(run(spark, args), stop, args.stop_timeout)
 
 
 if __name__ == "__main__":

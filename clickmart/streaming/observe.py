@@ -1,16 +1,16 @@
 """Observability as table rows (N1, N4, N5 helpers, K7 counter).
 
-``ProgressRecorder`` is a ``StreamingQueryListener``: it keeps one small
-row per finished micro-batch (bounded by the number of batches it has
-seen), which ``to_frame`` turns into a DataFrame for the ``batch_progress``
-table.  The other helpers read the progress JSON Spark already produces.
+``ProgressRecorder`` is a ``StreamingQueryListener``: one small row per
+finished micro-batch for the ``batch_progress`` table and one per source for
+``consumer_lag``.  With a ``root`` it appends them there as they gather and at
+the end of a query; without one it holds them all.  The other helpers read the
+progress JSON Spark already produces.
 """
 
 from __future__ import annotations
 
 import json
 import threading
-from collections import deque
 from collections.abc import Iterable, Mapping
 
 from pyspark.sql import DataFrame, SparkSession
@@ -81,27 +81,55 @@ def progress_row(progress) -> tuple:
     )
 
 
+LAG_SCHEMA = T.StructType([
+    T.StructField("query_name", T.StringType(), True),
+    T.StructField("batch_id", T.LongType(), False),
+    T.StructField("batch_time", T.StringType(), True),
+    T.StructField("source", T.StringType(), True),
+    T.StructField("avg_offsets_behind", T.DoubleType(), True),
+    T.StructField("max_offsets_behind", T.LongType(), True),
+    T.StructField("min_offsets_behind", T.LongType(), True),
+])
+
+
+def lag_rows(progress) -> list[tuple]:
+    """N4 as rows of the ``consumer_lag`` table."""
+    p = _as_dict(progress)
+    head = (p.get("name"), int(p.get("batchId", -1)), p.get("timestamp"))
+    return [(*head, r["source"], r["avg_offsets_behind"], r["max_offsets_behind"], r["min_offsets_behind"]) for r in consumer_lag(p)]
+
+
 class ProgressRecorder(StreamingQueryListener):
-    """Collects a row per micro-batch of every query in the session."""
+    """A row per micro-batch of every query in the session.
+
+    With ``spark`` and ``root`` the rows go to the tables under ``root`` each time
+    ``flush_every`` of them have gathered and when a query ends; ``rows`` then
+    holds those not yet written.
+    """
 
-    def __init__(self, keep: int = 10_000):
-        # Bounded: flush with ``write_progress`` before older rows fall out.
-        self._rows: deque[tuple] = deque(maxlen=keep)
+    def __init__(self, spark: SparkSession | None = None, root: str | None = None, flush_every: int = 100):
+        self._rows: list[tuple] = []
+        self._lag: list[tuple] = []
         self._lock = threading.Lock()
+        self._spark, self._root, self._flush_every = spark, root, flush_every
 
     def onQueryStarted(self, event):
         pass
 
     def onQueryProgress(self, event):
-        row = progress_row(event.progress)
         with self._lock:
-            self._rows.append(row)
+            self._rows.append(progress_row(event.progress))
+            self._lag += lag_rows(event.progress)
+            full = self._root is not None and len(self._rows) >= self._flush_every
+        if full:
+            self.flush()
 
     def onQueryIdle(self, event):
         pass
 
     def onQueryTerminated(self, event):
-        pass
+        if self._root is not None:
+            self.flush()
 
     def rows(self) -> list[tuple]:
         with self._lock:
@@ -110,17 +138,39 @@ class ProgressRecorder(StreamingQueryListener):
     def to_frame(self, spark: SparkSession) -> DataFrame:
         return spark.createDataFrame(self.rows(), PROGRESS_SCHEMA)
 
+    def flush(self) -> None:
+        """Append the gathered rows to the tables; they stay here if that fails."""
+        with self._lock:
+            rows, lag = self._rows, self._lag
+            self._rows, self._lag = [], []
+        try:
+            if rows:
+                write_progress(self._spark.createDataFrame(rows, PROGRESS_SCHEMA).coalesce(1), self._root)
+                rows = []
+            if lag:
+                write_progress(self._spark.createDataFrame(lag, LAG_SCHEMA).coalesce(1), self._root, LAG_TABLE)
+                lag = []
+        finally:
+            with self._lock:
+                self._rows, self._lag = rows + self._rows, lag + self._lag
+
 
 PROGRESS_TABLE = "batch_progress"
+LAG_TABLE = "consumer_lag"
+
+
+def write_progress(frame: DataFrame, root: str, table: str = PROGRESS_TABLE) -> None:
+    """Append progress (or lag) rows under ``root``, partitioned by the day of
+    the batch and the query -- folders by the day, not by the batch."""
+    (frame.withColumn("progress_date", F.to_date(F.substring("batch_time", 1, 10)))
+     .withColumn("query", F.coalesce(F.col("query_name"), F.lit("unnamed")))
+     .write.mode("append").partitionBy("progress_date", "query").parquet(f"{root.rstrip('/')}/{table}"))
 
 
-def write_progress(frame: DataFrame, root: str) -> None:
-    """Store progress rows in ``<root>/batch_progress``, partitioned by
-    query name; rows of a batch id already stored are replaced, so writing
-    the recorder's rows again does not duplicate them."""
-    (frame.withColumn("query", F.coalesce(F.col("query_name"), F.lit("unnamed")))
-     .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-     .partitionBy("query", "batch_id").parquet(f"{root.rstrip('/')}/{PROGRESS_TABLE}"))
+def read_progress(spark: SparkSession, root: str) -> DataFrame:
+    """The stored progress rows, each once even if it was written twice."""
+    schema = T.StructType([*PROGRESS_SCHEMA.fields, T.StructField("progress_date", T.DateType()), T.StructField("query", T.StringType())])
+    return spark.read.schema(schema).parquet(f"{root.rstrip('/')}/{PROGRESS_TABLE}").dropDuplicates(["query", "batch_id", "batch_time"])
 
 
 def pipeline_status(progress: DataFrame) -> DataFrame:

@@ -4,7 +4,9 @@ event-time job (K5-K7) and a graceful stop (K9).
 Each query has a fixed name and a checkpoint under the shared
 ``spark.checkpoint.dir`` (``<root>/streams/<name>``), so a restart resumes
 from the committed offsets instead of starting over in a fresh random
-directory.
+directory.  Stored batches carry the query's id, which lives in its
+checkpoint: batch numbers start anew with a new checkpoint, and then do not
+replace what an earlier one stored.
 """
 
 from __future__ import annotations
@@ -54,8 +56,7 @@ def start_pipeline(
     same bytes, possibly into a later batch -- with Spark's stateful
     ``dropDuplicatesWithinWatermark`` on the record value, watermarked on
     the source's ingest time column (Kafka's ``timestamp``); the state is
-    bounded by the watermark.  Inside a batch the processor deduplicates
-    events as well."""
+    bounded by the watermark.  Without it every delivered record is kept."""
     prepare = getattr(processor.sink, "prepare", None)
     if prepare is not None:
         prepare(spark)
@@ -70,7 +71,13 @@ def start_pipeline(
     )
     writer = (observed.writeStream.queryName(name).outputMode("append").foreachBatch(processor)
               .option("checkpointLocation", checkpoint or checkpoint_for(spark, name)))
-    return _trigger(writer, trigger, available_now).start()
+    given = processor.stream_id
+    if given is None:
+        processor.expect_name()
+    query = _trigger(writer, trigger, available_now).start()
+    if given is None:
+        processor.name(str(query.id))
+    return query
 
 
 def start_window_counts(
@@ -96,9 +103,17 @@ def start_window_counts(
     return _trigger(writer, trigger, available_now).start()
 
 
-def stop_gracefully(query: StreamingQuery, timeout_seconds: float = 120.0, poll_seconds: float = 0.2) -> None:
-    """K9: wait until the running micro-batch (if any) has finished, then stop."""
+def stop_gracefully(query: StreamingQuery, timeout_seconds: float = 120.0, poll_seconds: float = 0.2, force: bool = False) -> None:
+    """K9: wait until the running micro-batch (if any) has finished, then stop.
+
+    If it takes longer than ``timeout_seconds``, raise TimeoutError and leave the
+    query running, or with ``force`` stop it in the middle of the batch, which a
+    restart replays."""
     deadline = time.monotonic() + timeout_seconds
-    while query.isActive and query.status.get("isTriggerActive") and time.monotonic() < deadline:
+    while query.isActive and query.status.get("isTriggerActive"):
+        if time.monotonic() >= deadline:
+            if force:
+                break
+            raise TimeoutError(f"query {query.name} is still in a batch after {timeout_seconds} s")
         time.sleep(poll_seconds)
     query.stop()

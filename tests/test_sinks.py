@@ -41,7 +41,9 @@ def test_jdbc_write_read_and_replay(spark, derby):
 
 def test_batch_processor_on_jdbc(spark, derby):
     wire = fx.wire_records(spark, SMOKE).filter("batch_id = 0").select("value")
-    proc = BatchProcessor(JdbcSink(derby), parallel=False)
+    sink = JdbcSink(derby)
+    sink.prepare(spark)
+    proc = BatchProcessor(sink, parallel=False)
     proc(wire, 0)
     proc(wire, 0)
     n = _upper(jdbc.read_table(spark, derby, "clickstream_events")).count()
@@ -108,12 +110,43 @@ def test_compaction_keeps_rows_and_merges_files(spark, scratch):
     for b in range(4):  # many small files per batch, as frequent micro-batches leave them
         tb.write_batch_idempotent(marts.raw_events(ev.filter(F.col("batch_id") == b), with_created_at=False)
                                   .repartition(6), root, "clickstream_events")
-    files = lambda: glob.glob(os.path.join(root, "clickstream_events", "batch_id=*", "*.parquet"))
+    files = lambda: glob.glob(os.path.join(root, "clickstream_events", "*", "*", "batch_id=*", "*.parquet"))
     from collections import Counter
 
     snapshot = lambda: Counter(tuple(r) for r in tb.read_table(spark, root, "clickstream_events").drop("created_at").collect())
     before = snapshot()
     assert len(files()) > 4
     assert tb.compact(spark, root, "clickstream_events", 0, 3) == ev.count()
-    assert len(files()) == 4
+    parts = {os.path.dirname(f) for f in files()}
+    assert len(files()) == len(parts)  # one file for each date and batch
     assert snapshot() == before
+    tb.compact(spark, root, "clickstream_events", 0, 3, files_per_batch=4)
+    per = Counter(os.path.dirname(f) for f in files())
+    assert max(per.values()) > 1 and max(per.values()) <= 4
+    assert snapshot() == before
+    assert not glob.glob(os.path.join(tb.checkpoint_root(spark), "compact-*"))
+
+
+def test_jdbc_tables_are_created_checked_and_refused(spark, derby):
+    assert jdbc.columns_of(spark, derby, "realtime_metrics") is None
+    with pytest.raises(RuntimeError, match="clickstream_events"):
+        jdbc.require_tables(spark, derby)
+    assert set(jdbc.create_tables(spark, derby)) == set(REQUIRED_TABLES)
+    assert jdbc.create_tables(spark, derby) == []
+    jdbc.require_tables(spark, derby)
+    jdbc._execute(spark, derby, 'CREATE TABLE plain ("user_id" VARCHAR(255), "sessions" BIGINT)')
+    ub = marts.user_behavior(fx.clicks(spark, SMOKE)).filter("batch_id = 0")
+    with pytest.raises(RuntimeError, match="batch_id"):
+        jdbc.write_jdbc_idempotent(ub, derby, "plain", 0, table_schema="user_behavior")
+
+
+def test_jdbc_parallel_read(spark, derby):
+    ub = marts.user_behavior(fx.clicks(spark, SMOKE)).filter("batch_id < 3")
+    for b in (0, 1, 2):
+        jdbc.write_jdbc_idempotent(ub.filter(F.col("batch_id") == b), derby, "user_behavior", b)
+    part = jdbc.read_table(spark, derby, "user_behavior", partition_column="batch_id", partitions=3)
+    assert part.rdd.getNumPartitions() > 1 and part.count() == ub.count()
+
+
+def test_jdbc_options_reach_the_source():
+    assert jdbc._options({"url": "u", "fetchsize": 10, "ssl": "true", "password": None}) == {"url": "u", "fetchsize": "10", "ssl": "true"}

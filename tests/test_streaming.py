@@ -67,7 +67,7 @@ def test_stream_equals_batch_and_replay_is_idempotent(spark, scratch):
     files = [os.path.join(raw_dir, f) for f in os.listdir(raw_dir) if f.endswith(".txt")]
     first_file = min(files, key=os.path.getmtime)  # the file batch 0 read
     one = spark.read.text(first_file)
-    proc(one, 0)
+    proc(one, 0)  # under the stream's id, which the pipeline has told the processor
     proc(one, 0)
     after = {n: tb.read_table(spark, root, n).count() for n in tb.REQUIRED_TABLES}
     assert before == after
@@ -129,8 +129,8 @@ def test_graceful_stop_and_progress_rows(spark, scratch):
         row = frame.filter("input_rows > 0").first()
         assert row is not None and row.observed["ingest.records"] == str(row.input_rows)
         observe.write_progress(frame, root)
-        observe.write_progress(frame, root)  # again: replaced, not duplicated
-        stored = spark.read.parquet(os.path.join(root, observe.PROGRESS_TABLE))
+        observe.write_progress(frame, root)  # again: read once
+        stored = observe.read_progress(spark, root)
         assert stored.count() == frame.count() and stored.filter("query = 'graceful'").count() > 0
         status = observe.pipeline_status(frame).filter("query_name = 'graceful'").first()
         assert status.input_rows == frame.filter("query_name = 'graceful'").agg(F.sum("input_rows")).first()[0]
@@ -141,10 +141,10 @@ def test_graceful_stop_and_progress_rows(spark, scratch):
 
 
 class _FailingSink(ParquetSink):
-    def write(self, df, name, batch_id):
+    def write(self, df, name, batch_id, *where):
         if name == "page_metrics":
-            raise IOError("disk full")
-        super().write(df, name, batch_id)
+            raise IOError("disk full" + "!" * 5000)
+        super().write(df, name, batch_id, *where)
 
 
 def test_failure_policy(spark, scratch):
@@ -155,6 +155,7 @@ def test_failure_policy(spark, scratch):
     assert "page_metrics" in report.failures and "realtime_metrics" in report.written
     failures = spark.read.parquet(os.path.join(scratch, "sink_failures")).collect()
     assert [(r.batch_id, r.sink) for r in failures] == [(3, "page_metrics")]
+    assert failures[0].error.endswith("!" * 5000)  # in full
     strict = BatchProcessor(_FailingSink(scratch), strict=True, clock=CLOCK)
     with pytest.raises(RuntimeError, match="page_metrics"):
         strict(wire, 4)
@@ -166,6 +167,116 @@ def test_empty_batch_writes_nothing(spark, scratch):
     assert report.empty and not os.listdir(scratch)
 
 
+def _wire(spark, rows):
+    return spark.createDataFrame(rows, "topic string, partition int, offset long, value string")
+
+
+def _event(user="u1", device="phone", time="not-a-time", kind="PAGE_VIEW", **more):
+    import json
+
+    return json.dumps({"userId": user, "sessionId": "s", "eventType": kind, "eventTime": time, "page": "/p", "device": device, **more})
+
+
+def test_no_event_is_lost(spark, scratch):
+    rows = [("t", 0, 0, _event(device="a")), ("t", 0, 1, _event(device="b")), ("t", 1, 0, _event(device="b")),
+            ("t", 0, 2, _event(time="2024-01-01T00:00:00")), ("t", 0, 3, _event(time="2024-01-01T00:00:00", device="tv"))]
+    proc = BatchProcessor(ParquetSink(scratch), clock=CLOCK)
+    proc(_wire(spark, rows), 0)
+    stored = tb.read_table(spark, scratch, "clickstream_events")
+    assert stored.count() == 5
+    assert {(r.partition, r.offset) for r in stored.collect()} == {(0, 0), (0, 1), (1, 0), (0, 2), (0, 3)}
+    # Redeliveries go on request, by identity only.
+    again = BatchProcessor(ParquetSink(scratch), clock=CLOCK, dedupe=True, stream_id="again")
+    again(_wire(spark, rows + rows[:2]), 0)
+    assert tb.read_table(spark, scratch, "clickstream_events").filter("stream_id = 'again'").count() == 5
+
+
+def test_amounts_reach_the_stored_table(spark, scratch):
+    from clickmart.plans import panels
+
+    rows = [("t", 0, 0, _event(kind="PURCHASE", amount=12.5)), ("t", 0, 1, _event(kind="PURCHASE", amount="7.25")),
+            ("t", 0, 2, _event(kind="PURCHASE")), ("t", 0, 3, _event(kind="PURCHASE", amount="much"))]
+    BatchProcessor(ParquetSink(scratch), clock=CLOCK)(_wire(spark, rows), 0)
+    T = tb.read_tables(spark, scratch)
+    assert panels.top_users_by_page_views(T).first().lifetime_value == 19.75
+
+
+def test_two_streams_keep_their_batches(spark, scratch):
+    for stream, user in (("one", "u1"), ("two", "u2")):
+        BatchProcessor(ParquetSink(scratch), clock=CLOCK, stream_id=stream)(_wire(spark, [("t", 0, 0, _event(user))]), 0)
+    assert sorted(r.user_id for r in tb.read_table(spark, scratch, "clickstream_events").collect()) == ["u1", "u2"]
+
+
+def test_two_checkpoints_on_one_root(spark, scratch):
+    raw_dir, root = os.path.join(scratch, "raw"), os.path.join(scratch, "tables")
+    _write_chunks(spark, SMOKE, raw_dir, chunks=1)
+    for ckpt in ("a", "b"):
+        _run(spark, raw_dir, root, os.path.join(scratch, ckpt), f"two_{ckpt}")
+    ev = tb.read_table(spark, root, "clickstream_events")
+    assert ev.select("stream_id").distinct().count() == 2
+    assert ev.count() == 2 * fx.clicks(spark, SMOKE).count()
+
+
+def test_replay_clears_what_is_no_longer_there(spark, scratch):
+    clock = iter([dt.datetime(2024, 2, 1), dt.datetime(2024, 3, 1)])
+    proc = BatchProcessor(ParquetSink(scratch), clock=lambda: next(clock))
+    day = "2024-01-01T00:00:00"
+    proc(_wire(spark, [("t", 0, 0, _event(time=day)), ("t", 0, 1, _event(time=day, kind="LOGIN"))]), 5)
+    assert tb.read_table(spark, scratch, "page_metrics").count() == 1
+    proc(_wire(spark, [("t", 0, 1, _event(time="2024-01-02T00:00:00", kind="LOGIN"))]), 5)
+    assert tb.read_table(spark, scratch, "page_metrics").count() == 0
+    assert tb.read_table(spark, scratch, "clickstream_events").count() == 1
+    metrics = tb.read_table(spark, scratch, "realtime_metrics").collect()
+    assert [m.metric_timestamp for m in metrics] == [dt.datetime(2024, 2, 1)]  # the batch's time stays
+
+
+def test_writers_run_in_the_query_s_job_group(spark, scratch):
+    seen = []
+
+    class Sink(ParquetSink):
+        def write(self, df, *a):
+            seen.append(spark.sparkContext.getLocalProperty("spark.jobGroup.id"))
+
+    spark.sparkContext.setJobGroup("the-query", "test")
+    try:
+        BatchProcessor(Sink(scratch), clock=CLOCK)(_wire(spark, [("t", 0, 0, _event())]), 0)
+    finally:
+        spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+    assert seen and set(seen) == {"the-query"}
+
+
+def test_stop_that_cannot_wait(spark, scratch):
+    class Busy:
+        isActive, status, name, stopped = True, {"isTriggerActive": True}, "busy", False
+
+        def stop(self):
+            self.stopped = True
+
+    q = Busy()
+    with pytest.raises(TimeoutError):
+        pipeline.stop_gracefully(q, 0.3)
+    assert not q.stopped
+    pipeline.stop_gracefully(q, 0.3, force=True)
+    assert q.stopped
+
+
+def test_recorder_writes_its_tables(spark, scratch):
+    rec = observe.ProgressRecorder(spark, scratch, flush_every=1)
+    raw_dir = os.path.join(scratch, "raw")
+    _write_chunks(spark, SMOKE, raw_dir, chunks=1)
+    spark.streams.addListener(rec)
+    try:
+        _run(spark, raw_dir, os.path.join(scratch, "tables"), os.path.join(scratch, "ckpt"), "recorded")
+        deadline = time.time() + 60
+        while time.time() < deadline and not os.path.isdir(os.path.join(scratch, observe.LAG_TABLE)):
+            time.sleep(0.5)
+    finally:
+        spark.streams.removeListener(rec)
+    rec.flush()
+    assert observe.read_progress(spark, scratch).filter("query = 'recorded' and input_rows > 0").count() >= 1
+    assert spark.read.parquet(os.path.join(scratch, observe.LAG_TABLE)).count() >= 1 and rec.rows() == []
+
+
 def _stream_events(spark, scratch):
     raw_dir = os.path.join(scratch, "raw")
     _write_chunks(spark, SMOKE, raw_dir, chunks=2)
@@ -208,9 +319,10 @@ def test_window_operators_on_a_stream_match_batch(spark, scratch):
         _drain(windows.active_sessions(ev, watermark="10 minutes", approx=True), "s_sessions", "complete")
         assert spark.table("s_sessions").count() == windows.active_sessions(batch).count()
 
+        keys = ["user_id", "session_id", "event_type", "timestamp", "page_url"]
         dup = ev.unionByName(ev.filter(F.col("event_type") == "PURCHASE"))
-        _drain(windows.dedup_events(dup, watermark="10 minutes").select(*windows.DEDUP_KEYS), "s_dedup", "append")
-        assert spark.table("s_dedup").count() == batch.select(*windows.DEDUP_KEYS).distinct().count()
+        _drain(windows.dedup_events(dup, keys, watermark="10 minutes").select(*keys), "s_dedup", "append")
+        assert spark.table("s_dedup").count() == batch.select(*keys).distinct().count()
     finally:
         spark.conf.set("spark.sql.session.timeZone", old)
 
