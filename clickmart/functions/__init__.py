@@ -1,6 +1,7 @@
 from clickmart.functions.scalars import (  # noqa: F401
     day_bucket,
     epoch_micros,
+    floor_div,
     floor_seconds,
     hour_bucket,
     idiv,
@@ -10,5 +11,4 @@ from clickmart.functions.scalars import (  # noqa: F401
     ntz_lit,
     parse_event_time,
     pct2,
-    ts_type,
 )

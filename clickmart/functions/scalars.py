@@ -7,7 +7,7 @@ bit-identical across engines (rates, means, second differences).
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -23,6 +23,13 @@ def idiv(a: ColumnOrName, b: ColumnOrName) -> Column:
     return F.call_function("div", _c(a).cast("bigint"), _c(b).cast("bigint"))
 
 
+def floor_div(a: ColumnOrName, b: ColumnOrName) -> Column:
+    """Integral division rounded down, also below zero (times before 1970);
+    ``b`` is positive."""
+    a, b = _c(a).cast("bigint"), _c(b).cast("bigint")
+    return F.call_function("div", a - F.pmod(a, b), b)
+
+
 def pct2(n: ColumnOrName, d: ColumnOrName, empty: Column | None = None) -> Column:
     """``100 * n / d`` rounded half-up to two places, as DOUBLE.
 
@@ -82,10 +89,6 @@ def ntz_lit(value) -> Column:
     return F.lit(value.isoformat(sep=" ")).cast("timestamp_ntz")
 
 
-def ts_type(df: DataFrame, name: str) -> T.DataType:
-    return df.schema[name].dataType
-
-
 def hour_bucket(ts: ColumnOrName) -> Column:
     """Start of the hour of ``ts``, same type as ``ts`` (time-zone free for NTZ).
 
@@ -116,7 +119,8 @@ def parse_event_time(s: ColumnOrName, zoned: bool = False) -> Column:
         return c.try_cast("timestamp")
     instant = c.try_cast("timestamp")
     utc_wall = F.timestamp_add("MICROSECOND", F.unix_micros(instant), F.lit("1970-01-01 00:00:00").cast("timestamp_ntz"))
-    has_zone = F.trim(c).rlike(r"(Z|[+-][0-9]{2}(:?[0-9]{2})?)$")
+    # A zone follows a time of day: Z, an offset, or a region's name or letters.
+    has_zone = F.trim(c).rlike(r"[T ][0-9]{1,2}(:[0-9]{1,2}){0,2}(\.[0-9]*)? *(Z|UTC|GMT|[+-][0-9]{1,2}(:?[0-9]{2}){0,2}|[A-Za-z][A-Za-z0-9_+/:-]*)$")
     return F.when(has_zone, utc_wall).otherwise(c.try_cast("timestamp_ntz"))
 
 

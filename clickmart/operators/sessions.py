@@ -23,7 +23,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from clickmart.functions import epoch_micros, floor_seconds, idiv, micros_between, pct2
+from clickmart.functions import epoch_micros, floor_div, floor_seconds, idiv, micros_between, pct2
 from clickmart.schema import ADD_TO_CART, FUNNEL_STAGES, PAGE_VIEW, PURCHASE
 
 HOUR_MICROS = 3_600_000_000
@@ -34,7 +34,7 @@ _B = "_tb"  # time-bucket column used by the seam-patching helpers
 
 
 def _with_bucket(df: DataFrame, ts: str, bucket_micros: int) -> DataFrame:
-    return df.withColumn(_B, idiv(epoch_micros(ts, df.schema[ts].dataType), F.lit(bucket_micros)))
+    return df.withColumn(_B, floor_div(epoch_micros(ts, df.schema[ts].dataType), F.lit(bucket_micros)))
 
 
 def with_next_time(

@@ -1,8 +1,9 @@
 """Event-time operators: tumbling and sliding windows, deduplication, the
 active-session gauge and the windowed error-rate alert.
 
-Each function works on a bounded DataFrame and on a streaming one.  For a
-stream pass ``watermark`` (e.g. ``"10 minutes"``): the event-time column
+Each function works on a bounded DataFrame and, but for the alert, on a
+streaming one (the alert looks back over rows, so on a stream it runs over the
+stored window counts: :func:`alert_over_counts`).  For a stream pass ``watermark`` (e.g. ``"10 minutes"``): the event-time column
 must then be a zoned TIMESTAMP (``withWatermark`` rejects TIMESTAMP_NTZ),
 late rows leave the window aggregates, and the state of closed windows is
 dropped.  Exact distinct counts are not allowed on streams, so stream
@@ -16,10 +17,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from clickmart.functions import epoch_micros, idiv
-
-# Columns that identify one click event when no event id exists (K8).
-DEDUP_KEYS = ("user_id", "session_id", "event_type", "timestamp", "page_url")
+from clickmart.functions import epoch_micros, floor_div
+from clickmart.schema import IDENTITY
 
 
 def _watermarked(df: DataFrame, ts: str, watermark: str | None) -> DataFrame:
@@ -30,6 +29,18 @@ def _flat(w: str = "_w") -> list[Column]:
     return [F.col(f"{w}.start").alias("window_start"), F.col(f"{w}.end").alias("window_end")]
 
 
+def _seconds(text: str) -> int | None:
+    """Seconds of an interval like ``10 minutes``; None for others."""
+    n, _, unit = text.strip().partition(" ")
+    scale = {"second": 1, "minute": 60, "hour": 3600, "day": 86_400}.get(unit.strip().rstrip("s").lower())
+    return int(n) * scale if scale and n.isdigit() else None
+
+
+def _whole_multiple(width: str, slide: str) -> bool:
+    w, s = _seconds(width), _seconds(slide)
+    return bool(w and s and w % s == 0)
+
+
 def tumbling_event_counts(
     ev: DataFrame, width: str = "5 minutes", ts: str = "timestamp", watermark: str | None = None
 ) -> DataFrame:
@@ -52,6 +63,10 @@ def sliding_active_users(
     """K6: distinct users per sliding window (exact in batch; ``approx`` for
     streams, HyperLogLog++ with relative error ``rsd``)."""
     d = _watermarked(ev, ts, watermark)
+    if not approx and _whole_multiple(width, slide):
+        # A window holds whole slides, so one row per user and slide is enough;
+        # only those rows are multiplied by the number of windows.
+        d = d.select("user_id", F.window(ts, slide).start.alias(ts)).distinct()
     users = F.approx_count_distinct("user_id", rsd) if approx else F.count_distinct("user_id")
     return d.groupBy(F.window(ts, width, slide).alias("_w")).agg(users.alias("active_users")).select(*_flat(), "active_users")
 
@@ -78,15 +93,36 @@ def active_sessions(
     return d.groupBy(F.window(ts, width).alias("_w")).agg(sessions.alias("active_sessions")).select(*_flat(), "active_sessions")
 
 
+def approx_uniques_check(ev: DataFrame, width: str = "1 hour", ts: str = "timestamp", rsd: float = 0.05, sigmas: int = 4) -> DataFrame:
+    """D13 beside the exact figures: per window the events, the exact distinct
+    users and sessions, and whether the estimates lie within ``sigmas`` times
+    the stated error (at least one) of them."""
+    exact = ev.groupBy(F.window(ts, width).alias("_w")).agg(
+        F.count_distinct("user_id").alias("users"), F.count_distinct("session_id").alias("sessions")).select(*_flat(), "users", "sessions")
+    near = lambda est, n: F.abs(F.col(est) - F.col(n)) <= F.greatest(F.lit(1.0), F.col(n) * (sigmas * rsd))
+    return approx_uniques_windowed(ev, width, ts, rsd=rsd).join(exact, ["window_start", "window_end"]).select(
+        "window_start", "window_end", "events", "users", "sessions",
+        near("approx_users", "users").alias("users_within"), near("approx_sessions", "sessions").alias("sessions_within"))
+
+
 def dedup_events(
-    ev: DataFrame, keys: Sequence[str] = DEDUP_KEYS, ts: str = "timestamp", watermark: str | None = None
+    ev: DataFrame, keys: Sequence[str] = IDENTITY, ts: str = "timestamp", watermark: str | None = None
 ) -> DataFrame:
-    """K8: drop repeated deliveries of the same event (producer retries,
-    replayed micro-batches).  Batch: ``dropDuplicates``; stream: kept state
-    is bounded by the watermark (``dropDuplicatesWithinWatermark``)."""
+    """K8: drop repeated deliveries of the same record, told by its identity: the
+    source's topic, partition and offset, or an event id of the caller's.
+
+    Events that merely look alike are different events.  In batch, rows
+    without a full identity are all kept.  On a stream the state is bounded by
+    the watermark (``dropDuplicatesWithinWatermark``), and NULL keys count as
+    equal there, so give keys that are never NULL."""
+    keys = list(keys)
     if watermark:
-        return ev.withWatermark(ts, watermark).dropDuplicatesWithinWatermark(list(keys))
-    return ev.dropDuplicates(list(keys))
+        return ev.withWatermark(ts, watermark).dropDuplicatesWithinWatermark(keys)
+    known = F.lit(True)
+    for k in keys:
+        known = known & F.col(k).isNotNull()
+    alone = F.when(~known, F.monotonically_increasing_id())
+    return ev.withColumn("_alone", alone).dropDuplicates([*keys, "_alone"]).drop("_alone")
 
 
 def error_rate_alert(
@@ -113,9 +149,18 @@ def error_rate_alert(
     per_window = events.filter(predicate).groupBy(F.window(ts, f"{width} seconds").alias("_w")).agg(
         F.count(F.lit(1)).alias("errors")
     ).select(*_flat(), "errors")
+    return alert_over_counts(per_window, width, threshold_per_second, hold)
+
+
+def alert_over_counts(per_window: DataFrame, window_seconds: int, threshold_per_second: float = 0.1, hold: int = 2) -> DataFrame:
+    """N3 over one row per window (window_start, window_end, errors): the form for
+    streams, whose window counts :func:`clickmart.streaming.pipeline.start_window_counts`
+    stores."""
+    width = int(window_seconds)
     rate = F.col("errors").cast("double") / F.lit(float(width))
     above = rate > F.lit(float(threshold_per_second))
-    start_seconds = idiv(epoch_micros("window_start"), F.lit(1_000_000))
+    dtype = per_window.schema["window_start"].dataType
+    start_seconds = floor_div(epoch_micros("window_start", dtype), F.lit(1_000_000))
     recent = Window.orderBy("_start_s").rangeBetween(-(int(hold) - 1) * width, 0)
     return (
         per_window.select("window_start", "window_end", "errors", rate.alias("error_rate"),
