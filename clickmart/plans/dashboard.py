@@ -20,7 +20,8 @@ from clickmart.sinks.tables import read_tables
 
 # Panels by key (the same keys as the query registry).
 PANELS = {
-    "event_stream_series": P.event_stream_series, "active_users_latest": P.active_users_latest,
+    "event_stream_series": P.event_stream_series, "event_stream_series_plain": P.event_stream_series_plain,
+    "conversion_rate_latest_nullable": P.conversion_rate_latest_nullable, "active_users_latest": P.active_users_latest,
     "conversion_rate_latest": P.conversion_rate_latest, "top_pages": P.top_pages,
     "top_pages_visitor_ratio": P.top_pages_visitor_ratio, "events_by_type_last_hour": P.events_by_type_last_hour,
     "device_distribution": P.device_distribution, "device_distribution_rows": P.device_distribution_rows,
@@ -39,15 +40,14 @@ PANELS = {
 
 
 def bind(fn, T, now: dt.datetime, rng: tuple[dt.datetime, dt.datetime], **extra) -> DataFrame:
-    """Call a panel with the ``now``/``rng`` arguments it takes."""
+    """Call a panel with those of ``now``, ``rng`` and ``extra`` that it takes."""
     params = inspect.signature(fn).parameters
-    kwargs = {k: v for k, v in (("now", now), ("rng", rng)) if k in params}
-    return fn(T, **kwargs, **extra)
+    return fn(T, **{k: v for k, v in {"now": now, "rng": rng, **extra}.items() if k in params})
 
 
-def run_panel(spark: SparkSession, root: str, name: str, now: dt.datetime, rng: tuple[dt.datetime, dt.datetime]) -> DataFrame:
+def run_panel(spark: SparkSession, root: str, name: str, now: dt.datetime, rng: tuple[dt.datetime, dt.datetime], **extra) -> DataFrame:
     """Build panel ``name`` over the tables under ``root``."""
-    return bind(PANELS[name], read_tables(spark, root), now, rng)
+    return bind(PANELS[name], read_tables(spark, root), now, rng, **extra)
 
 
 def main(argv=None) -> None:
@@ -57,12 +57,13 @@ def main(argv=None) -> None:
     p.add_argument("--now", type=dt.datetime.fromisoformat, default=None)
     p.add_argument("--from", dest="time_from", type=dt.datetime.fromisoformat, default=None)
     p.add_argument("--to", dest="time_to", type=dt.datetime.fromisoformat, default=None)
+    p.add_argument("--region-label", default="region", help="the label the job stored regions under")
     p.add_argument("--rows", type=int, default=50)
     a = p.parse_args(argv)
     now = a.now or dt.datetime.now(dt.timezone.utc).replace(tzinfo=None)
     rng = (a.time_from or now - dt.timedelta(hours=1), a.time_to or now)
     spark = SparkSession.builder.appName(f"clickmart-{a.panel}").getOrCreate()
-    run_panel(spark, a.tables, a.panel, now, rng).show(a.rows, truncate=False)
+    run_panel(spark, a.tables, a.panel, now, rng, region_label=a.region_label).show(a.rows, truncate=False)
 
 
 if __name__ == "__main__":

@@ -29,7 +29,10 @@ from clickmart.schema import (
     SEGMENT_BROWSERS,
     SEGMENT_ONE_TIME,
     SEGMENT_REPEAT,
+    TABLE_METRICS,
+    TABLE_SCHEMAS,
 )
+from clickmart.sinks.tables import stored_dates
 
 Tables = Mapping[str, DataFrame]
 Range = tuple[dt.datetime, dt.datetime]
@@ -39,9 +42,30 @@ def _ts(v: dt.datetime) -> Column:
     return ntz_lit(v)
 
 
-def _in_range(c: str, rng: Range) -> Column:
-    """``$__timeFilter(c)``: inclusive BETWEEN of the panel range."""
-    return F.col(c).between(_ts(rng[0]), _ts(rng[1]))
+def _since(df: DataFrame, date: str, day: dt.date) -> DataFrame:
+    """Only the folders from ``day`` on, where ``df`` has that partition column."""
+    return df.filter(F.col(date) >= F.lit(day)) if date in df.columns else df
+
+
+def _within(df: DataFrame, c: str, date: str, rng: Range) -> DataFrame:
+    """``$__timeFilter(c)``: inclusive BETWEEN of the panel range, and on a stored
+    table the date folders that the range touches."""
+    out = df.filter(F.col(c).between(_ts(rng[0]), _ts(rng[1])))
+    return out.filter(F.col(date).between(F.lit(rng[0].date()), F.lit(rng[1].date()))) if date in df.columns else out
+
+
+def _newest(df: DataFrame, date: str, k: int) -> DataFrame:
+    """The rows among which the newest ``k`` are: those of the newest date folders
+    that together have ``k`` rows.  The folders come from the file listing;
+    folders are added, twice as many each time, until a count finds ``k``."""
+    dates = stored_dates(df, date) if date in df.columns else None
+    n = 1
+    while dates and n < len(dates):
+        recent = _since(df, date, dates[n - 1])
+        if recent.limit(k).count() >= k:
+            return recent
+        n *= 2
+    return df
 
 
 def _events(T: Tables) -> DataFrame:
@@ -52,8 +76,14 @@ def _metrics(T: Tables) -> DataFrame:
     return T["realtime_metrics"]
 
 
+def _rate(c: str, name: str | None = None) -> Column:
+    """A stored rate (decimal) as the number the panels show."""
+    return F.col(c).cast("double").alias(name or c)
+
+
 def _latest_metrics(T: Tables, k: int) -> DataFrame:
-    return _metrics(T).orderBy(F.col("metric_timestamp").desc(), F.col("batch_id").desc()).limit(k)
+    rows = _newest(_metrics(T), "batch_date", k)
+    return rows.orderBy(F.col("metric_timestamp").desc(), F.col("batch_id").desc()).limit(k)
 
 
 # --- real-time metrics panels -------------------------------------------------
@@ -63,7 +93,17 @@ def event_stream_series(T: Tables, rng: Range, labelled: bool = True) -> DataFra
     cols = [F.col("metric_timestamp").alias("time"), F.col("total_events").alias("value")]
     if labelled:
         cols.append(F.lit(LABEL_TOTAL_EVENTS).alias("metric"))
-    return _metrics(T).filter(_in_range("metric_timestamp", rng)).select(*cols).orderBy("time")
+    return _within(_metrics(T), "metric_timestamp", "batch_date", rng).select(*cols).orderBy("time")
+
+
+def event_stream_series_plain(T: Tables, rng: Range) -> DataFrame:
+    """As J1, without the label."""
+    return event_stream_series(T, rng, labelled=False)
+
+
+def conversion_rate_latest_nullable(T: Tables) -> DataFrame:
+    """As J4, NULL without page views."""
+    return conversion_rate_latest(T, null_if_no_views=True)
 
 
 def active_users_latest(T: Tables) -> DataFrame:
@@ -84,25 +124,26 @@ def conversion_rate_latest(T: Tables, null_if_no_views: bool = False) -> DataFra
 def recent_session_metrics(T: Tables, k: int = 20) -> DataFrame:
     """Session figures of the newest ``k`` metrics rows."""
     return _latest_metrics(T, k).select(
-        "metric_timestamp", "unique_sessions", "bounce_rate", "page_views", "purchases", "cart_additions"
+        "metric_timestamp", "unique_sessions", _rate("bounce_rate"), "page_views", "purchases", "cart_additions"
     )
 
 
 def session_metrics(T: Tables, k: int = 20) -> DataFrame:
     """Sessions, bounce rate and mean session duration of the newest ``k`` rows."""
-    return _latest_metrics(T, k).select("metric_timestamp", "unique_sessions", "bounce_rate", "avg_session_duration")
+    return _latest_metrics(T, k).select("metric_timestamp", "unique_sessions", _rate("bounce_rate"), "avg_session_duration")
 
 
 def bounce_rate_trend(T: Tables, rng: Range) -> DataFrame:
     """Bounce rate per metrics row in the range, oldest first."""
-    return _metrics(T).filter(_in_range("metric_timestamp", rng)).select(
-        F.col("metric_timestamp").alias("time"), F.col("bounce_rate").alias("value"), F.lit(LABEL_BOUNCE_RATE).alias("metric")
+    return _within(_metrics(T), "metric_timestamp", "batch_date", rng).select(
+        F.col("metric_timestamp").alias("time"), _rate("bounce_rate", "value"), F.lit(LABEL_BOUNCE_RATE).alias("metric")
     ).orderBy("time")
 
 
 def recent_metrics_check(T: Tables, k: int = 5) -> DataFrame:
-    """The newest ``k`` metrics rows, all columns."""
-    return _latest_metrics(T, k)
+    """The newest ``k`` metrics rows, all figures."""
+    kept = [f.name for f in TABLE_SCHEMAS[TABLE_METRICS].fields if f.name not in ("created_at", "batch_date", "stream_id")]
+    return _latest_metrics(T, k).select(*[_rate(c) if c == "bounce_rate" else c for c in kept])
 
 
 # --- page panels -----------------------------------------------------------------
@@ -128,12 +169,13 @@ def top_pages_visitor_ratio(T: Tables, k: int = 10) -> DataFrame:
 def events_by_type_last_hour(T: Tables, now: dt.datetime, hours: int = 1) -> DataFrame:
     """Events per type with a time after ``now - hours`` (no upper bound)."""
     since = _ts(now) - F.expr(f"INTERVAL {int(hours)} HOURS")
-    return _events(T).filter(F.col("timestamp") > since).groupBy("event_type").agg(F.count(F.lit(1)).alias("count"))
+    ev = _since(_events(T), "event_date", (now - dt.timedelta(hours=int(hours))).date())
+    return ev.filter(F.col("timestamp") > since).groupBy("event_type").agg(F.count(F.lit(1)).alias("count"))
 
 
 def hourly_activity(T: Tables, rng: Range) -> DataFrame:
     """Events per hour bucket in the range, with the hour of day."""
-    ev = _events(T).filter(_in_range("timestamp", rng))
+    ev = _within(_events(T), "timestamp", "event_date", rng)
     return ev.groupBy(hour_bucket("timestamp").alias("time"), F.hour("timestamp").cast("bigint").alias("hour")).agg(
         F.count(F.lit(1)).alias("value")
     ).orderBy("time")
@@ -141,7 +183,7 @@ def hourly_activity(T: Tables, rng: Range) -> DataFrame:
 
 def active_users_by_hour(T: Tables, rng: Range) -> DataFrame:
     """Distinct users per hour bucket in the range."""
-    ev = _events(T).filter(_in_range("timestamp", rng))
+    ev = _within(_events(T), "timestamp", "event_date", rng)
     return ev.groupBy(hour_bucket("timestamp").alias("time")).agg(
         F.count_distinct("user_id").alias("active_users")
     ).orderBy("time")
@@ -149,7 +191,7 @@ def active_users_by_hour(T: Tables, rng: Range) -> DataFrame:
 
 def recent_activity(T: Tables, k: int = 50) -> DataFrame:
     """The newest ``k`` events (events without a time come last)."""
-    return _events(T).orderBy(
+    return _newest(_events(T), "event_date", k).orderBy(
         F.col("timestamp").desc_nulls_last(), "user_id", "event_type", "page_url", "device", "session_id"
     ).limit(k).select(F.col("timestamp").alias("time"), "user_id", "event_type", "page_url", "device")
 
@@ -161,7 +203,7 @@ def event_count_check(T: Tables) -> DataFrame:
 
 def time_range_events(T: Tables, rng: Range) -> DataFrame:
     """The stored events inside the panel range."""
-    return _events(T).filter(_in_range("timestamp", rng))
+    return _within(_events(T), "timestamp", "event_date", rng)
 
 
 def _stage_counts(ev: DataFrame, compare) -> DataFrame:
@@ -191,7 +233,7 @@ def top_users_by_page_views(T: Tables, k: int = 20) -> DataFrame:
     purchases and lifetime value (sum of PURCHASE amounts); top ``k`` by views."""
     ev = _events(T)
     purchase = F.col("event_type") == PURCHASE
-    amount = F.sum(F.when(purchase, F.col("amount"))) if "amount" in ev.columns else F.lit(None)
+    amount = F.sum(F.when(purchase, F.col("amount")))  # an events table without amounts is an error, not 0.0
     return ev.groupBy("user_id").agg(
         F.count_distinct("session_id").alias("total_sessions"),
         F.count_if(F.col("event_type") == PAGE_VIEW).alias("total_page_views"),

@@ -13,13 +13,14 @@ day), so the adapter itself scales the same way as the library.
 from __future__ import annotations
 
 import datetime as dt
-import os
+import hashlib
 import threading
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from clickmart.operators.sessions import sessionize
+from clickmart.sinks import files
 
 # --- fixed values of the fixture (FIXTURES.md section 4) --------------------
 FIXTURE_EPOCH = "2024-01-01"          # batch_id = days since this date
@@ -31,6 +32,9 @@ NULL_DEVICE_EVERY = 50                # event_id % 50 = 0  -> device NULL
 NULL_REGION_EVERY = 70                # event_id % 70 = 0  -> region NULL
 GARBAGE_EVERY = 194                   # event_id % 194 = 0 -> undecodable wire record
 DUPLICATE_EVERY = 40                  # K8 input: rows with event_id % 40 = 0 sent twice
+TWIN_EVERY = 45                       # K8 input: rows with event_id % 45 = 0 have a look-alike
+TWIN_DEVICE, TWIN_OFFSET = "tv", 1_000_000_000  # its device, and what its offset is higher by
+TOPIC = "clickstream-events"
 TYPE_MAP = {"view": "PAGE_VIEW", "click": "ADD_TO_CART", "purchase": "PURCHASE", "signup": "LOGIN"}  # else LOGOUT
 DEVICES = ("mobile", "desktop", "tablet")                 # by k % 3
 REGIONS = ("us-east-1", "us-west-2", "eu-central-1")      # by user_id % 3
@@ -70,26 +74,12 @@ _MATERIALIZED: dict[tuple, DataFrame] = {}
 _LOCK = threading.Lock()
 
 
-def _checkpoint_dir(spark: SparkSession) -> str | None:
+def _shared_dir(spark: SparkSession) -> str | None:
     try:
-        sc = spark.sparkContext
+        conf = spark.sparkContext.getConf()
     except Exception:  # a remote (Spark Connect) session has no SparkContext
         return None
-    current = sc.getCheckpointDir()
-    if current:
-        return current
-    root = spark.conf.get("spark.checkpoint.dir", None) or sc.getConf().get("spark.checkpoint.dir", None)
-    if root:
-        sc.setCheckpointDir(root)
-    return root
-
-
-def _input_stamp(sf_dir: str) -> tuple:
-    try:
-        st = os.stat(f"{sf_dir}/events.parquet")
-        return (st.st_size, st.st_mtime_ns)
-    except OSError:  # not a local path: the application id alone keys the copy
-        return ()
+    return spark.conf.get("spark.checkpoint.dir", None) or conf.get("spark.checkpoint.dir", None)
 
 
 def raw_clicks(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -97,22 +87,28 @@ def raw_clicks(spark: SparkSession, sf_dir: str) -> DataFrame:
     decoder drops).  Keeps ``event_id`` and the original time ``_ts``.
 
     The derivation stands in for the stored ``clickstream_events`` table, so
-    it runs once per application: the result is written with a reliable
-    ``checkpoint()`` to the shared ``spark.checkpoint.dir`` (lineage cut,
-    recoverable after executor loss) and every query reads that copy.
-    Without a checkpoint folder (or without a SparkContext, as in a remote
-    session) the plan stays lazy.
+    it runs once per application and input: the result is written as Parquet
+    under the shared ``spark.checkpoint.dir`` (lineage cut, recoverable after
+    executor loss), and every query scans that table with its own columns and
+    filters.  Changed input files (name, size, time, on any file system) are
+    derived anew.  Without a shared folder (or without a SparkContext, as in a
+    remote session) the plan stays lazy.
     """
-    if _checkpoint_dir(spark) is None:
+    root = _shared_dir(spark)
+    if root is None:
         return derive_raw_clicks(spark, sf_dir)
-    key = (spark.sparkContext.applicationId, sf_dir, _input_stamp(sf_dir))
+    stamp = files.stamp(spark, f"{sf_dir}/events.parquet")
+    key = (spark.sparkContext.applicationId, sf_dir, stamp)
     with _LOCK:  # queries started from several threads derive the copy once
         if key not in _MATERIALIZED:
+            name = hashlib.sha256(repr(key).encode()).hexdigest()[:16]
+            path = f"{root.rstrip('/')}/clickmart-fixture-{name}"
+            df = derive_raw_clicks(spark, sf_dir)
             # Spread the copy like the many files of a stored table (the one
             # input file would otherwise make every scan a single task);
             # round-robin, so no key can skew it.
-            df = derive_raw_clicks(spark, sf_dir)
-            _MATERIALIZED[key] = df.repartition(spark.sparkContext.defaultParallelism).checkpoint(eager=True)
+            df.repartition(spark.sparkContext.defaultParallelism).write.mode("overwrite").parquet(path)
+            _MATERIALIZED[key] = spark.read.schema(df.schema).parquet(path)
         return _MATERIALIZED[key]
 
 
@@ -168,13 +164,13 @@ def wire_records(spark: SparkSession, sf_dir: str) -> DataFrame:
     body = F.to_json(F.struct(
         F.col("user_id").alias("userId"), F.col("session_id").alias("sessionId"),
         F.col("event_type").alias("eventType"), event_time.alias("eventTime"),
-        F.col("page_url").alias("page"), "referrer", "device", "region",
+        F.col("page_url").alias("page"), "referrer", "device", "region", F.col("amount").cast("string").alias("amount"),
     ))
     value = F.when(_every(GARBAGE_EVERY), F.concat(F.lit("garbage-"), F.col("event_id").cast("string"))).otherwise(body)
     return r.select(
         F.col("session_id").cast("binary").alias("key"),
         value.cast("binary").alias("value"),
-        F.lit("clickstream-events").alias("topic"),
+        F.lit(TOPIC).alias("topic"),
         (F.col("event_id") % 3).cast("int").alias("partition"),
         F.col("event_id").alias("offset"),
         F.col("_ts").alias("timestamp"),
@@ -183,7 +179,11 @@ def wire_records(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def duplicated_clicks(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """K8 input: ``clicks`` plus a second copy of every ``DUPLICATE_EVERY``-th
-    event (a producer retry)."""
-    c = clicks(spark, sf_dir)
-    return c.unionByName(c.filter(_every(DUPLICATE_EVERY)))
+    """K8 input: ``clicks`` with their source's identity, a second copy of every
+    ``DUPLICATE_EVERY``-th (a redelivery: the same identity), and for every
+    ``TWIN_EVERY``-th another event that equals it in user, session, type, time
+    and page but came from another device at an offset of its own."""
+    c = clicks(spark, sf_dir).withColumns({
+        "topic": F.lit(TOPIC), "partition": (F.col("event_id") % 3).cast("int"), "offset": F.col("event_id")})
+    twins = c.filter(_every(TWIN_EVERY)).withColumn("device", F.lit(TWIN_DEVICE)).withColumn("offset", F.col("offset") + TWIN_OFFSET)
+    return c.unionByName(c.filter(_every(DUPLICATE_EVERY))).unionByName(twins)

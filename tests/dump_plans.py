@@ -30,7 +30,7 @@ NOTES = {
     "recent_activity": "TakeOrderedAndProject: k rows per task, no full sort",
     "top_pages": "two-level aggregation, then top-k",
     "dedup_events": "dropDuplicates = aggregation on the key columns, duplicates collapse map-side",
-    "sliding_active_users": "Expand into the 6 windows of each event, partial distinct on (window, user)",
+    "sliding_active_users": "one row per user and slide first; only those rows are expanded into the 6 windows",
     "device_analytics": "device and region unpivoted in one scan, two-level distinct",
     "rollup_dimensions": "cube over a (device, region, user) pre-aggregate",
     "page_bounce_rate": "landing page = min(struct(ts, type, page)): a struct buffer makes it a SortAggregate (spills, exact)",
@@ -47,19 +47,19 @@ def main(argv):
     spark = (SparkSession.builder.master("local[8]").config("spark.sql.shuffle.partitions", "8")
              .config("spark.ui.enabled", "false").config("spark.ui.showConsoleProgress", "false").getOrCreate())
     spark.sparkContext.setLogLevel("ERROR")
-    import __spark_entry__ as entry
+    from clickmart.plans import registry
 
     lines = [
         "# Physical plans (generated by `tests/dump_plans.py`)",
         "",
-        f"Final adaptive plans at `{os.path.basename(sf_dir)}`, local[8], 8 shuffle partitions. Scans of",
-        "`ExistingRDD` read the checkpointed fixture events (the stand-in for the stored events table);",
-        "`Scan parquet` reads a driver table directly. Counts are operator occurrences in the executed plan.",
+        f"Final adaptive plans at `{os.path.basename(sf_dir)}`, local[8], 8 shuffle partitions. Every scan is of Parquet: the",
+        "derived fixture events (the stand-in for the stored events table, written once per application) or a",
+        "driver table. Counts are operator occurrences in the executed plan.",
         "",
         "| key | operators | note |",
         "|---|---|---|",
     ]
-    for name, fn in entry.queries().items():
+    for name, fn in registry.queries().items():
         df = fn(spark, sf_dir)
         df.write.format("noop").mode("overwrite").save()
         text = df._jdf.queryExecution().executedPlan().toString()

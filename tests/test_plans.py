@@ -11,9 +11,10 @@ import re
 import pytest
 from pyspark.sql import functions as F
 
-import __spark_entry__ as entry
 from clickmart.operators import marts, sessions, windows
+from clickmart.plans import dashboard
 from clickmart.plans import panels as P
+from clickmart.plans import registry
 from clickmart.sinks import tables as tb
 from clickmart.sources import fixture as fx
 
@@ -40,7 +41,7 @@ PYTHON_NODES = ("BatchEvalPython", "ArrowEvalPython", "MapInPandas", "FlatMapGro
 
 
 def test_no_pair_producing_join_or_python_anywhere(spark):
-    for name, fn in entry.queries().items():
+    for name, fn in registry.queries().items():
         text = plan(fn(spark, SMOKE))
         assert "CartesianProduct" not in text and "BroadcastNestedLoopJoin" not in text, name
         assert not any(node in text for node in PYTHON_NODES), name
@@ -88,15 +89,73 @@ def test_topk_panels_do_not_sort_everything(spark):
         assert "TakeOrderedAndProject" in plan(df)
 
 
-def test_stored_table_reads_push_filters_and_prune(spark, scratch):
-    root = os.path.join(scratch, "wh")
-    ev = fx.clicks(spark, SMOKE)
-    tb.write_batch_idempotent(marts.raw_events(ev, with_created_at=False), root, "clickstream_events")
-    T = tb.read_tables(spark, root, ["clickstream_events"])
-    rng = (dt.datetime(2024, 1, 15), dt.datetime(2024, 1, 31))
-    text = plan(P.active_users_by_hour(T, rng))
+@pytest.fixture(scope="module")
+def stored(spark, tmp_path_factory):
+    """The five tables as the stream would leave them: a partition per day and batch."""
+    root = str(tmp_path_factory.mktemp("wh"))
+    for name, df in marts.build_marts(fx.clicks(spark, SMOKE), metric_ts=fx.metric_ts()).items():
+        tb.write_batch_idempotent(df, root, name)
+    return root
+
+
+RNG = (dt.datetime(2024, 1, 15), dt.datetime(2024, 1, 20))
+
+
+def test_stored_table_reads_push_filters_and_prune(spark, stored):
+    T = tb.read_tables(spark, stored)
+    text = plan(P.active_users_by_hour(T, RNG))
     pushed = re.search(r"PushedFilters: \[(.*)\]", text).group(1)
     assert "GreaterThanOrEqual(timestamp," in pushed and "LessThanOrEqual(timestamp," in pushed
     assert re.search(r"ReadSchema: struct<user_id:string,timestamp:timestamp_ntz>", text)
     pruned = plan(T["clickstream_events"].filter("batch_id >= 28").select("user_id"))
     assert re.search(r"PartitionFilters: \[isnotnull\(batch_id#\d+L?\), \(batch_id#\d+L? >= 28\)\]", pruned)
+
+
+RANGE_PANELS = {"event_stream_series": "batch_date", "event_stream_series_plain": "batch_date", "bounce_rate_trend": "batch_date",
+                "hourly_activity": "event_date", "active_users_by_hour": "event_date", "time_range_events": "event_date",
+                "events_by_type_last_hour": "event_date"}
+NEWEST_PANELS = {"active_users_latest": "batch_date", "conversion_rate_latest": "batch_date", "conversion_rate_latest_nullable": "batch_date",
+                 "recent_session_metrics": "batch_date", "session_metrics": "batch_date", "recent_metrics_check": "batch_date",
+                 "recent_activity": "event_date"}
+
+
+@pytest.mark.parametrize("panel", sorted({**RANGE_PANELS, **NEWEST_PANELS}))
+def test_time_panels_open_only_the_dates_they_need(spark, stored, panel):
+    column = {**RANGE_PANELS, **NEWEST_PANELS}[panel]
+    text = plan(dashboard.run_panel(spark, stored, panel, dt.datetime(2024, 1, 30), RNG, k=5))
+    filters = re.findall(r"PartitionFilters: \[(.*)\]", text)
+    assert filters and all(f"{column}#" in f for f in filters), filters
+
+
+def test_panels_agree_on_stored_and_derived_tables(spark, stored):
+    derived, T = registry.tables(spark, SMOKE), tb.read_tables(spark, stored)
+    for name, panel in registry._PANELS.items():
+        rows = lambda df: sorted(map(str, df.drop("created_at", "updated_at").collect()))
+        assert rows(panel(T)) == rows(panel(derived)), name
+    assert P.top_users_by_page_views(T).agg(F.sum("lifetime_value")).first()[0] > 0
+
+
+def test_events_without_amounts_are_an_error(spark, stored):
+    T = {"clickstream_events": tb.read_table(spark, stored, "clickstream_events").drop("amount")}
+    with pytest.raises(Exception, match="amount"):
+        P.top_users_by_page_views(T)
+
+
+def test_queries_scan_parquet_with_their_own_columns(spark):
+    text = plan(registry.queries()["hourly_activity"](spark, SMOKE))
+    assert "Scan ExistingRDD" not in text and "Scan parquet" in text
+    assert re.search(r"ReadSchema: struct<user_id:string,timestamp:timestamp_ntz>", text)
+
+
+def test_sliding_windows_multiply_reduced_rows(spark):
+    text = plan(windows.sliding_active_users(fx.clicks(spark, SMOKE)))
+    order = [m for m in re.findall(r"^\(\d+\) (\w+)", text, flags=re.M)]
+    assert "Expand" not in order or order.index("HashAggregate") < order.index("Expand")
+
+
+def test_backfill_does_not_write_every_batch_from_every_task(spark, stored):
+    import glob
+
+    files = glob.glob(os.path.join(stored, "clickstream_events", "**", "*.parquet"), recursive=True)
+    parts = {os.path.dirname(f) for f in files}
+    assert len(files) <= tb.SPREAD * len(parts)
