@@ -13,6 +13,8 @@ import numpy as np
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from clickmart.sinks import files
+
 #: A word: a run of characters other than ASCII white space (RE2 and Java syntax).
 WORD = r"[^\x20\x09-\x0D]+"
 GAP = r"[\x20\x09-\x0D]+"
@@ -53,6 +55,22 @@ def stage(df: DataFrame, name: str, path: str | None = None) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+class Work:
+    """Staged tables of one call, removed together once its result is staged."""
+
+    def __init__(self, spark: SparkSession):
+        self.spark, self.paths = spark, []
+
+    def stage(self, df: DataFrame, name: str) -> DataFrame:
+        self.paths.append(scratch(self.spark, name))
+        return stage(df, name, self.paths[-1])
+
+    def clear(self) -> None:
+        for path in self.paths:
+            files.delete(self.spark, path)
+        self.paths = []
+
+
 @contextlib.contextmanager
 def settings(spark: SparkSession, conf: dict[str, str]):
     """Session settings for the actions inside; the old ones come back after."""
