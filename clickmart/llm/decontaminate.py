@@ -228,4 +228,6 @@ def contaminated(docs: DataFrame, items: DataFrame, rate: float = ERROR_RATE) ->
 
 def decontaminate(docs: DataFrame, items: DataFrame, rate: float = ERROR_RATE) -> DataFrame:
     """The rows of ``docs`` without any item, columns unchanged."""
-    return match_items(docs, items, rate).filter(F.size("matches") == 0).select(*docs.columns)
+    kept = [F.col(c).alias(f"__{c}" if c == "matches" else c) for c in docs.columns]
+    clean = match_items(docs.select(*kept), items, rate).filter(F.size("matches") == 0).drop("matches")
+    return clean.toDF(*docs.columns)

@@ -89,13 +89,13 @@ def automaton(codes: np.ndarray, width: int) -> np.ndarray:
                     p = link[p]
                 link[q] = link[now] = twin
         last = now
-    first = np.zeros(width, np.uint32)
+    # The last state stands between phrases: whatever comes begins a new one.
+    between = len(edges)
+    begin = np.full(width, between, np.uint32)
     for c, s in edges[0].items():
-        first[c] = s
-    table = np.empty((len(edges), width), np.uint32)
-    table[:] = first | MISS
-    table[0] = first
-    table[0, first == 0] |= MISS
+        begin[c] = s
+    table = np.empty((between + 1, width), np.uint32)
+    table[:] = begin | MISS
     for s, out in enumerate(edges):
         if s:
             table[s, list(out)] = list(out.values())
@@ -123,8 +123,8 @@ class Model:
         A code of 255 is no character and costs nothing."""
         out = np.empty((len(self.langs), blocks.shape[1]))
         for k, table in enumerate(self.tables):
-            state = np.zeros(blocks.shape[1], np.uint32)
-            count = (blocks[0] != 255).astype(np.uint32)
+            state = np.full(blocks.shape[1], len(table) // self.width - 1, np.uint32)
+            count = np.zeros(blocks.shape[1], np.uint32)
             for step in blocks:
                 real = step != 255
                 if real.all():

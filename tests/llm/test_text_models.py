@@ -56,7 +56,7 @@ def test_decontamination_edge_rows(spark):
             (1, "before a PASSAGE of the benchmark it is long enough after", "m"), (None, "a passage of the benchmrk it is long enough", "m"), (5, "-" * 5000, "m")]
     docs = spark.createDataFrame(rows, "doc_id bigint, text string, matches string")
     kept = decontaminate.decontaminate(docs, items)
-    assert sorted(r.doc_id for r in kept.collect()) == [2, 3, 4, 5] and kept.columns == ["doc_id", "text"]
+    assert sorted(r.doc_id for r in kept.collect()) == [2, 3, 4, 5] and kept.columns == docs.columns and {r.matches for r in kept.collect()} == {"m"}
     found = {(r.doc_id, r.item_id): (r.n_spans, r.distance) for r in decontaminate.contaminated(docs, items).collect()}
     assert found == {(1, 1): (2, 0), (None, 1): (1, 1)}
     in_groups = decontaminate.match_items(docs, items, group_chars=20)
