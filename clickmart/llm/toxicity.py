@@ -1,18 +1,22 @@
 """Toxicity by nearest labelled examples.
 
-A bounded sample of labelled rows gives examples and the terms that tell the
-labels apart.  Documents and examples are TF-IDF vectors over those terms, with
-document frequencies counted over all documents.  An inverted index of the
-examples keeps, per term and block of examples, the largest weight; blocks
-whose bound cannot reach the k-th best cosine are skipped, so the k nearest are
-exact.  Their cosine-weighted votes, weighted back to the labels' shares and
-damped towards the prior, are the score; the voters are the evidence.
+A bounded sample of labelled rows gives the examples, and their texts all terms.
+Documents and examples are TF-IDF vectors over all of these terms, with document
+frequencies counted over all documents; a term weighs the more the further its
+rows' share labelled 1 lies from the share of all, and none weighs nothing.  All
+examples are compared: terms of many examples by a matrix product, the others by
+posting lists, and what can be among the k best again in double precision, so
+the k nearest are exact.  Their cosine-weighted votes, weighted back to the
+labels' shares and damped towards the prior, are the score; the voters are the
+evidence.
 """
 
 from __future__ import annotations
 
 import pickle
 import re
+from collections import Counter
+from functools import cached_property
 
 import numpy as np
 from pyspark import cloudpickle
@@ -22,12 +26,11 @@ from pyspark.sql import functions as F
 
 # --- bounds of the fitted sample and parameters ------------------------------
 EXAMPLES = 6_000          # labelled rows per label at most
-TERMS = 4_000             # terms at most
-MIN_ROWS = 5              # sample rows that have a term, at least
-MIN_CHI2 = 30.0           # of a term and the label, one degree of freedom
-MIN_LIFT = 0.25           # of the share labelled 1 among rows that have a term, either way
+SMOOTH = 5.0              # rows of the labels' share that are added to a term's
+FLOOR = 0.01              # added to the distance of a term's share from the labels'
 NEIGHBOURS = 25
-BLOCK = 32                # examples a block
+COMMON = 0.08             # share of examples that have a term of the matrix, at least
+SLICE = 64                # documents a matrix product
 DAMPING = 0.3             # votes of the prior, in cosines
 # -----------------------------------------------------------------------------
 TOKEN = re.compile(r"[^\W_]+")
@@ -50,37 +53,6 @@ def labelled(labels: DataFrame, label: str = "toxic", per_label: int = EXAMPLES)
     return picked[0].unionAll(picked[1]), sizes
 
 
-def _count_terms(rows: DataFrame) -> DataFrame:
-    """Per term the rows that have it, and those of them labelled 1."""
-    def split(batches):
-        import pyarrow as pa
-
-        for batch in batches:
-            seen: dict[str, list[int]] = {}
-            for y, text in zip(batch["label"].to_pylist(), batch["text"].to_pylist(), strict=True):
-                for t in set(terms_of(text)):
-                    c = seen.setdefault(t, [0, 0])
-                    c[0] += 1
-                    c[1] += y
-            yield pa.RecordBatch.from_pydict({
-                "term": pa.array(seen.keys(), pa.string()), "n": pa.array([c[0] for c in seen.values()], pa.int64()),
-                "n1": pa.array([c[1] for c in seen.values()], pa.int64())})
-
-    counts = rows.select("label", "text").mapInArrow(split, "term string, n bigint, n1 bigint")
-    return counts.groupBy("term").agg(F.sum("n").alias("n"), F.sum("n1").alias("n1"))
-
-
-def _telling_terms(rows: DataFrame, total: int, ones: int) -> list[str]:
-    """Terms whose presence goes with the label, the strongest first."""
-    n, n1 = F.col("n"), F.col("n1")
-    expected = n * (ones / max(1, total))
-    spread = n * (ones / max(1, total)) * (1 - ones / max(1, total)) * (1 - n / max(1, total))
-    chi2 = F.when(spread > 0, (n1 - expected) * (n1 - expected) / spread).otherwise(F.lit(0.0))
-    lift = F.abs(n1 / n - ones / max(1, total))
-    best = _count_terms(rows).filter((n >= MIN_ROWS) & (lift >= MIN_LIFT)).withColumn("chi2", chi2).filter(F.col("chi2") >= MIN_CHI2)
-    return [r.term for r in best.orderBy(F.desc("chi2"), "term").limit(TERMS).select("term").collect()]
-
-
 def _document_frequencies(docs: DataFrame, terms: list[str]) -> tuple[int, np.ndarray]:
     """Number of documents, and of those with each term, over all ``docs``."""
     shared = docs.sparkSession.sparkContext.broadcast({t: k for k, t in enumerate(terms)})
@@ -92,102 +64,139 @@ def _document_frequencies(docs: DataFrame, terms: list[str]) -> tuple[int, np.nd
         for batch in batches:
             for text in batch["text"].to_pylist():
                 total += 1
-                hit = {known[t] for t in terms_of(text) if t in known}
-                found[list(hit)] += 1
+                hit = set(map(known.get, terms_of(text)))
+                hit.discard(None)
+                found[np.fromiter(hit, np.int64, len(hit))] += 1
         ids = np.flatnonzero(found)
         yield pa.RecordBatch.from_pydict({"id": pa.array([-1, *ids.tolist()], pa.int32()),
                                           "n": pa.array([total, *found[ids].tolist()], pa.int64())})
 
-    rows = docs.select("text").mapInArrow(count, "id int, n bigint").groupBy("id").agg(F.sum("n").alias("n")).collect()
-    df, total = np.zeros(len(terms), np.int64), 0
-    for r in rows:
-        if r.id < 0:
-            total = r.n
-        else:
-            df[r.id] = r.n
-    return total, df
+    rows = docs.select("text").mapInArrow(count, "id int, n bigint").groupBy("id").agg(F.sum("n").alias("n")).toArrow()
+    ids, n = rows["id"].to_numpy(), rows["n"].to_numpy()
+    df = np.zeros(len(terms), np.int64)
+    df[ids[ids >= 0]] = n[ids >= 0]
+    return int(n[ids < 0].sum()), df
+
+
+def _ranges(start: np.ndarray, size: np.ndarray) -> np.ndarray:
+    """The numbers from each start on, so many as its size, one after another."""
+    return np.repeat((start - np.cumsum(size) + size).astype(np.int32), size) + np.arange(size.sum(), dtype=np.int32)
 
 
 class Index:
-    """Block-max inverted index over unit vectors of the examples."""
+    """Exact nearest neighbours among unit vectors of the examples."""
 
     def __init__(self, vectors: list[tuple[np.ndarray, np.ndarray]], n_terms: int):
-        term = np.concatenate([v[0] for v in vectors]) if vectors else np.zeros(0, np.int64)
-        weight = np.concatenate([v[1] for v in vectors]) if vectors else np.zeros(0)
-        example = np.repeat(np.arange(len(vectors)), [len(v[0]) for v in vectors])
-        order = np.lexsort((example, term))
-        term, self.weight, self.example = term[order], weight[order], example[order]
-        self.start = np.searchsorted(term, np.arange(n_terms + 1))
-        self.n, self.blocks = len(vectors), -(-len(vectors) // BLOCK)
-        # block runs of each term's postings: first posting, block, largest weight
-        cell = term * max(1, self.blocks) + self.example // BLOCK
-        self.run = np.flatnonzero(np.diff(cell, prepend=-1))
-        self.run_block = (self.example // BLOCK)[self.run]
-        self.run_max = np.maximum.reduceat(self.weight, self.run) if len(self.run) else np.zeros(0)
-        self.run_end = np.append(self.run[1:], len(cell))
-        self.run_start = np.searchsorted(cell[self.run], np.arange(n_terms + 1) * max(1, self.blocks))
+        self.n, sizes = len(vectors), [len(v[0]) for v in vectors]
+        self.term = np.concatenate([v[0] for v in vectors]).astype(np.int32) if vectors else np.zeros(0, np.int32)
+        self.term_weight = np.concatenate([v[1] for v in vectors]) if vectors else np.zeros(0)
+        self.row = np.concatenate([[0], np.cumsum(sizes)]).astype(np.int64)
+        example = np.repeat(np.arange(self.n), sizes)
+        rows = np.bincount(self.term, minlength=n_terms)
+        many = np.flatnonzero(rows > COMMON * self.n)
+        self.column = np.full(n_terms, -1, np.int32)
+        self.column[many] = np.arange(len(many))
+        dense = self.column[self.term] >= 0
+        self.matrix = np.zeros((len(many), self.n), np.float32)
+        self.matrix[self.column[self.term[dense]], example[dense]] = self.term_weight[dense]
+        order = np.flatnonzero(~dense)
+        order = order[np.argsort(self.term[order], kind="stable")]
+        self.example, self.weight = example[order], self.term_weight[order]
+        self.start = np.searchsorted(self.term[order], np.arange(n_terms + 1))
+        self.slack = 2 * (len(many) + 4) * 2.0 ** -23  # twice the rounding of the matrix product, at least
+        self.asked = np.zeros(n_terms)
 
     def nearest(self, ids: np.ndarray, weights: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
         """The ``k`` examples of largest positive cosine, exactly, and the cosines;
         ties go to the earlier example."""
-        runs = np.concatenate([np.arange(self.run_start[t], self.run_start[t + 1]) for t in ids])
-        by = np.repeat(weights, self.run_start[ids + 1] - self.run_start[ids])
-        bound = np.bincount(self.run_block[runs], by * self.run_max[runs], self.blocks)
-        rank = np.argsort(-bound, kind="stable")
-        rank = rank[bound[rank] > 0]
-        cosine, kth, done = np.zeros(self.n), 0.0, 0
-        step = max(4, 2 * -(-k // BLOCK))
-        place = np.full(self.blocks, self.blocks)
-        place[rank] = np.arange(len(rank))
-        at = place[self.run_block[runs]]
-        while done < len(rank) and bound[rank[done]] * (1 + 1e-9) >= kth:
-            now = (at >= done) & (at < done + step)
-            lo, size = self.run[runs[now]], self.run_end[runs[now]] - self.run[runs[now]]
-            p = np.repeat(lo - np.concatenate([[0], np.cumsum(size)[:-1]]), size) + np.arange(size.sum())
-            cosine += np.bincount(self.example[p], self.weight[p] * np.repeat(by[now], size), self.n)
-            done += step
-            step *= 2
-            if self.n > k:
-                kth = np.partition(cosine, self.n - k)[self.n - k]
-        hit = np.flatnonzero(cosine > 0)
-        top = hit[np.lexsort((hit, -cosine[hit]))[:k]]
-        return top, cosine[top]
+        return self.nearest_of([(ids, weights)], k)[0]
+
+    def nearest_of(self, vectors: list[tuple[np.ndarray, np.ndarray]], k: int) -> list[tuple[np.ndarray, np.ndarray]]:
+        """The ``nearest`` of each vector."""
+        found = []
+        for at in range(0, len(vectors), SLICE):
+            some = vectors[at:at + SLICE]
+            left = np.zeros((len(some), len(self.matrix)), np.float32)
+            for j, (ids, weights) in enumerate(some):
+                column = self.column[ids]
+                left[j, column[column >= 0]] = weights[column >= 0]
+            found += [self._best(*v, near, k) for v, near in zip(some, left @ self.matrix, strict=True)]
+        return found
+
+    def _best(self, ids: np.ndarray, weights: np.ndarray, near: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
+        size = self.start[ids + 1] - self.start[ids]
+        p = _ranges(self.start[ids], size)
+        near = near + np.bincount(self.example[p], self.weight[p] * np.repeat(weights, size), self.n)
+        least = np.partition(near, self.n - k)[self.n - k] - self.slack if self.n > k else -1.0
+        hit = np.flatnonzero(near >= least)
+        # in double precision, term by term, so equal vectors get equal cosines
+        size = self.row[hit + 1] - self.row[hit]
+        p = _ranges(self.row[hit], size)
+        self.asked[ids] = weights
+        cosine = np.bincount(np.repeat(np.arange(len(hit)), size), self.term_weight[p] * self.asked[self.term[p]], len(hit))
+        self.asked[ids] = 0.0
+        top = np.lexsort((hit, -cosine))[:k]
+        top = top[cosine[top] > 0]
+        return hit[top], cosine[top]
 
 
 class Model:
-    """Terms, their weights, the index and the votes; bounded by the sample."""
+    """Terms, their weights, the index and the votes; bounded by the sample.
+    An example is its id, label, and its terms' places and numbers."""
 
-    def __init__(self, terms: list[str], df: np.ndarray, total: int, examples: list[tuple[int, int, str]], sizes: dict[int, int]):
+    def __init__(self, terms: list[str], df: np.ndarray, total: int, examples: list[tuple[int, int, np.ndarray, np.ndarray]], sizes: dict[int, int]):
         self.ids = {t: k for k, t in enumerate(terms)}
-        self.idf = np.log((1 + total) / (1 + df)) + 1e-6 if len(terms) else np.zeros(0)
-        vectors = [(e, self.vector(e[2])) for e in examples]
-        vectors = [(e, v) for e, v in vectors if len(v[0])]
-        self.example_ids = [e[0] for e, _ in vectors]
-        self.labels = np.array([e[1] for e, _ in vectors], np.int64)
-        self.index = Index([v for _, v in vectors], len(terms))
         sampled = np.bincount([e[1] for e in examples], minlength=2)
         self.vote = np.array([sizes.get(y, 0) / max(1, sampled[y]) for y in (0, 1)])
         self.prior = sizes.get(1, 0) / max(1, sum(sizes.values()))
+        rows = np.zeros((2, len(terms)))
+        for _, y, ids, _ in examples:
+            rows[y, ids] += self.vote[y]
+        share = (rows[1] + SMOOTH * self.prior) / (rows.sum(axis=0) + SMOOTH)
+        self.weight = (np.log((1 + total) / (1 + df)) + 1e-6) * (np.abs(share - self.prior) + FLOOR)
+        self.examples = [e[2:] for e in examples if len(e[2])]
+        self.example_ids = [e[0] for e in examples if len(e[2])]
+        self.labels = np.array([e[1] for e in examples if len(e[2])], np.int64)
+
+    @cached_property
+    def index(self) -> Index:
+        """Made where texts are scored; it is larger than what it is made of."""
+        return Index([self._unit(*e) for e in self.examples], len(self.ids))
+
+    def _unit(self, ids: np.ndarray, n: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        order = np.argsort(ids)
+        ids, n = ids[order], n[order]
+        w = (1 + np.log(n)) * self.weight[ids]
+        return ids.astype(np.int64), w / np.sqrt((w * w).sum())
 
     def vector(self, text: str | None) -> tuple[np.ndarray, np.ndarray]:
-        ids = [self.ids[t] for t in terms_of(text) if t in self.ids]
-        if not ids:
+        """The unit vector of a text's terms, in the order of the terms."""
+        counts = Counter(map(self.ids.get, terms_of(text)))
+        counts.pop(None, None)
+        if not counts:
             return np.zeros(0, np.int64), np.zeros(0)
-        ids, n = np.unique(ids, return_counts=True)
-        w = (1 + np.log(n)) * self.idf[ids]
-        return ids, w / np.sqrt((w * w).sum())
+        return self._unit(np.fromiter(counts.keys(), np.int64, len(counts)), np.fromiter(counts.values(), np.int64, len(counts)))
 
     def score(self, text: str | None, k: int) -> tuple[float, list[dict]]:
-        ids, w = self.vector(text)
-        if not len(ids) or not self.index.n:
-            return self.prior, []
-        near, cosine = self.index.nearest(ids, w, k)
+        return self.scores([text], k)[0]
+
+    def scores(self, texts: list[str | None], k: int) -> list[tuple[float, list[dict]]]:
+        vectors = [self.vector(t) for t in texts]
+        asked = [j for j, v in enumerate(vectors) if len(v[0]) and self.examples]
+        found = [(self.prior, []) for _ in texts]
+        if not asked:
+            return found
+        for j, near in zip(asked, self.index.nearest_of([vectors[j] for j in asked], k), strict=True):
+            found[j] = self._votes(*near)
+        return found
+
+    def _votes(self, near: np.ndarray, cosine: np.ndarray) -> tuple[float, list[dict]]:
         y = self.labels[near]
         votes = cosine * self.vote[y]
         # The prior's votes are in units of a vote of average weight.
         unit = DAMPING * votes.sum() / max(1e-12, cosine.sum())
         value = (votes[y == 1].sum() + unit * self.prior) / max(1e-12, votes.sum() + unit)
-        found = [{"doc_id": self.example_ids[i], "cosine": float(c), "label": int(a)} for i, c, a in zip(near, cosine, y, strict=True)]
+        found = [{"doc_id": self.example_ids[i], "cosine": c, "label": a} for i, c, a in zip(near.tolist(), cosine.tolist(), y.tolist(), strict=True)]
         return float(min(1.0, max(0.0, value))), found
 
 
@@ -195,21 +204,29 @@ def fit(docs: DataFrame, labels: DataFrame, label: str = "toxic", per_label: int
     """Fit on a bounded sample of ``labels`` and on term counts of all ``docs``."""
     picked, sizes = labelled(labels, label, per_label)
     rows = docs.select("doc_id", "text").join(F.broadcast(picked), "doc_id")
-    total = sum(min(per_label, n) for n in sizes.values())
-    terms = _telling_terms(rows, total, min(per_label, sizes.get(1, 0)))
-    n_docs, df = _document_frequencies(docs, terms)
-    known = {t: t for t in terms}
-    shared = docs.sparkSession.sparkContext.broadcast(known)
 
-    def reduce(batches):  # an example needs only its known terms
+    def count(batches):  # an example needs only its terms and their numbers
         import pyarrow as pa
 
         for batch in batches:
-            text = [" ".join(t for t in terms_of(x) if t in shared.value) for x in batch["text"].to_pylist()]
-            yield pa.RecordBatch.from_pydict({"doc_id": batch["doc_id"], "label": batch["label"], "text": pa.array(text, pa.string())})
-
-    rows = rows.select("doc_id", "label", "text").mapInArrow(reduce, "doc_id bigint, label int, text string")
-    examples = sorted((r.doc_id, r.label, r.text) for r in rows.dropDuplicates(["doc_id"]).collect())  # bounded by the sample
+            found = [Counter(terms_of(x)) for x in batch["text"].to_pylist()]
+            yield pa.RecordBatch.from_pydict({
+                "doc_id": batch["doc_id"], "label": batch["label"], "terms": pa.array([" ".join(c) for c in found], pa.string()),
+                "counts": pa.array([list(c.values()) for c in found], pa.list_(pa.int32()))})
+
+    rows = rows.select("doc_id", "label", "text").mapInArrow(count, "doc_id bigint, label int, terms string, counts array<int>")
+    places: dict[str, int] = {}
+    examples = []
+    for batch in rows.dropDuplicates(["doc_id"]).toArrow().to_batches(max_chunksize=256):  # bounded by the sample
+        for r in batch.to_pylist():
+            ids = np.fromiter((places.setdefault(t, len(places)) for t in r["terms"].split()), np.int32)
+            examples.append((r["doc_id"], r["label"], ids, np.array(r["counts"], np.int32)))
+    terms = sorted(places)
+    rank = np.zeros(len(terms), np.int32)
+    rank[[places[t] for t in terms]] = np.arange(len(terms))
+    examples = [(d, y, rank[ids], n) for d, y, ids, n in sorted(examples, key=lambda e: e[0])]
+    del places
+    n_docs, df = _document_frequencies(docs, terms)
     return Model(terms, df, n_docs, examples, sizes)
 
 
@@ -226,15 +243,17 @@ def toxicity(docs: DataFrame, model: Model, k: int = NEIGHBOURS) -> DataFrame:
 
     out = ("score", "predicted", "evidence")
     docs = docs.drop(*out)
-    shared = docs.sparkSession.sparkContext.broadcast(cloudpickle.dumps(model))
+    shared = docs.sparkSession.sparkContext.broadcast([cloudpickle.dumps(model)])
 
     def label(batches):
         import pyarrow as pa
 
-        model = pickle.loads(shared.value)
+        if isinstance(shared.value[0], bytes):  # once a worker, not once a task
+            shared.value[0] = pickle.loads(shared.value[0])
+        model = shared.value[0]
         kind = pa.list_(pa.struct([("doc_id", pa.int64()), ("cosine", pa.float64()), ("label", pa.int32())]))
         for batch in batches:
-            found = [model.score(t.as_py(), k) for t in batch.column(batch.schema.get_field_index("text"))]
+            found = model.scores(batch.column(batch.schema.get_field_index("text")).to_pylist(), k)
             score = pa.array([s for s, _ in found], pa.float64())
             yield pa.RecordBatch.from_arrays(
                 [*batch.columns, score, pa.array([int(s >= 0.5) for s, _ in found], pa.int32()), pa.array([e for _, e in found], kind)],

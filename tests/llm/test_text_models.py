@@ -174,3 +174,13 @@ def test_toxicity_edge_rows(spark):
     none = toxicity.fit(docs, labels.limit(0))
     assert {r.score for r in toxicity.toxicity(docs, none).collect()} == {0.0}
     assert toxicity.toxicity(docs.limit(0), model).collect() == []
+
+
+def test_rare_terms_and_all_examples_count(spark):
+    rows = [(k, f"plain text about topic{k % 7} and number{k}", 0) for k in range(60)] + [(60 + k, f"plain text about topic{k} grudzle number{60 + k}", 1) for k in range(3)]
+    docs = spark.createDataFrame([r[:2] for r in rows] + [(900, "text about a grudzle"), (901, "plain topic3")], "doc_id bigint, text string")
+    model = toxicity.fit(docs, spark.createDataFrame([(r[0], r[2]) for r in rows], "doc_id bigint, toxic int"))
+    assert model.example_ids == [r[0] for r in rows] and len(model.ids) == len({t for r in rows for t in toxicity.terms_of(r[1])})
+    got = {r.doc_id: r for r in toxicity.toxicity(docs, model).filter("doc_id >= 900").collect()}
+    assert got[900].score > model.prior and {e.doc_id for e in got[900].evidence[:3]} == {60, 61, 62}
+    assert len(got[901].evidence) == toxicity.NEIGHBOURS and got[901].score < model.prior
