@@ -4,6 +4,7 @@ import contextlib
 import io
 import random
 import re
+import unicodedata
 
 import pytest
 from pyspark.sql import functions as F
@@ -197,3 +198,28 @@ def test_quality_edge_rows(spark):
     assert quality.quality(df.limit(0)).collect() == []
     alone = quality.quality(spark.createDataFrame([(1, "one two", "en")], "doc_id bigint, text string, lang string")).first()
     assert alone.class_distance is None and alone.kept is False
+
+
+def test_junk_with_rates_of_capitals_and_stops_like_prose_goes(spark):
+    numbers = " ".join(str(1000 + 37 * k) for k in range(300))
+    signs = " ".join(f"====={k}. ~~~~{k * 7} ____{k * 3}" for k in range(100))
+    words = "The cat sat on a mat. It looked at some small bird in that tree, and the dog ran off with his old bone to the house of my aunt".split()
+    rows = [(k, ". ".join(" ".join(random.Random(k * 50 + j).sample(words, 15)) for j in range(6)), "en") for k in range(20)]
+    df = spark.createDataFrame([*rows, (100, numbers, "en"), (101, signs, "en")], "doc_id bigint, text string, lang string")
+    got = {r.doc_id: r for r in quality.quality(df).collect()}
+    assert not any(got[k].base_failed for k in (100, 101))
+    assert all(got[k].class_distance > 0.5 and not got[k].kept for k in (100, 101))
+    assert all(got[k].class_distance < 0.1 for k in range(20))
+
+
+def test_class_counts_match_plain_counting(spark):
+    texts = [None, "", "Ab 1é 　!#=~\t\n.́", "中文 ǅ ٣ _@/[]{}+�\x1c"]
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id bigint, text string")
+    df = quality.base_counts(df).withColumn("__blanks", F.char_length(F.coalesce("text", F.lit(""))) - F.col("word_chars"))
+    for r in df.select("doc_id", *quality._class_counts(F.col("__blanks"))).collect():
+        t = texts[r.doc_id] or ""
+        kind = [unicodedata.category(c) for c in t]
+        space = [c.isspace() for c in t]
+        want = (kind.count("Lu"), sum(k[0] in "LM" and k != "Lu" for k in kind), kind.count("Nd"), sum(space),
+                sum(c in ".,;:?'()-" for c in t), sum(c in "#*$%&|<>!" for c in t), len(t))
+        assert tuple(r)[1:] == want
