@@ -60,30 +60,34 @@ def _js(n: str, m: str) -> str:
 
 def _op9() -> str:
     q = quality
-    stop = q.STOP.replace("'", "''")
+    classes = {"upper": q.UPPER, "lower": q.LOWER, "digit": q.DIGIT, "space": q.SPACE + q.BLANK, "stop": q.STOP.replace("'", "''"), "mark": q.MARK}
+    if tuple(classes) != q.CLASSES:
+        raise ValueError("a class of quality.py has no SQL")
+    names = (*classes, "rest")
+    counted = ", ".join(f"length(regexp_replace(x, '[^{c}]+', '', 'g')) AS {n}" for n, c in classes.items())
+    shares = ", ".join(f"SUM({n}) / SUM(chars) AS {n}" for n in names)
+    apart = " + ".join(_js(f"o.{n} / o.chars", f"r.{n}") for n in names)
     return rf"""
 WITH t AS (SELECT doc_id, lang, COALESCE(text, '') AS x, {_WORDS} AS ws FROM documents),
 b AS (SELECT *, len(ws) AS n_words, length(array_to_string(ws, '')) AS word_chars,
         length(regexp_replace(x, '[^{q.SYMBOLS}]+', '', 'g')) AS n_symbols,
         list_filter(string_split(x, chr(10)), lambda l: regexp_matches(l, '[^\x20\x09-\x0D]')) AS lines,
-        length(regexp_replace(x, '[^{q.UPPER}]+', '', 'g')) AS upper, length(regexp_replace(x, '[^{stop}]+', '', 'g')) AS stop,
-        length(x) - length(replace(x, '{q.SHOUT}', '')) AS shouts, length(x) AS chars,
+        {counted}, length(x) AS chars,
         list_filter(regexp_split_to_array(lower(x), '[^\p{{L}}]+'), lambda w: w <> '') AS letters FROM t),
-a AS (SELECT *, n_symbols + shouts AS mark, chars - upper - stop - n_symbols - shouts AS rest FROM b),
+a AS (SELECT *, chars - {' - '.join(classes)} AS rest FROM b),
 g AS (SELECT doc_id, i, array_to_string(ws[i:i + 2], ' ') AS win FROM t, LATERAL (SELECT unnest(range(1, len(ws) - 1)) AS i) r WHERE len(ws) >= 3),
 gr AS (SELECT doc_id, i FROM (SELECT doc_id, i, COUNT(*) OVER (PARTITION BY doc_id, win) AS c FROM g) y WHERE c > 1),
 rep AS (SELECT doc_id, COUNT(DISTINCT i + o.o) AS n FROM gr, range(3) o(o) GROUP BY doc_id),
 good AS (SELECT * FROM a WHERE len(letters) >= {q.MIN_WORDS} AND mark * {q.PLAIN} <= len(letters) AND 2 * upper <= chars
         AND {q.VARIED} * len(list_distinct(letters)) >= len(letters)),
-refs AS (SELECT lang, SUM(upper) / SUM(chars) AS upper, SUM(stop) / SUM(chars) AS stop, SUM(mark) / SUM(chars) AS mark, SUM(rest) / SUM(chars) AS rest,
+refs AS (SELECT lang, {shares},
         SUM(len(letters)) AS total FROM (SELECT * FROM good UNION ALL SELECT * REPLACE (NULL AS lang) FROM good WHERE lang IS NOT NULL) z GROUP BY lang),
 spoken AS (SELECT lang, w, COUNT(*) AS n FROM (SELECT lang, unnest(letters) AS w FROM good UNION ALL SELECT NULL, unnest(letters) FROM good WHERE lang IS NOT NULL) z
         WHERE length(w) <= {q.COMMON_LENGTH} GROUP BY lang, w),
 common AS (SELECT s.lang, s.w, s.n / r.total AS share FROM (SELECT *, row_number() OVER (PARTITION BY lang ORDER BY n DESC, w) AS k FROM spoken) s
         JOIN refs r ON r.lang IS NOT DISTINCT FROM s.lang WHERE k <= {q.COMMON_WORDS}),
 own AS (SELECT a.*, CASE WHEN r.lang IS NULL THEN NULL ELSE a.lang END AS reference FROM a LEFT JOIN refs r ON r.lang = a.lang),
-cd AS (SELECT o.doc_id, sqrt(greatest(0, ({_js('o.upper / o.chars', 'r.upper')} + {_js('o.stop / o.chars', 'r.stop')} + {_js('o.mark / o.chars', 'r.mark')}
-        + {_js('o.rest / o.chars', 'r.rest')}) / 2)) AS dist FROM own o JOIN refs r ON r.lang IS NOT DISTINCT FROM o.reference WHERE o.chars >= {q.MIN_CHARS}),
+cd AS (SELECT o.doc_id, sqrt(greatest(0, ({apart}) / 2)) AS dist FROM own o JOIN refs r ON r.lang IS NOT DISTINCT FROM o.reference WHERE o.chars >= {q.MIN_CHARS}),
 said AS (SELECT doc_id, w, COUNT(*) AS n FROM (SELECT doc_id, unnest(letters) AS w FROM own WHERE len(letters) >= {q.MIN_LETTER_WORDS}) z GROUP BY doc_id, w),
 bins AS (SELECT o.doc_id, COALESCE(s.n, 0) / len(o.letters) AS p, c.share AS q FROM own o JOIN common c ON c.lang IS NOT DISTINCT FROM o.reference
         LEFT JOIN said s ON s.doc_id = o.doc_id AND s.w = c.w WHERE len(o.letters) >= {q.MIN_LETTER_WORDS}),
