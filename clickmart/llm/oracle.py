@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from clickmart.llm import mixing, quality
 
 _WORDS = r"regexp_extract_all(COALESCE(text, ''), '[^\x20\x09-\x0D]+')"
@@ -103,5 +105,59 @@ FROM j LEFT JOIN cd ON cd.doc_id = j.doc_id LEFT JOIN wd ON wd.doc_id = j.doc_id
 """
 
 
-def oracle_sql() -> dict[str, str]:
-    return {"op2_suffix_dedup": OP2, "op4_window_dedup": OP4, "op5_jaccard_join": OP5, "op7_mix_sources": mixing.ORACLE, "op9_quality_rules": _op9()}
+def _crc32(text: str) -> str:
+    """SQL for the unsigned crc32 of a text's UTF-8 bytes; ``crc_table`` is in scope."""
+    digits = f"hex(encode({text}))"
+    octets = f"list_transform(range(0, length({digits}), 2), lambda k: CAST('0x' || substr({digits}, CAST(k AS INTEGER) + 1, 2) AS BIGINT))"
+    step = "xor(c >> 8, crc_table.t[CAST(xor(c, b) & 255 AS INTEGER) + 1])"
+    return f"xor(list_reduce(list_prepend(CAST(4294967295 AS BIGINT), {octets}), lambda c, b: {step}), 4294967295)"
+
+
+_HALF = "CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END"
+_CRC_TABLE = ("crc_table AS (SELECT list(c ORDER BY i) AS t FROM (WITH RECURSIVE s AS (SELECT i, 0 AS k, i AS c FROM range(256) x(i) "
+              f"UNION ALL SELECT i, k + 1, {_HALF} FROM s WHERE k < 8) SELECT i, c FROM s WHERE k = 8) z)")
+
+OP12 = rf"""
+WITH {_CRC_TABLE},
+t AS (SELECT conv_id, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, turn_id) AS i, turn_id, n FROM (
+        SELECT conv_id, turn, md5(concat(length(COALESCE(role, '')), ' ', COALESCE(role, ''), COALESCE(text, ''))) AS turn_id, len({_WORDS}) AS n
+        FROM conversations WHERE conv_id IS NOT NULL) z),
+c AS (SELECT conv_id, conv_id - conv_id % 20 AS base, {_crc32('CAST(conv_id AS VARCHAR)')} % 4 AS h FROM (SELECT DISTINCT conv_id FROM t) z, crc_table),
+r AS (SELECT c.conv_id, 0 AS part, t.i, t.turn_id, t.n FROM c JOIN t ON t.conv_id = c.base AND t.i <= c.h
+      UNION ALL SELECT c.conv_id, 1, t.i, t.turn_id, t.n FROM c JOIN t ON t.conv_id = c.conv_id AND t.i > c.h),
+p AS (SELECT conv_id, row_number() OVER w AS depth, string_agg(turn_id, '') OVER w AS path, n FROM r WINDOW w AS (PARTITION BY conv_id ORDER BY part, i ROWS UNBOUNDED PRECEDING)
+      UNION ALL SELECT conv_id, 0, '', 0 FROM c),
+l AS (SELECT conv_id, MAX(depth) AS turns FROM p GROUP BY conv_id),
+v AS (SELECT p.path, p.depth, MIN(p.conv_id) AS conv_id, COUNT(*) AS n_convs, MIN(p.n) AS n,
+        sha256(COALESCE(string_agg(CAST(p.conv_id AS VARCHAR), ',' ORDER BY p.conv_id) FILTER (WHERE l.turns = p.depth), '')) AS ends
+      FROM p JOIN l ON l.conv_id = p.conv_id GROUP BY p.path, p.depth),
+k AS (SELECT u.path, COUNT(*) AS n_children FROM v JOIN v u ON u.path = left(v.path, 32 * (v.depth - 1)) WHERE v.depth > 0 GROUP BY u.path),
+s AS (SELECT a.path, COUNT(*) FILTER (WHERE k.path IS NULL) AS n_leaves, SUM((v.n_convs - 1) * v.n) AS saved
+      FROM v LEFT JOIN k ON k.path = v.path JOIN p a ON a.conv_id = v.conv_id AND a.depth <= v.depth GROUP BY a.path)
+SELECT v.conv_id, CAST(v.depth AS BIGINT) AS depth, u.conv_id AS parent_conv_id, CAST(v.n_convs AS BIGINT) AS n_convs, CAST(COALESCE(k.n_children, 0) AS BIGINT) AS n_children,
+       CAST(s.n_leaves AS BIGINT) AS n_leaves, CAST(s.saved AS BIGINT) AS saved_tokens, v.ends AS ends_sha256
+FROM v JOIN s ON s.path = v.path LEFT JOIN k ON k.path = v.path LEFT JOIN v u ON v.depth > 0 AND u.path = left(v.path, 32 * (v.depth - 1))
+"""
+
+# Words less one letter meet: at the same place where one was replaced, with a whole word where one is missing.
+OP13 = rf"""
+WITH RECURSIVE {_CRC_TABLE},
+r AS (SELECT COALESCE(CAST(doc_id AS VARCHAR), '') AS doc, unnest(regexp_extract_all(text, '[A-Za-z\x{{C0}}-\x{{FF}}]+')) AS run FROM documents),
+u AS (SELECT doc, run, length(run) AS size, COUNT(*) AS n FROM (SELECT doc, translate(run, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS run FROM r) z GROUP BY doc, run),
+h AS (SELECT run, size, n, {_crc32("doc || ':' || run")} AS h FROM u, crc_table),
+w AS (SELECT CASE WHEN h % 31 = 0 THEN substr(run, 1, CAST(h % size AS INTEGER)) || substr(run, CAST(h % size AS INTEGER) + 2) ELSE run END AS word, n FROM h),
+v AS (SELECT word, length(word) AS size, CAST(SUM(n) AS BIGINT) AS n FROM w GROUP BY word HAVING length(word) >= 7 AND SUM(n) >= 2),
+d AS (SELECT word, n, i, substr(word, 1, CAST(i AS INTEGER) - 1) || substr(word, CAST(i AS INTEGER) + 1) AS rest FROM v, LATERAL (SELECT unnest(range(1, size + 1)) AS i) x),
+near AS (SELECT a.word, b.word AS other, b.n FROM d a JOIN d b ON b.rest = a.rest AND b.i = a.i AND b.word <> a.word
+         UNION SELECT d.word, v.word, v.n FROM d JOIN v ON v.word = d.rest UNION SELECT v.word, d.word, d.n FROM d JOIN v ON v.word = d.rest),
+best AS (SELECT word, COUNT(*) AS n_near, MAX(n) AS most, first(other ORDER BY n DESC, encode(other)) AS other FROM near GROUP BY word),
+f AS (SELECT v.word, v.n, COALESCE(best.n_near, 0) AS n_near, CASE WHEN best.most >= 10 * v.n THEN best.other END AS form,
+        CASE WHEN best.most >= 10 * v.n THEN best.most END AS form_n FROM v LEFT JOIN best ON best.word = v.word),
+c AS (SELECT word, word AS root FROM f UNION SELECT c.word, f.form FROM c JOIN f ON f.word = c.root WHERE f.form IS NOT NULL)
+SELECT f.word, f.form, c.root, f.n, CAST(f.n_near AS BIGINT) AS n_near, f.form_n FROM f JOIN c ON c.word = f.word JOIN f g ON g.word = c.root WHERE g.form IS NULL
+"""
+
+
+def texts() -> dict[str, Callable[[], str]]:
+    return {"op2_suffix_dedup": lambda: OP2, "op4_window_dedup": lambda: OP4, "op5_jaccard_join": lambda: OP5, "op7_mix_sources": lambda: mixing.ORACLE,
+            "op9_quality_rules": _op9, "op12_radix_trie": lambda: OP12, "op13_spelling_variants": lambda: OP13}

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from clickmart.llm import decontaminate, jaccard, language, mixing, oracle, quality, suffixes, surrogates, token_planes, toxicity, windows
+from clickmart.llm import decontaminate, jaccard, language, mixing, oracle, packing, quality, spelling, suffixes, surrogates, token_planes, toxicity, trie, windows
 from clickmart.llm.common import crc, read
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -69,9 +69,27 @@ def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scored.select("doc_id", "held_out", "score", "predicted", "evidence")
 
 
+def op11_vector_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers
+
+    examples = packing.as_examples(read(spark, sf_dir, "documents"))
+    packed = packing.pack(examples, public_tokenizers.path("word_bpe_49k.json"), end_id=1)
+    return packed.select("doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens", "sequence_id", "offset")
+
+
+def op12_radix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return trie.prefix_trie(read(spark, sf_dir, "conversations"))
+
+
+def op13_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spelling.group_variants(read(spark, sf_dir, "documents"))
+
+
 def queries() -> dict[str, Query]:
-    return {f.__name__: f for f in (op1_decontaminate, op2_suffix_dedup, op3_language_id, op4_window_dedup, op5_jaccard_join, op6_surrogates, op7_mix_sources, op8_token_planes, op9_quality_rules, op10_toxicity)}
+    return {f.__name__: f for f in (op1_decontaminate, op2_suffix_dedup, op3_language_id, op4_window_dedup, op5_jaccard_join, op6_surrogates, op7_mix_sources,
+                                    op8_token_planes, op9_quality_rules, op10_toxicity, op11_vector_packing, op12_radix_trie, op13_spelling_variants)}
 
 
-def oracle_sql() -> dict[str, str]:
-    return oracle.oracle_sql()
+def oracle_sql() -> dict[str, Callable[[], str]]:
+    """A function for each text, so that one that cannot be built costs no other."""
+    return oracle.texts()
