@@ -20,7 +20,8 @@ from pyspark.sql import functions as F
 from clickmart.llm.common import worker_cache
 
 ERROR_RATE = 0.08
-MIN_CHARS = 24             # shorter items (after normalising) prove nothing and are left out
+MIN_CHARS = 24             # shorter items (after normalising) must occur as they are, as whole words
+UNSPACED = re.compile("[\u0e00-\u0eff\u1000-\u109f\u1780-\u17ff\u3040-\u30ff\u3400-\u9fff\uf900-\ufaff\U00020000-\U0003ffff]")  # scripts without spaces between words
 GROUP_CHARS = 4_000_000    # characters of items that go to the workers at once
 APART = re.compile(r"[\W_]+")
 
@@ -78,6 +79,11 @@ class Pattern:
         return least, end
 
 
+def _border(text: str, at: int) -> bool:
+    """Whether a word may begin or end at a place of a normalised text."""
+    return at in (0, len(text)) or " " in text[at - 1:at + 1] or bool(UNSPACED.search(text, at - 1, at + 1))
+
+
 class Matcher:
     """All items' pieces in one automaton."""
 
@@ -90,7 +96,7 @@ class Matcher:
             same.setdefault(text, []).append(name)
         pieces: dict[str, list[tuple[int, int]]] = {}
         for i, (text, names) in enumerate(same.items()):
-            n = int(rate * len(text)) + 1
+            n = int(rate * len(text)) + 1 if len(text) >= MIN_CHARS else 1
             cuts = [len(text) * j // n for j in range(n + 1)]
             self.items.append((text, names, cuts))
             for j in range(n):
@@ -126,7 +132,10 @@ class Matcher:
             if least > most:
                 return None
         if not runs:
-            return at, at + cuts[-1], 0
+            end = at + cuts[-1]
+            if cuts[-1] < MIN_CHARS and not (_border(text, at) and _border(text, end)):
+                return None
+            return at, end, 0
         end += left
         _, size = self._pattern(i, 0, n, True).best(text[left:end][::-1])
         return end - size, end, least
@@ -159,7 +168,7 @@ def _groups(items: DataFrame, group_chars: int):
     for g in range(n):
         part = rows.filter(F.pmod(F.xxhash64("item_id", "text"), F.lit(n)) == g)
         texts = sorted({(r.item_id, normal(r.text).strip()) for r in part.collect()})
-        yield [(name, t) for name, t in texts if len(t) >= MIN_CHARS]
+        yield [(name, t) for name, t in texts if t]
 
 
 def match_items(docs: DataFrame, items: DataFrame, rate: float = ERROR_RATE, keep: list[str] | None = None,
@@ -169,9 +178,12 @@ def match_items(docs: DataFrame, items: DataFrame, rate: float = ERROR_RATE, kee
     character, in characters of the whole text.
 
     Texts are compared in lower case, with everything but letters and digits as
-    one space.  Items shorter than ``MIN_CHARS``, NULL or without id are left out; items with
-    the same text are all reported.  A set of items too large to go to every
-    worker is taken in groups, one pass over the documents each.  NULL and empty
+    one space.  Items shorter than ``MIN_CHARS`` must occur without an edit, from
+    word border to word border (in scripts without spaces anywhere); items that
+    are NULL, without id or without a letter or digit are left out; items with
+    the same text are all reported.  Items are test sets of a bounded size: each
+    worker holds ``group_chars`` characters of them at once, and a larger set is
+    taken in groups, one pass over the documents each.  NULL and empty
     texts have no match; repeated rows are each matched; an empty table, or no
     items, gives no matches.  A column ``matches`` of ``docs`` is replaced.
     """

@@ -21,11 +21,10 @@ from clickmart.llm.common import slices, worker_cache
 SAMPLE_CHARS = 24_000        # letters and spaces of sample text per language
 SAMPLE_ROWS = 400            # rows per language at most
 ALL_CHARS = 1_500_000        # of all languages together; more languages get less each
-ALPHABET = 254               # most frequent characters of the samples
 # -----------------------------------------------------------------------------
 CELLS = 64                   # in which a language's rows are chosen first
 BLOCK = 256                  # characters parsed in step; a phrase ends at the end of a block
-MISS = np.uint32(1 << 31)
+PAD = -1                     # no character: costs nothing
 UNDETERMINED = "und"
 SCHEMA = "lang_pred string, score double"
 
@@ -42,7 +41,7 @@ def sample(docs: DataFrame, sample_chars: int = SAMPLE_CHARS, sample_rows: int =
     """Text per language from rows chosen by a hash of their text: whole rows, at
     most ``sample_rows`` and little more than ``sample_chars``, cut at that.
     Every labelled row can be chosen; what is gathered has a fixed bound."""
-    rows = docs.filter(F.col("lang").isNotNull() & (F.trim("lang") != "") & F.col("text").rlike(r"\p{L}"))
+    rows = docs.filter(F.col("lang").isNotNull() & F.col("text").rlike(r"\p{L}"))
     rows = rows.select("lang", "text", F.xxhash64("text").alias("key"))
     first = lambda *by: F.row_number().over(Window.partitionBy(*by).orderBy("key"))
     # First within cells of a language, then among what the cells keep: no task has a language's rows.
@@ -61,9 +60,8 @@ def sample(docs: DataFrame, sample_chars: int = SAMPLE_CHARS, sample_rows: int =
     return {lang: " ".join(t for _, t in sorted(parts))[:each] for lang, parts in sorted(gathered.items())}
 
 
-def automaton(codes: np.ndarray, width: int) -> np.ndarray:
-    """The suffix automaton of ``codes`` as a table over (state, code): the next
-    state, or, flagged ``MISS``, where a new phrase begins with that code."""
+def automaton(codes: np.ndarray) -> list[dict[int, int]]:
+    """The suffix automaton of ``codes``: the edges (code -> state) of every state."""
     edges: list[dict[int, int]] = [{}]
     link, length, last = [-1], [0], 0
     for c in codes.tolist():
@@ -89,56 +87,106 @@ def automaton(codes: np.ndarray, width: int) -> np.ndarray:
                     p = link[p]
                 link[q] = link[now] = twin
         last = now
-    # The last state stands between phrases: whatever comes begins a new one.
-    between = len(edges)
-    begin = np.full(width, between, np.uint32)
-    for c, s in edges[0].items():
-        begin[c] = s
-    table = np.empty((between + 1, width), np.uint32)
-    table[:] = begin | MISS
-    for s, out in enumerate(edges):
-        if s:
-            table[s, list(out)] = list(out.values())
-    return table
+    return edges
+
+
+class Table:
+    """An automaton's edges in one array: the edge of state s by code c lies at
+    ``base[s] + c`` and belongs to s if ``owner`` says so.  Rows of few edges lie in
+    the gaps of others, so the array is about as long as there are edges, however
+    large the alphabet.  Where there is no edge a new phrase begins: with the code
+    itself, or, if the sample lacks it, between phrases (the last state)."""
+
+    def __init__(self, edges: list[dict[int, int]], width: int):
+        self.between = len(edges)
+        self.begin = np.full(width, self.between, np.int32)
+        for c, s in edges[0].items():
+            self.begin[c] = s
+        rows = {s: (np.fromiter(e.keys(), np.int64, len(e)), np.fromiter(e.values(), np.int64, len(e))) for s, e in enumerate(edges) if s and e}
+        room = 2 * sum(len(c) for c, _ in rows.values()) + 2 * width + 1
+        self.base = np.zeros(self.between + 1, np.int32)
+        self.owner, self.next = np.full(room, -1, np.int32), np.zeros(room, np.int32)
+        # Long rows first, each in the first gap from where the one before it found room.
+        at, size = 0, 0
+        for s in sorted((s for s in rows if len(rows[s][0]) > 1), key=lambda s: -len(rows[s][0])):
+            codes, to = rows[s]
+            if 2 * len(codes) <= size or not size:
+                at, size = -int(codes.min()), len(codes)
+            at = max(at, -int(codes.min()))
+            while True:
+                while at + 64 + width >= len(self.owner):
+                    self.owner = np.concatenate([self.owner, np.full(room, -1, np.int32)])
+                    self.next = np.concatenate([self.next, np.zeros(room, np.int32)])
+                fits = (self.owner[np.arange(at, at + 64)[:, None] + codes] < 0).all(axis=1)
+                if fits.any():
+                    at += int(fits.argmax())
+                    break
+                at += 64
+            self.base[s], self.owner[at + codes], self.next[at + codes] = at, s, to
+        # Single edges take what is left, from the beginning.
+        single = np.array([s for s in rows if len(rows[s][0]) == 1], np.int64)
+        places = np.flatnonzero(self.owner < 0)[:len(single)]
+        if len(places) < len(single):
+            more = len(single) - len(places)
+            places = np.concatenate([places, len(self.owner) + np.arange(more)])
+            self.owner = np.concatenate([self.owner, np.full(more, -1, np.int32)])
+            self.next = np.concatenate([self.next, np.zeros(more, np.int32)])
+        codes = np.array([rows[s][0][0] for s in single], np.int64)
+        self.base[single], self.owner[places], self.next[places] = places - codes, single, [rows[s][1][0] for s in single]
+        # Any state may be asked for any code: pad both ends.
+        shift = max(0, -int(self.base.min()))
+        most = int(self.base.max()) + shift + width
+        self.base += shift
+        self.owner = np.concatenate([np.full(shift, -1, np.int32), self.owner])
+        self.next = np.concatenate([np.zeros(shift, np.int32), self.next])
+        if len(self.owner) < most:
+            self.owner = np.concatenate([self.owner, np.full(most - len(self.owner), -1, np.int32)])
+            self.next = np.concatenate([self.next, np.zeros(most - len(self.next), np.int32)])
+        self.owner, self.next = self.owner[:most], self.next[:most]
+
+    def step(self, state: np.ndarray, codes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The next states, and where a new phrase began."""
+        at = self.base[state] + codes
+        fresh = self.owner[at] != state
+        return np.where(fresh, self.begin[codes], self.next[at]), fresh
 
 
 class Model:
-    """Automata of all languages over one alphabet; code 0 is any other character."""
+    """Automata of all languages over the characters of all samples; code 0 is any
+    other character and occurs in no sample."""
 
     def __init__(self, texts: dict[str, str]):
         self.langs = sorted(texts)
-        seen, counts = np.unique(np.frombuffer("".join(texts.values()).encode("utf-32-le"), np.uint32), return_counts=True)
-        seen = np.sort(seen[np.lexsort((seen, -counts))][:ALPHABET])
-        self.map = np.zeros(0x110000, np.uint8)
+        seen = np.unique(np.frombuffer("".join(texts.values()).encode("utf-32-le"), np.uint32))
+        self.map = np.zeros(0x110000, np.int32)
         self.map[seen] = np.arange(1, len(seen) + 1)
-        self.width = len(seen) + 1
-        self.tables = [automaton(self.codes(texts[x]), self.width).ravel() for x in self.langs]
+        self.tables = [Table(automaton(self.codes(texts[x])), len(seen) + 1) for x in self.langs]
         self.bits = np.array([np.log2(max(2, len(texts[x]))) for x in self.langs])
 
     def codes(self, text: str) -> np.ndarray:
         return self.map[np.frombuffer(text.encode("utf-32-le"), np.uint32)]
 
     def phrases(self, blocks: np.ndarray) -> np.ndarray:
-        """Phrases of each row of ``blocks`` (codes, time by row), per language.
-        A code of 255 is no character and costs nothing."""
+        """Phrases of each row of ``blocks`` (codes, time by row), per language."""
         out = np.empty((len(self.langs), blocks.shape[1]))
+        whole = [(step != PAD).all() for step in blocks]
         for k, table in enumerate(self.tables):
-            state = np.full(blocks.shape[1], len(table) // self.width - 1, np.uint32)
-            count = np.zeros(blocks.shape[1], np.uint32)
-            for step in blocks:
-                real = step != 255
-                if real.all():
-                    got = table[state * np.uint32(self.width) + step]
+            state = np.full(blocks.shape[1], table.between, np.int32)
+            count = np.zeros(blocks.shape[1], np.int32)
+            for step, full in zip(blocks, whole, strict=True):
+                if full:
+                    state, fresh = table.step(state, step)
+                    count += fresh
                 else:
-                    got = state.copy()
-                    got[real] = table[state[real] * np.uint32(self.width) + step[real]]
-                count += got >> np.uint32(31)
-                state = got & ~MISS
+                    real = np.flatnonzero(step != PAD)
+                    state[real], fresh = table.step(state[real], step[real])
+                    count[real] += fresh
             out[k] = count
         return out
 
-    def entropy(self, texts: list[str]) -> np.ndarray:
-        """Bits a character of each text, per language."""
+    def entropy(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """Bits a character of each text, per language, and the share of its
+        characters that any sample has."""
         sizes = np.array([len(t) for t in texts])
         n_blocks = -(-sizes // BLOCK)
         first = np.concatenate([[0], np.cumsum(n_blocks)])
@@ -154,24 +202,26 @@ class Model:
             longest = int(left[part].max())
             grid = start[part][None, :] + np.arange(longest)[:, None]
             inside = np.arange(longest)[:, None] < left[part][None, :]
-            blocks = np.where(inside, codes[np.minimum(grid, len(codes) - 1)], 255).astype(np.uint32)
+            blocks = np.where(inside, codes[np.minimum(grid, len(codes) - 1)], PAD)
             found = self.phrases(blocks)
             for k in range(len(self.langs)):
                 total[k] += np.bincount(owner[part], found[k], len(texts))
-        return total * self.bits[:, None] / np.maximum(1, sizes)
+        known = np.bincount(np.repeat(np.arange(len(texts)), sizes), codes > 0, len(texts))
+        return total * self.bits[:, None] / np.maximum(1, sizes), known / np.maximum(1, sizes)
 
     def predict(self, texts: list[str]) -> tuple[list[str], np.ndarray]:
         """Language and score.  The score is the winner's share when every language
-        weighs 2 to the power of minus its excess bits over a run of 16 letters;
-        equal entropies fall to the first language by code point."""
+        weighs 2 to the power of minus its excess bits over a run of 16 letters,
+        times the share of the text's characters that the samples know; equal
+        entropies fall to the first language by code point."""
         names, score = [UNDETERMINED] * len(texts), np.zeros(len(texts))
         full = [k for k, t in enumerate(texts) if t]
         if full and self.langs:
-            bits = self.entropy([texts[k] for k in full])
+            bits, known = self.entropy([texts[k] for k in full])
             best = bits.argmin(axis=0)
             weight = np.exp2(-16 * (bits - bits.min(axis=0)) / 4)
             for j, k in enumerate(full):
-                names[k], score[k] = self.langs[best[j]], 1 / weight[:, j].sum()
+                names[k], score[k] = self.langs[best[j]], known[j] / weight[:, j].sum()
         return names, score
 
 

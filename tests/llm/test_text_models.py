@@ -64,6 +64,17 @@ def test_decontamination_edge_rows(spark):
     assert decontaminate.contaminated(docs.limit(0), items).collect() == [] and decontaminate.contaminated(docs, items.limit(0)).collect() == []
 
 
+def test_short_items_match_as_whole_words(spark):
+    items = spark.createDataFrame([(1, "Capital of France?"), (2, "42"), (3, "東京の天気"), (4, "?!"), (5, "a passage that is long enough for edits")], "item_id bigint, text string")
+    rows = [(1, "What is the CAPITAL of\nFrance -- Paris"), (2, "the capital of Francewoods"), (3, "he has 42."), (4, "in 1942 or 420"), (5, "今日東京の天気は晴れ"), (6, "capital of france"),
+            (7, "some pasage that is long enough for edit")]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string")
+    found = {(r.doc_id, r.item_id): r.distance for r in decontaminate.contaminated(docs, items).collect()}
+    assert found == {(1, 1): 0, (3, 2): 0, (5, 3): 0, (6, 1): 0, (7, 5): found[7, 5]} and found[7, 5] > 0
+    spans = {r.doc_id: rows[r.doc_id - 1][1][r.start:r.end] for r in decontaminate.contaminated(docs, items).collect()}
+    assert spans[1] == "CAPITAL of\nFrance" and spans[3] == "42"
+
+
 def F_size(df):
     return [(r.doc_id or -1, len(r.matches)) for r in df.collect()]
 
@@ -96,7 +107,8 @@ def test_cross_parsing_matches_plain_search():
     texts = {"x": "".join(rng.choices("abc ", k=800)), "y": "".join(rng.choices("bcd ", k=500))}
     model = language.Model(texts)
     queries = ["".join(rng.choices("abcdz ", k=rng.randint(1, 700))) for _ in range(60)]
-    bits = model.entropy(queries)
+    bits, known = model.entropy(queries)
+    assert np.allclose(known, [sum(c != "z" for c in q) / len(q) for q in queries])
     for k, name in enumerate(model.langs):
         want = [phrases_by_search(q, texts[name]) * np.log2(len(texts[name])) / len(q) for q in queries]
         assert np.allclose(bits[k], want)
@@ -124,6 +136,35 @@ def test_language_edge_rows(spark):
     assert {r.lang_pred for r in language.identify(docs, {}).collect()} == {"und"}
 
 
+def test_scripts_do_not_fall_together(spark):
+    """Large alphabets are kept whole; a script that no sample has matches nothing."""
+    rng = random.Random(4)
+    signs = {"zh": range(0x4E00, 0x4E00 + 2500), "ko": range(0xAC00, 0xAC00 + 2000), "th": range(0x0E01, 0x0E2E)}
+    words = {x: ["".join(chr(rng.choice(r)) for _ in range(rng.randint(1, 3))) for _ in range(3000)] for x, r in signs.items()}
+    line = lambda x, n: " ".join(rng.choices(words[x], k=n))
+    rows = [(x, line(x, 200)) for x in signs for _ in range(60)] + [("en", "the cat and the dog and the house " * 20), ("de", "der hund und die katze und das haus " * 20)]
+    texts = language.sample(spark.createDataFrame(rows, "lang string, text string"))
+    assert set(texts) == {"zh", "ko", "th", "en", "de"} and len(set("".join(texts.values()))) > 4000
+    asked = [(x, line(x, 40)) for x in signs for _ in range(10)] + [("en", "the dog and the cat"), ("de", "die katze und der hund")]
+    unseen = [("?", "".join(chr(rng.randrange(0x0561, 0x0587)) for _ in range(100)))]
+    got = language.identify(spark.createDataFrame(asked + unseen, "lang string, text string"), texts).collect()
+    assert all(r.lang == r.lang_pred for r in got if r.lang != "?")
+    assert [r.score < 0.5 for r in got if r.lang == "?"] == [True]
+
+
+def test_tables_hold_the_edges_of_the_automaton():
+    rng = random.Random(6)
+    codes = np.array([rng.choice([1, 2, 3, 40, 500, rng.randrange(1, 3000)]) for _ in range(3000)])
+    edges = language.automaton(codes)
+    table = language.Table(edges, 3001)
+    assert len(table.owner) < 2 * sum(map(len, edges)) + 3 * 3001
+    for s in range(1, len(edges)):
+        asked = np.array([*edges[s], *rng.sample(range(3001), 5)])
+        got, fresh = table.step(np.full(len(asked), s), asked)
+        for c, to, new in zip(asked.tolist(), got.tolist(), fresh.tolist(), strict=True):
+            assert (to, new) == ((edges[s][c], False) if c in edges[s] else (edges[0].get(c, table.between), True))
+
+
 def test_sample_is_bounded(spark, sf_dir):
     texts = language.sample(read(spark, sf_dir, "documents"), 2_000, 5)
     assert texts and all(len(t) <= 2_000 for t in texts.values())
