@@ -26,6 +26,25 @@ def delete(spark: SparkSession, path: str) -> None:
     fs.delete(p, True)
 
 
+def rename(spark: SparkSession, old: str, new: str) -> None:
+    """Move a file or folder to a name that is not taken."""
+    fs, p = _fs(spark, old)
+    target = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(new)
+    fs.mkdirs(target.getParent())
+    if not fs.rename(p, target):
+        raise OSError(f"could not move {old} to {new}")
+
+
+def write_text(spark: SparkSession, path: str, text: str) -> None:
+    """Write ``text`` in the place of what is there, if anything is."""
+    fs, p = _fs(spark, path)
+    out = fs.create(p, True)
+    try:
+        out.write(bytearray(text, "utf-8"))
+    finally:
+        out.close()
+
+
 def stamp(spark: SparkSession, path: str) -> tuple:
     """Name, size and time of the file at ``path``, or of the files right in it."""
     fs, p = _fs(spark, path)

@@ -5,17 +5,22 @@ distributed file system or object store on a cluster).  The outermost
 partition is a date -- the event's for raw events, the batch's for the marts --
 so that a time range opens only the folders of its days; below it come the
 stream (a checkpoint's identity: batch numbers restart with each checkpoint)
-and the batch.  Writing a batch clears every partition the same stream's batch
-left before, then appends, so a replayed micro-batch -- after a crash between
+and the batch.  A batch is written in full beside the table, out of readers'
+sight, and its folders are then moved to their places, those that the same
+batch left before giving way.  So a replayed micro-batch -- after a crash between
 the sink write and the offset commit -- leaves the tables as they were, also
-where its new output is empty.
+where its new output is empty, and readers find the old rows until the new ones
+are complete; between the two lies one deletion and one move per folder, not a
+job.
 """
 
 from __future__ import annotations
 
 import datetime as dt
 import re
-from collections.abc import Iterable
+import tempfile
+import uuid
+from collections.abc import Iterable, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -42,6 +47,19 @@ def checkpoint_root(spark: SparkSession) -> str:
     return root.rstrip("/")
 
 
+def scratch_root(spark: SparkSession) -> str:
+    """The shared folder; a temporary one where none is named and all of Spark is
+    this one machine, as in tests."""
+    try:
+        return checkpoint_root(spark)
+    except RuntimeError:
+        if not spark.sparkContext.master.startswith("local"):
+            raise
+    root = tempfile.mkdtemp(prefix="clickmart-scratch-")
+    spark.conf.set("spark.checkpoint.dir", root)
+    return root
+
+
 def table_path(root: str, name: str) -> str:
     return f"{root.rstrip('/')}/{name}"
 
@@ -104,12 +122,35 @@ def stored_dates(df: DataFrame, column: str) -> list[dt.date] | None:
     return sorted(found, reverse=True) or None
 
 
-def clear_batch(spark: SparkSession, root: str, name: str, stream_id: str, batch_id: int) -> int:
-    """Remove every partition that batch ``batch_id`` of ``stream_id`` has in a table."""
-    old = files.glob(spark, f"{table_path(root, name)}/*/stream_id={stream_id}/batch_id={int(batch_id)}")
-    for path in old:
-        files.delete(spark, path)
-    return len(old)
+def _places(root: str, name: str, stream_id: str, batch_id: int) -> str:
+    return f"{root.rstrip('/')}/_places/{name}/stream_id={stream_id}/batch_id={int(batch_id)}"
+
+
+def replace_batch(out: DataFrame, root: str, name: str, parts: Sequence[str], stream_id: str, batch_id: int) -> list[str]:
+    """Put the rows ``out`` of one batch in the place of all that the same batch of
+    the same stream has in a table partitioned by ``parts``; returns the folders.
+
+    Which folders a batch has is kept in a file beside the table, written before
+    any of them is touched, so a later attempt finds them all without listing the
+    table."""
+    spark, table = out.sparkSession, table_path(root, name)
+    beside = f"{table}/_staging/{stream_id}-{int(batch_id)}-{uuid.uuid4().hex}"
+    out.write.partitionBy(*parts).parquet(beside)
+    new = sorted(path[path.index("/_staging/") + 10:].split("/", 1)[1] for path in files.glob(spark, beside + "/*" * len(parts)))
+    places = _places(root, name, stream_id, batch_id)
+    old = files.read_text(spark, places).split("\n") if files.path_exists(spark, places) else []
+    old = [p for p in old if p]
+    if new or old:
+        files.write_text(spark, places, "\n".join(sorted({*old, *new})))
+    for place in old:
+        if place not in new:
+            files.delete(spark, f"{table}/{place}")
+    for place in new:
+        if place in old:
+            files.delete(spark, f"{table}/{place}")
+        files.rename(spark, f"{beside}/{place}", f"{table}/{place}")
+    files.delete(spark, beside)
+    return new
 
 
 def batch_time(spark: SparkSession, root: str, stream_id: str, batch_id: int, now: dt.datetime) -> dt.datetime:
@@ -143,8 +184,7 @@ def write_batch_idempotent(df: DataFrame, root: str, name: str, batch_id: int |
         (out.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
          .partitionBy(*parts).parquet(table_path(root, name)))
     else:
-        clear_batch(df.sparkSession, root, name, stream_id, batch_id)
-        out.write.mode("append").partitionBy(*parts).parquet(table_path(root, name))
+        replace_batch(out, root, name, parts, stream_id, batch_id)
 
 
 def compact(spark: SparkSession, root: str, name: str, first_batch: int, last_batch: int, files_per_batch: int = 1) -> int:
@@ -158,8 +198,6 @@ def compact(spark: SparkSession, root: str, name: str, first_batch: int, last_ba
     by partition and by a salt below ``files_per_batch``, and the copy goes.
     Returns the rows rewritten.
     """
-    import uuid
-
     parts = PARTITIONS[name]
     part = read_table(spark, root, name).filter(F.col("batch_id").between(int(first_batch), int(last_batch)))
     copy_path = f"{checkpoint_root(spark)}/compact-{uuid.uuid4().hex}"
