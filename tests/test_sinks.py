@@ -150,3 +150,21 @@ def test_jdbc_parallel_read(spark, derby):
 
 def test_jdbc_options_reach_the_source():
     assert jdbc._options({"url": "u", "fetchsize": 10, "ssl": "true", "password": None}) == {"url": "u", "fetchsize": "10", "ssl": "true"}
+
+
+def test_skewed_parallel_read(spark, derby):
+    """90 % of the rows in a thousandth of the value range, and NULLs: tasks of like size, all rows."""
+    rows = [(k, 1_000_000 + k % 997 if k % 10 else 1_000_000_000 * (k % 7) + k, None if k % 50 == 0 else f"2024-01-{1 + k % 28:02d} 10:00:0{k % 6}") for k in range(4000)]
+    df = spark.createDataFrame(rows, "id bigint, v bigint, t string").withColumn("t", F.col("t").cast("timestamp")).withColumn("v", F.when(F.col("id") % 25 != 7, F.col("v")))
+    jdbc.write_jdbc(df, derby, "skewed")
+    for column in ("v", "id", "t"):
+        read = jdbc.read_table(spark, derby, "skewed", column, 8)
+        sizes = [r["count"] for r in read.groupBy(F.spark_partition_id()).count().collect()]
+        nulls = df.filter(F.col(column).isNull()).count()
+        assert read.count() == 4000 and read.select("id").distinct().count() == 4000
+        assert len(sizes) >= 8 and max(sizes) <= max(700, nulls), (column, sizes)
+    empty = df.limit(0)
+    jdbc.write_jdbc(empty, derby, "nothing")
+    assert jdbc.read_table(spark, derby, "nothing", "v", 8).count() == 0
+    jdbc.write_jdbc(df.limit(3), derby, "few")
+    assert jdbc.read_table(spark, derby, "few", "id", 8).count() == 3
