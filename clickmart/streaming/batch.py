@@ -31,8 +31,10 @@ from clickmart.operators.marts import build_marts
 from clickmart.operators.windows import dedup_events
 from clickmart.schema import AMOUNT, IDENTITY
 from clickmart.sinks import jdbc as jdbc_sink
-from clickmart.sinks.tables import DEFAULT_STREAM, batch_time, clear_batch, create_tables, require_tables, table_path, write_batch_idempotent
+from clickmart.sinks.tables import DEFAULT_STREAM, batch_time, create_tables, replace_batch, require_tables, write_batch_idempotent
 from clickmart.sources.decode import decode_records, events_of, identity_of, rejects_of, to_click_events
+from clickmart.streaming import current
+from clickmart.streaming.delivered import DeliveredOffsets, drop_delivered, islands
 
 log = logging.getLogger(__name__)
 
@@ -47,10 +49,25 @@ FAILURE_SCHEMA = T.StructType([
 
 
 class ParquetSink:
-    """Tables as Parquet directories under ``root`` (see :mod:`clickmart.sinks.tables`)."""
+    """Tables as Parquet directories under ``root`` (see :mod:`clickmart.sinks.tables`).
 
-    def __init__(self, root: str):
+    With ``keep`` the job also keeps the current tables and the window counts of
+    ``window`` with corrections for events later than ``delay`` (see
+    :mod:`clickmart.streaming.current`)."""
+
+    def __init__(self, root: str, keep: bool = False, window: str = "5 minutes", delay: str = "10 minutes"):
         self.root = root.rstrip("/")
+        self.keep, self.window, self.delay = keep, window, delay
+
+    def keepers(self, ev: DataFrame, batch_id: int, stream_id: str, batch_date: dt.date | None, region_label: str) -> dict[str, Callable[[], object]]:
+        """What is kept over all batches: a step for each, to be run for this one."""
+        if not self.keep:
+            return {}
+        return {
+            current.USERS.name: lambda: current.keep_users(ev, self.root, stream_id, batch_id),
+            current.DIMENSIONS.name: lambda: current.keep_dimensions(ev, self.root, stream_id, batch_id, region_label),
+            current.window_ledger(self.window).name: lambda: current.keep_windows(ev, self.root, stream_id, batch_id, self.window, self.delay, batch_date),
+        }
 
     def prepare(self, spark) -> None:
         """Start-up check: create missing tables, then require all five with
@@ -65,8 +82,7 @@ class ParquetSink:
         if name in (FAILURES_TABLE, QUARANTINE_TABLE):
             out = df.withColumn("batch_id", F.lit(int(batch_id)).cast("bigint")).withColumn("stream_id", F.lit(stream_id))
             out = out.withColumn("batch_date", F.lit(batch_date).cast("date"))
-            clear_batch(df.sparkSession, self.root, name, stream_id, batch_id)
-            out.write.mode("append").partitionBy("batch_date", "stream_id", "batch_id").parquet(table_path(self.root, name))
+            replace_batch(out, self.root, name, ("batch_date", "stream_id", "batch_id"), stream_id, batch_id)
         else:
             write_batch_idempotent(df, self.root, name, batch_id, stream_id, batch_date)
 
@@ -107,8 +123,9 @@ class BatchProcessor:
     Parameters: ``sink`` (``ParquetSink``/``JdbcSink``), ``strict`` failure
     policy, ``clock`` giving the time of a batch when it is first seen (its
     ``metric_timestamp``; a replay gets the same), ``region_label`` of the
-    dimension table, ``dedupe`` to drop repeated deliveries inside a batch by
-    the records' identity, ``parallel`` to run the table writes as concurrent
+    dimension table, ``dedupe`` to drop repeated deliveries by the records'
+    identity: inside a batch, and with ``delivered`` (ranges of the offsets stored
+    before) in all later batches too, ``parallel`` to run the table writes as concurrent
     Spark jobs over the one persisted batch, ``stream_id`` under which the
     batches are stored (``start_pipeline`` sets the streaming query's id).
     ``reports`` holds a small entry per batch since the start.
@@ -116,12 +133,13 @@ class BatchProcessor:
 
     def __init__(self, sink, strict: bool = True, clock: Callable[[], dt.datetime] | None = None,
                  region_label: str = "region", dedupe: bool = False, parallel: bool = True,
-                 quarantine: bool = True, stream_id: str | None = None):
+                 quarantine: bool = True, stream_id: str | None = None, delivered: DeliveredOffsets | None = None):
         self.sink = sink
         self.strict = strict
         self.clock = clock or (lambda: dt.datetime.now(dt.timezone.utc).replace(tzinfo=None))
         self.region_label = region_label
-        self.dedupe = dedupe
+        self.dedupe = dedupe or delivered is not None
+        self.delivered = delivered
         self.parallel = parallel
         self.quarantine = quarantine
         self.stream_id = stream_id
@@ -140,7 +158,7 @@ class BatchProcessor:
     def events(self, decoded: DataFrame, batch_id: int) -> DataFrame:
         keep = [c for c in IDENTITY if c in decoded.columns]
         ev = to_click_events(events_of(decoded, [*keep, AMOUNT]))
-        if self.dedupe and len(keep) == len(IDENTITY):
+        if self.dedupe and self.delivered is None and len(keep) == len(IDENTITY):
             ev = dedup_events(ev)
         return ev.withColumn("batch_id", F.lit(int(batch_id)).cast("bigint"))
 
@@ -149,6 +167,7 @@ class BatchProcessor:
         # both the events and the quarantine are cut from it.
         if not self._named.wait(120):
             raise RuntimeError("no stream id for this batch")
+        raw = self._undelivered(raw, int(batch_id))
         decoded = decode_records(raw, identity_of(raw)).persist(StorageLevel.MEMORY_AND_DISK)
         try:
             report = self._process(decoded, int(batch_id))
@@ -157,6 +176,13 @@ class BatchProcessor:
         self.reports.append(report)
         return report
 
+    def _undelivered(self, raw: DataFrame, batch_id: int) -> DataFrame:
+        """The records that no earlier batch stored."""
+        if self.delivered is None or len(identity_of(raw)) < len(IDENTITY):
+            return raw
+        ranges = self.delivered.before(raw.sparkSession, self.stream_id or DEFAULT_STREAM, batch_id)
+        return drop_delivered(raw, ranges)
+
     def _process(self, decoded: DataFrame, batch_id: int) -> BatchReport:
         # One pass fills the persisted batch and answers "is it empty"; the
         # events are then materialised once, before the table writes run side
@@ -174,33 +200,40 @@ class BatchProcessor:
             if self.quarantine:
                 outputs[QUARANTINE_TABLE] = rejects_of(decoded, [c for c in IDENTITY if c in decoded.columns])
             report = BatchReport(batch_id, empty=False)
-            self._write_all(outputs, batch_id, report, stream, when.date())
+            steps = {n: (lambda n=n, df=df: self.sink.write(df, n, batch_id, stream, when.date())) for n, df in outputs.items()}
+            if hasattr(self.sink, "keepers"):
+                steps |= self.sink.keepers(ev, batch_id, stream, when.date(), self.region_label)
+            self._run_all(spark, steps, report)
         finally:
             ev.unpersist()
+        if self.delivered is not None and not report.failures and all(c in decoded.columns for c in IDENTITY):
+            stored = islands(decoded).collect()  # a row per partition and gap, and per span
+            self.delivered.add(spark, stream, batch_id, [tuple(r) for r in stored])
         if report.failures:
             self._record_failures(decoded, batch_id, report.failures, stream, when)
             if self.strict:
                 raise RuntimeError(f"batch {batch_id}: sinks failed: {sorted(report.failures)}")
         return report
 
-    def _write_one(self, name: str, df: DataFrame, batch_id: int, stream: str, date: dt.date) -> str | None:
+    @staticmethod
+    def _run_one(name: str, step: Callable[[], object], batch_id: int) -> str | None:
         try:
-            self.sink.write(df, name, batch_id, stream, date)
+            step()
             return None
         except Exception as e:  # collected; strict mode re-raises after all sinks ran
             log.error("batch %s: writing %s failed: %s", batch_id, name, e)
             return f"{type(e).__name__}: {e}"
 
-    def _write_all(self, outputs: Mapping[str, DataFrame], batch_id: int, report: BatchReport, stream: str, date: dt.date) -> None:
-        one = lambda n: self._write_one(n, outputs[n], batch_id, stream, date)
-        if self.parallel and len(outputs) > 1:
+    def _run_all(self, spark, steps: Mapping[str, Callable[[], object]], report: BatchReport) -> None:
+        one = lambda n: self._run_one(n, steps[n], report.batch_id)
+        if self.parallel and len(steps) > 1:
             # The pool's threads take over the query's job group, so stopping the
             # query cancels their jobs too.
-            with ThreadPoolExecutor(max_workers=len(outputs)) as pool:
-                pending = {n: pool.submit(inheritable_thread_target(df.sparkSession)(one), n) for n, df in outputs.items()}
+            with ThreadPoolExecutor(max_workers=len(steps)) as pool:
+                pending = {n: pool.submit(inheritable_thread_target(spark)(one), n) for n in steps}
                 results = {n: f.result() for n, f in pending.items()}
         else:
-            results = {n: one(n) for n in outputs}
+            results = {n: one(n) for n in steps}
         for name, err in results.items():
             if err:
                 report.failures[name] = err

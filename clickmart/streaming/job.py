@@ -4,7 +4,8 @@
     python -m clickmart.streaming.job --files /data/incoming --tables /data/clicks --available-now
 
 The checkpoint is ``<spark.checkpoint.dir>/streams/<name>`` unless given.
-Progress and lag rows go to ``batch_progress`` and ``consumer_lag`` beside the
+With ``--tables`` the job also keeps the current tables and the window counts,
+corrected for late events.  Progress and lag rows go to ``batch_progress`` and ``consumer_lag`` beside the
 tables.  SIGTERM and SIGINT let the running batch finish before the job ends.
 """
 
@@ -19,6 +20,7 @@ from pyspark.sql import SparkSession
 from clickmart import config
 from clickmart.sources import streams
 from clickmart.streaming.batch import BatchProcessor, JdbcSink, ParquetSink
+from clickmart.streaming.delivered import DeliveredOffsets
 from clickmart.streaming.observe import ProgressRecorder
 from clickmart.streaming.pipeline import DEFAULT_TRIGGER, start_pipeline, stop_gracefully
 
@@ -46,7 +48,10 @@ def parse_args(argv=None) -> argparse.Namespace:
     p.add_argument("--lenient", action="store_true", help="record sink failures instead of failing the batch")
     p.add_argument("--dedup-within", default=None, help="drop repeated records across batches within this watermark")
     p.add_argument("--region-label", default="region")
-    p.add_argument("--dedupe", action="store_true", help="drop repeated deliveries inside a batch by topic, partition and offset")
+    p.add_argument("--dedupe", action="store_true", help="drop repeated deliveries by topic, partition and offset, in all batches with --tables")
+    p.add_argument("--no-current", action="store_true", help="do not keep the current tables and the corrected window counts")
+    p.add_argument("--window", default="5 minutes", help="width of the kept window counts")
+    p.add_argument("--delay", default="10 minutes", help="how long a window stays open for late events")
     p.add_argument("--progress", default=None, metavar="ROOT", help="folder of the progress tables (default: that of the tables)")
     p.add_argument("--stop-timeout", type=float, default=120.0, help="seconds a stop waits for the running batch")
     return p.parse_args(argv)
@@ -60,11 +65,12 @@ def run(spark: SparkSession, args: argparse.Namespace):
     else:
         raw = streams.file_events(spark, args.files, args.max_files_per_trigger)
     if args.tables:
-        sink = ParquetSink(args.tables)
+        sink = ParquetSink(args.tables, keep=not args.no_current, window=args.window, delay=args.delay)
     else:
         sink = JdbcSink({"url": args.jdbc_url, "driver": args.jdbc_driver, "user": args.jdbc_user,
                          "password": args.jdbc_password})
-    processor = BatchProcessor(sink, strict=not args.lenient, region_label=args.region_label, dedupe=args.dedupe)
+    processor = BatchProcessor(sink, strict=not args.lenient, region_label=args.region_label, dedupe=args.dedupe,
+                               delivered=DeliveredOffsets(args.tables) if args.dedupe and args.tables else None)
     root = args.progress or args.tables
     if root:
         spark.streams.addListener(ProgressRecorder(spark, root))

@@ -18,6 +18,9 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQueryListener
 
+from clickmart.functions import idiv, micros_between
+from clickmart.sinks.files import path_exists
+
 PROGRESS_SCHEMA = T.StructType([
     T.StructField("query_name", T.StringType(), True),
     T.StructField("batch_id", T.LongType(), False),
@@ -62,6 +65,48 @@ def consumer_lag(progress) -> list[dict]:
     return out
 
 
+def committed_offsets(progress) -> list[tuple[str, int, int]]:
+    """(topic, partition, offset) up to which each source partition is read after
+    the batch, from one progress report; sources without offsets give none."""
+    out = []
+    for s in _as_dict(progress).get("sources", []):
+        end = s.get("endOffset")
+        if isinstance(end, str):
+            try:
+                end = json.loads(end)
+            except ValueError:
+                continue
+        for topic, partitions in (end if isinstance(end, Mapping) else {}).items():
+            if isinstance(partitions, Mapping):
+                out += [(topic, int(p), int(o)) for p, o in partitions.items()]
+    return sorted(out)
+
+
+def lag_in_time(records: DataFrame, committed: DataFrame, time: str = "timestamp") -> DataFrame:
+    """N4 in seconds: per topic and partition, how far the time of the newest record
+    lies ahead of the time of the last record read.
+
+    ``records`` has topic, partition, offset and a time (the source's records, or
+    the stored events); ``committed`` has topic, partition and the offset read up
+    to (exclusive), one row per partition.  The record as of the committed offset
+    is found by an aggregate, the greatest offset below it, so a partition with
+    many records is reduced where they lie and no window sorts them.  A partition
+    of which nothing is read counts from its oldest record; one without a
+    committed offset as such too.  Records without a time do not count."""
+    read_to = committed.groupBy("topic", "partition").agg(F.max("offset").alias("committed_offset"))
+    timed = records.filter(F.col(time).isNotNull()).select("topic", "partition", "offset", F.col(time).alias("_t"))
+    timed = timed.join(read_to, ["topic", "partition"], "left").withColumn("committed_offset", F.coalesce("committed_offset", F.lit(0).cast("bigint")))
+    done = F.col("offset") < F.col("committed_offset")
+    figures = timed.groupBy("topic", "partition").agg(
+        F.max("committed_offset").alias("committed_offset"), F.max("offset").alias("newest_offset"), F.max_by("_t", "offset").alias("newest_time"),
+        F.max_by("_t", F.when(done, F.col("offset"))).alias("_read"), F.min_by("_t", "offset").alias("_oldest"))
+    figures = figures.withColumn("read_time", F.coalesce("_read", "_oldest"))
+    behind = idiv(micros_between("read_time", "newest_time", records.schema[time].dataType), F.lit(1_000_000))
+    return figures.select(
+        "topic", "partition", "committed_offset", "newest_offset", F.greatest(F.col("newest_offset") + 1 - F.col("committed_offset"), F.lit(0)).alias("offsets_behind"),
+        "read_time", "newest_time", F.greatest(behind, F.lit(0).cast("bigint")).alias("seconds_behind"))
+
+
 def progress_row(progress) -> tuple:
     p = _as_dict(progress)
     observed = {}
@@ -111,6 +156,7 @@ class ProgressRecorder(StreamingQueryListener):
         self._rows: list[tuple] = []
         self._lag: list[tuple] = []
         self._lock = threading.Lock()
+        self._writing = threading.Lock()
         self._spark, self._root, self._flush_every = spark, root, flush_every
 
     def onQueryStarted(self, event):
@@ -139,20 +185,19 @@ class ProgressRecorder(StreamingQueryListener):
         return spark.createDataFrame(self.rows(), PROGRESS_SCHEMA)
 
     def flush(self) -> None:
-        """Append the gathered rows to the tables; they stay here if that fails."""
-        with self._lock:
-            rows, lag = self._rows, self._lag
-            self._rows, self._lag = [], []
-        try:
+        """Append the gathered rows to the tables; they stay here if that fails.
+        When it returns, all rows gathered before are written, by whomever."""
+        with self._writing:
+            with self._lock:
+                rows, lag = list(self._rows), list(self._lag)
             if rows:
                 write_progress(self._spark.createDataFrame(rows, PROGRESS_SCHEMA).coalesce(1), self._root)
-                rows = []
+                with self._lock:
+                    del self._rows[:len(rows)]
             if lag:
                 write_progress(self._spark.createDataFrame(lag, LAG_SCHEMA).coalesce(1), self._root, LAG_TABLE)
-                lag = []
-        finally:
-            with self._lock:
-                self._rows, self._lag = rows + self._rows, lag + self._lag
+                with self._lock:
+                    del self._lag[:len(lag)]
 
 
 PROGRESS_TABLE = "batch_progress"
@@ -167,10 +212,21 @@ def write_progress(frame: DataFrame, root: str, table: str = PROGRESS_TABLE) ->
      .write.mode("append").partitionBy("progress_date", "query").parquet(f"{root.rstrip('/')}/{table}"))
 
 
+def _stored(spark: SparkSession, root: str, table: str, schema: T.StructType) -> DataFrame:
+    """Stored rows with the declared schema; none where the table is not there yet."""
+    schema = T.StructType([*schema.fields, T.StructField("progress_date", T.DateType()), T.StructField("query", T.StringType())])
+    path = f"{root.rstrip('/')}/{table}"
+    return spark.read.schema(schema).parquet(path) if path_exists(spark, path) else spark.createDataFrame([], schema)
+
+
 def read_progress(spark: SparkSession, root: str) -> DataFrame:
     """The stored progress rows, each once even if it was written twice."""
-    schema = T.StructType([*PROGRESS_SCHEMA.fields, T.StructField("progress_date", T.DateType()), T.StructField("query", T.StringType())])
-    return spark.read.schema(schema).parquet(f"{root.rstrip('/')}/{PROGRESS_TABLE}").dropDuplicates(["query", "batch_id", "batch_time"])
+    return _stored(spark, root, PROGRESS_TABLE, PROGRESS_SCHEMA).dropDuplicates(["query", "batch_id", "batch_time"])
+
+
+def read_lag(spark: SparkSession, root: str) -> DataFrame:
+    """The stored lag rows, each once even if it was written twice."""
+    return _stored(spark, root, LAG_TABLE, LAG_SCHEMA).dropDuplicates(["query", "batch_id", "batch_time", "source"])
 
 
 def pipeline_status(progress: DataFrame) -> DataFrame:
@@ -189,6 +245,20 @@ def pipeline_status(progress: DataFrame) -> DataFrame:
     )
 
 
+HISTOGRAM_MS = (100, 500, 1000, 5000, 10_000, 30_000, 60_000)
+
+
+def processing_histogram(progress: DataFrame, bounds_ms: Iterable[int] = HISTOGRAM_MS) -> DataFrame:
+    """Cumulative histogram of batch processing times over ``batch_progress`` rows:
+    per query and upper bound ``le_ms`` (NULL: none) the number of batches that
+    took no longer.  One aggregation, the bounds as columns of it."""
+    bounds = sorted(set(bounds_ms))
+    counts = progress.groupBy("query_name").agg(*[F.count_if(F.col("trigger_ms") <= b).alias(f"_{b}") for b in bounds], F.count(F.lit(1)).alias("_all"))
+    rows = [F.struct(F.lit(b).cast("bigint").alias("le_ms"), F.col(f"_{b}").alias("batches")) for b in bounds]
+    rows.append(F.struct(F.lit(None).cast("bigint").alias("le_ms"), F.col("_all").alias("batches")))
+    return counts.select("query_name", F.inline(F.array(*rows)))
+
+
 def progress_frame(spark: SparkSession, reports: Iterable) -> DataFrame:
     """Progress reports (e.g. ``query.recentProgress``) as ``batch_progress`` rows."""
     return spark.createDataFrame([progress_row(p) for p in reports], PROGRESS_SCHEMA)

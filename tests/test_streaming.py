@@ -274,7 +274,7 @@ def test_recorder_writes_its_tables(spark, scratch):
         spark.streams.removeListener(rec)
     rec.flush()
     assert observe.read_progress(spark, scratch).filter("query = 'recorded' and input_rows > 0").count() >= 1
-    assert spark.read.parquet(os.path.join(scratch, observe.LAG_TABLE)).count() >= 1 and rec.rows() == []
+    assert observe.read_lag(spark, scratch).filter("query = 'recorded'").count() >= 1 and rec.rows() == []
 
 
 def _stream_events(spark, scratch):
