@@ -138,8 +138,10 @@ def session_windows(
     the session here too.  With ``watermark`` it runs on a stream: a session
     is emitted once the watermark passes its end, and its state is dropped.
 
-    On bounded data prefer :func:`sessionize`: ``session_window`` sorts all
-    events of a user in one task, which a hot user turns into a straggler."""
+    ``session_window`` sorts all events of a user in one task, so bounded data
+    takes the plan of :func:`derived_sessions` instead, which spreads them."""
+    if not ev.isStreaming:
+        return derived_sessions(ev, gap_seconds, user, ts).drop("session_seq")
     d = ev.filter(F.col(user).isNotNull() & F.col(ts).isNotNull())
     if watermark:
         d = d.withWatermark(ts, watermark)

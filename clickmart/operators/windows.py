@@ -16,6 +16,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from clickmart.functions import epoch_micros, floor_div
 from clickmart.schema import IDENTITY
@@ -61,16 +62,54 @@ def sliding_active_users(
     rsd: float = 0.05,
 ) -> DataFrame:
     """K6: distinct users per sliding window (exact in batch; ``approx`` for
-    streams, HyperLogLog++ with relative error ``rsd``)."""
+    streams, HyperLogLog++ with relative error ``rsd``).
+
+    Where the width is a whole number of slides, exact counts come from
+    intervals (:func:`_active_by_intervals`), whose rows do not grow with that
+    number."""
+    if not approx and not watermark and not ev.isStreaming and _whole_multiple(width, slide):
+        return _active_by_intervals(ev, _seconds(width), _seconds(slide), ts)
     d = _watermarked(ev, ts, watermark)
-    if not approx and _whole_multiple(width, slide):
-        # A window holds whole slides, so one row per user and slide is enough;
-        # only those rows are multiplied by the number of windows.
-        d = d.select("user_id", F.window(ts, slide).start.alias(ts)).distinct()
     users = F.approx_count_distinct("user_id", rsd) if approx else F.count_distinct("user_id")
     return d.groupBy(F.window(ts, width, slide).alias("_w")).agg(users.alias("active_users")).select(*_flat(), "active_users")
 
 
+def _active_by_intervals(ev: DataFrame, width: int, slide: int, ts: str) -> DataFrame:
+    """Exact distinct users per sliding window, from +1 and -1.
+
+    A slide in which a user is seen makes them active in the windows that start at
+    it and at the ``width / slide - 1`` slides before.  Of these the windows up to
+    the user's slide before are covered already, so each slide adds one interval
+    of windows that no other interval of the user holds: +1 where it begins, -1
+    behind its end.  Summed per window start and then along them, that is the
+    number of users.  Events shrink to one row per user and slide before they
+    move; the window over a user's slides and the one over all window starts run
+    over rows bounded by the time span.  A NULL user is nobody, but their events
+    make a window appear, with 0 users."""
+    dtype, reach = ev.schema[ts].dataType, width // slide
+    at = floor_div(epoch_micros(ts, dtype), F.lit(slide * 1_000_000))
+    seen = ev.filter(F.col(ts).isNotNull()).select("user_id", at.alias("_s")).distinct()
+    before = F.lag("_s").over(Window.partitionBy("user_id").orderBy("_s"))
+    seen = seen.withColumn("_from", F.greatest(F.col("_s") - (reach - 1), before + 1))
+    known = F.col("user_id").isNotNull().cast("bigint")
+    ends = F.array(F.struct(F.col("_from").alias("_k"), known.alias("_users"), F.lit(1).alias("_any")),
+                   F.struct((F.col("_s") + 1).alias("_k"), (-known).alias("_users"), F.lit(-1).alias("_any")))
+    steps = seen.select(F.inline(ends)).groupBy("_k").agg(F.sum("_users").alias("_users"), F.sum("_any").alias("_any"))
+    along = Window.orderBy("_k")
+    steps = steps.select("_k", F.lead("_k").over(along).alias("_next"), F.sum("_users").over(along).alias("active_users"), F.sum("_any").over(along).alias("_any"))
+    # Between two steps the number stays as it is.
+    rows = steps.filter("_any > 0").select(F.explode(F.sequence("_k", F.col("_next") - 1)).alias("_k"), "active_users")
+    return rows.select(_slide_time("_k", slide, dtype).alias("window_start"), _slide_time("_k", slide, dtype, width).alias("window_end"), "active_users")
+
+
+def _slide_time(k: str, slide: int, dtype: T.DataType, plus: int = 0) -> Column:
+    """The time ``k`` slides and ``plus`` seconds after 1970-01-01 00:00."""
+    seconds = F.col(k) * slide + plus
+    if isinstance(dtype, T.TimestampType):
+        return F.timestamp_seconds(seconds)
+    return F.lit("1970-01-01").cast("timestamp_ntz") + F.make_dt_interval(days=floor_div(seconds, F.lit(86_400)).cast("int"), secs=F.pmod(seconds, F.lit(86_400)).cast("decimal(18,6)"))
+
+
 def approx_uniques_windowed(
     ev: DataFrame, width: str = "1 hour", ts: str = "timestamp", watermark: str | None = None, rsd: float = 0.05
 ) -> DataFrame:

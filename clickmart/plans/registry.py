@@ -6,18 +6,21 @@ adapter) and builds one lazy Spark plan; nothing is collected.
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable, Mapping
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from clickmart.operators import marts, sessions, windows
+from clickmart.functions import ntz_lit
+from clickmart.operators import bitmaps, marts, sessions, windows
 from clickmart.plans import panels as P
 from clickmart.plans.dashboard import PANELS, bind
 from clickmart.schema import AMOUNT, RAW_EVENT_COLUMNS
 from clickmart.sinks.publish import publish_events
-from clickmart.sinks.tables import conform
+from clickmart.sinks.tables import conform, scratch_root
 from clickmart.sources import decode, fixture as fx
+from clickmart.streaming import current, observe
 
 Query = Callable[[SparkSession, str], DataFrame]
 _REGISTRY: dict[str, Query] = {}
@@ -72,6 +75,9 @@ def tables(spark: SparkSession, sf_dir: str) -> Mapping[str, DataFrame]:
     return LazyTables(spark, sf_dir)
 
 
+RNG = (fx.TIME_FROM, fx.TIME_TO)
+
+
 # --- A: decoding -------------------------------------------------------------
 
 @register("parse_events")
@@ -132,6 +138,75 @@ def q_device_analytics_current(spark, sf_dir):
     return marts.device_analytics_current(events(spark, sf_dir))
 
 
+# Queries that write batches before they read: several jobs each.
+KEPT = ("user_behavior_kept", "device_analytics_kept", "window_counts_corrected", "late_events")
+
+
+def _in_batches(spark, sf_dir, keep, order=(0, 1, 2)) -> str:
+    """The fixture's events through ``keep`` in three batches of ten days each, in
+    this order of arrival, the first one twice; the folder of what is kept."""
+    root = f"{scratch_root(spark)}/kept-{uuid.uuid4().hex}"
+    ev = events(spark, sf_dir)
+    for n, part in enumerate((*order, order[0])):
+        keep(ev.filter(F.col("batch_id").between(10 * part, 10 * part + 9)), root, "fixture", n % len(order))
+    return root
+
+
+@register("user_behavior_kept")
+def q_user_behavior_kept(spark, sf_dir):
+    return current.read_users(spark, _in_batches(spark, sf_dir, current.keep_users))
+
+
+@register("device_analytics_kept")
+def q_device_analytics_kept(spark, sf_dir):
+    return current.read_dimensions(spark, _in_batches(spark, sf_dir, current.keep_dimensions))
+
+
+@register("window_counts_corrected")
+def q_window_counts_corrected(spark, sf_dir):
+    # The middle days come first, so all that follows from the first days is late.
+    root = _in_batches(spark, sf_dir, current.keep_windows, (1, 0, 2))
+    return current.read_windows(spark, root).drop("version")
+
+
+@register("late_events")
+def q_late_events(spark, sf_dir):
+    root = _in_batches(spark, sf_dir, current.keep_windows, (1, 0, 2))
+    return current.read_late(spark, root).select(*RAW_EVENT_COLUMNS, "window_start", "batch_id")
+
+
+def _in_range(bitmaps: DataFrame) -> DataFrame:
+    """The batches whose metrics time lies in the panels' range."""
+    return bitmaps.filter(fx.metric_ts().between(ntz_lit(RNG[0]), ntz_lit(RNG[1])))
+
+
+@register("top_pages_unique")
+def q_top_pages_unique(spark, sf_dir):
+    ev = events(spark, sf_dir)
+    return bitmaps.top_pages_unique(_in_range(bitmaps.page_bitmaps(ev, bitmaps.user_numbers(ev))))
+
+
+@register("total_users_in_range")
+def q_total_users_in_range(spark, sf_dir):
+    ev = events(spark, sf_dir)
+    return bitmaps.distinct_users(_in_range(bitmaps.hour_bitmaps(ev, bitmaps.user_numbers(ev))), name="total_users")
+
+
+@register("active_users_by_hour_unique")
+def q_active_users_by_hour_unique(spark, sf_dir):
+    ev = events(spark, sf_dir)
+    rows = bitmaps.distinct_users(bitmaps.hour_bitmaps(ev, bitmaps.user_numbers(ev)), ["hour_start"], "active_users")
+    return rows.filter(F.col("hour_start").between(ntz_lit(RNG[0]), ntz_lit(RNG[1])))
+
+
+@register("consumer_lag")
+def q_consumer_lag(spark, sf_dir):
+    """Two thirds of the days are read, all are there."""
+    records = fx.wire_records(spark, sf_dir).select("topic", "partition", "offset", "timestamp", "batch_id")
+    read_to = records.filter("batch_id < 20").groupBy("topic", "partition").agg((F.max("offset") + 1).alias("offset"))
+    return observe.lag_in_time(records, read_to)
+
+
 @register("dimension_conversion_rate")
 def q_dimension_conversion_rate(spark, sf_dir):
     return marts.dimension_conversion_rate(events(spark, sf_dir))
@@ -144,8 +219,6 @@ def q_rollup_dimensions(spark, sf_dir):
 
 # --- J: dashboard panels -----------------------------------------------------
 
-RNG = (fx.TIME_FROM, fx.TIME_TO)
-
 _PANELS: dict[str, Callable] = {name: (lambda fn: lambda T: bind(fn, T, fx.NOW, RNG))(fn) for name, fn in PANELS.items()}
 # The write time differs from run to run; the rest of the row is compared.
 _PANELS["time_range_events"] = lambda T: P.time_range_events(T, RNG).select(*RAW_EVENT_COLUMNS, AMOUNT, "batch_id")
