@@ -23,7 +23,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from clickmart.llm.common import flat, slices, worker_cache
-from clickmart.llm.token_planes import SLICE, WordEncoder
+from clickmart.llm.token_planes import MARKS, SLICE, WordEncoder
 
 POOL = 2048               # pieces to choose from; a task holds no more
 FLUSH = 2000              # pieces of one output batch
@@ -42,6 +42,17 @@ class Limits:
             raise ValueError("limits are at least 1 and waste at least 0")
 
 
+def parted(texts, encoder: WordEncoder):
+    """Texts of the same ids and fewer different words: A-Z in lower case, and a
+    space between a letter and a mark.  Only where the encoder has found that the
+    tokenizer lowers case and keeps letters apart from marks."""
+    from pyarrow import compute as pc
+
+    if encoder.marks is None:
+        return texts
+    return pc.replace_substring_regex(pc.ascii_lower(texts), f"(\\pL)([{MARKS}])", "\\1 \\2")
+
+
 class Piece:
     """Ids of an example from ``start`` on, and which of them bear loss."""
 
@@ -98,20 +109,21 @@ class Packer:
 
     def _fill(self) -> None:
         cap = self.limits
-        room = np.array([cap.tokens, cap.segments, cap.loss], float)
+        most = (cap.tokens, cap.segments, cap.loss)
+        room = list(most)
         held = POOL - len(self.free)
-        scarce = np.array([self.tokens.sum(), held, self.loss.sum()], float) / held / room
+        scarce = [float(total) / held / m for total, m in zip((self.tokens.sum(), held, self.loss.sum()), most, strict=True)]
         out: list[Piece] = []
-        while room[1] >= 1:
-            fits = (self.tokens > 0) & (self.tokens <= room[0]) & (self.loss <= room[2])
-            gain = scarce * room / (cap.tokens, cap.segments, cap.loss)
-            score = np.where(fits, gain[0] / cap.tokens * self.tokens + gain[1] / cap.segments + gain[2] / cap.loss * self.loss, -1.0)
+        while room[1] and (room[0] > cap.waste or not out):
+            gain = [s * r / m / m for s, r, m in zip(scarce, room, most, strict=True)]
+            score = gain[0] * self.tokens + gain[1] + gain[2] * self.loss
+            score[(self.tokens > room[0]) | (self.loss > room[2]) | (self.tokens == 0)] = -1.0
             k = int(score.argmax())
             if score[k] < 0:
-                if room[0] <= cap.waste or len(self.free) == POOL:
+                if len(self.free) == POOL:
                     break
                 k = int(self.tokens.argmax())  # nothing fits whole: the longest is cut
-                n = self.pieces[k].fitting(int(room[0]), int(room[2]))
+                n = self.pieces[k].fitting(room[0], room[2])
                 if n == 0:
                     break
                 head, rest = self._take(k).cut(n)
@@ -120,8 +132,8 @@ class Packer:
             else:
                 piece = self._take(k)
             out.append(piece)
-            room -= (len(piece.ids), 1, np.count_nonzero(piece.mask))
-        used = int(cap.tokens - room[0])
+            room = [room[0] - len(piece.ids), room[1] - 1, room[2] - int(np.count_nonzero(piece.mask))]
+        used = cap.tokens - room[0]
         if room[0] > cap.waste:
             self._trim(out, used - (1 << used.bit_length() - 1))
         self.done(out)
@@ -208,13 +220,15 @@ def pack(examples: DataFrame, tokenizer: str, end_id: int = 1, limits: Limits =
             texts = texts.fill_null("")
             for lo, hi in slices(flat(texts)[1][first], SLICE):
                 a, b = int(first[lo]), int(first[hi])
-                coded, at = encoder.encode(texts[a:b]) if b > a else (np.zeros(0, "<u4"), np.zeros(1, np.int64))
+                coded, at = encoder.encode(parted(texts[a:b], encoder)) if b > a else (np.zeros(0, "<u4"), np.zeros(1, np.int64))
                 bears = np.repeat(loss[a:b], np.diff(at))
                 ends = at[first[lo:hi + 1] - a]
                 for k in range(hi - lo):
                     x, y = int(ends[k]), int(ends[k + 1])
                     last = bool(loss[first[lo + k + 1] - 1]) if first[lo + k + 1] > first[lo + k] else True
-                    packer.add(Piece(docs[lo + k], 0, np.append(coded[x:y], end_id).astype("<u4"), np.append(bears[x:y], last), y - x + 1))
+                    ids, mask = np.empty(y - x + 1, "<u4"), np.empty(y - x + 1, bool)
+                    ids[:-1], ids[-1], mask[:-1], mask[-1] = coded[x:y], end_id, bears[x:y], last
+                    packer.add(Piece(docs[lo + k], 0, ids, mask, y - x + 1))
                     if len(found) >= FLUSH:
                         yield out()
         packer.finish()
