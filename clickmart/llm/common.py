@@ -4,7 +4,6 @@ from __future__ import annotations
 
 import contextlib
 import sys
-import tempfile
 import types
 import uuid
 from collections.abc import Iterator
@@ -14,6 +13,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from clickmart.sinks import files
+from clickmart.sinks.tables import scratch_root
 
 #: A word: a run of characters other than ASCII white space (RE2 and Java syntax).
 WORD = r"[^\x20\x09-\x0D]+"
@@ -33,13 +33,9 @@ def read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder that the cluster shares (``spark.checkpoint.dir``); one of its
-    own only where the session names none, as in tests."""
-    root = spark.conf.get("spark.checkpoint.dir", None)
-    if not root:
-        root = tempfile.mkdtemp(prefix="clickmart-llm-")
-        spark.conf.set("spark.checkpoint.dir", root)
-    return root.rstrip("/")
+    """The folder that the cluster shares (``spark.checkpoint.dir``); a temporary
+    one only where none is named and all of Spark is one machine, as in tests."""
+    return scratch_root(spark)
 
 
 def scratch(spark: SparkSession, name: str) -> str:
