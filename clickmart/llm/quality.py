@@ -68,25 +68,23 @@ def _repeated_words(hashes: Column, ordered: Column) -> Column:
     return F.when(none, F.lit(0).cast("bigint")).otherwise(let(starts, covered))
 
 
-def _fixed(df: DataFrame, **columns: Column) -> DataFrame:
-    """``df`` with ``columns``, computed once a row and here: a row of a generator.
-    Filters, joins and further columns on them do not take their expressions along."""
-    return df.select("*", F.inline(F.array(F.struct(*[c.alias(n) for n, c in columns.items()]))))
-
-
 def base_counts(docs: DataFrame) -> DataFrame:
     """``docs`` plus n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words,
-    base_failed; ``__sparse`` is what the classes are counted in.  NULL text has
-    no words."""
+    base_failed; ``__words`` has the words.  NULL text has none."""
     text = F.coalesce(F.col("text"), F.lit(""))
     lines = F.filter(F.split(text, "\n"), lambda x: x.rlike(WORD))
-    rows = _fixed(docs, __words=F.array_remove(F.split(text, GAP), ""), __sparse=_sparse(text))
-    rows = _fixed(
-        rows, n_words=F.size("__words").cast("bigint"), word_chars=F.char_length(F.array_join("__words", "")).cast("bigint"),
-        n_symbols=_chars(F.col("__sparse"), SYMBOLS), n_dup_lines=let(lines, lambda x: F.size(x) - F.size(F.array_distinct(x))).cast("bigint"),
-        __windows=_window_hashes(F.col("__words"))).drop("__words")
-    rows = _fixed(rows, n_repeat_words=_repeated_words(F.col("__windows"), F.sort_array("__windows"))).drop("__windows")
-    return rows.withColumn("base_failed", (F.col("n_words") < MIN_WORDS) | (100 * F.col("n_repeat_words") > MAX_REPEAT_PERCENT * F.col("n_words")))
+    return (
+        docs.withColumn("__words", F.array_remove(F.split(text, GAP), ""))
+        .withColumn("n_words", F.size("__words").cast("bigint"))
+        .withColumn("word_chars", F.char_length(F.array_join("__words", "")).cast("bigint"))
+        .withColumn("__sparse", _sparse(text))
+        .withColumn("n_symbols", _chars(F.col("__sparse"), SYMBOLS))
+        .withColumn("n_dup_lines", let(lines, lambda x: F.size(x) - F.size(F.array_distinct(x))).cast("bigint"))
+        .withColumn("__windows", _window_hashes(F.col("__words")))
+        .withColumn("__ordered", F.sort_array("__windows"))
+        .withColumn("n_repeat_words", _repeated_words(F.col("__windows"), F.col("__ordered")))
+        .withColumn("base_failed", (F.col("n_words") < MIN_WORDS) | (100 * F.col("n_repeat_words") > MAX_REPEAT_PERCENT * F.col("n_words")))
+    )
 
 
 def _sparse(text: Column) -> Column:
@@ -163,6 +161,9 @@ def quality(docs: DataFrame, max_class_distance: float = MAX_CLASS_DISTANCE, max
     is empty, fails the base rules and is not kept; rows are judged one by one,
     so repeated rows get the same verdict; an empty table gives no rows.
     Columns of ``docs`` whose names are those of the result are replaced.
+
+    Write the result, or stage it, before filtering or joining on its columns:
+    Spark moves such a filter below the counts and computes them many times.
     """
     out = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "class_distance", "word_distance", "kept")
     docs = docs.drop(*out)
@@ -172,9 +173,7 @@ def quality(docs: DataFrame, max_class_distance: float = MAX_CLASS_DISTANCE, max
     pooled = pooled.select([F.col(c).alias(f"all_{c}") for c in pooled.columns])
     # A row per language, of fixed width: languages are few hundred at most.
     table = F.broadcast(known)
-    blanks = F.char_length(F.coalesce(F.col("text"), F.lit(""))) - F.col("word_chars")
-    rows = base_counts(docs)
-    rows = rows.select("*", *_class_counts(blanks)).drop("__sparse")
+    rows = base_counts(docs).select("*", *_class_counts(F.char_length(F.coalesce(F.col("text"), F.lit(""))) - F.col("word_chars")), _letter_words().alias("__letters"))
     rows = rows.join(table, F.col("lang") == F.col("ref_lang"), "left").join(F.broadcast(pooled), F.lit(True), "left")
     ref = lambda c: F.coalesce(F.col(c), F.col(f"all_{c}"))
 
@@ -184,17 +183,17 @@ def quality(docs: DataFrame, max_class_distance: float = MAX_CLASS_DISTANCE, max
     own = F.transform(F.array(*[F.col(f"__{n}") for n in CLASSES], rest), lambda c: c / F.col("__chars"))
     class_distance = F.when(F.col("__chars") >= MIN_CHARS, _js(own, ref("ref_classes")))
 
-    def words(hits: Column, n: Column) -> Column:
+    def words(hits: Column) -> Column:
+        n = F.size("__letters")
         found = F.transform(ref("ref_words"), lambda w: F.size(hits) - F.size(F.array_remove(hits, w)))
         with_rest = lambda x: F.concat(x, F.array(F.greatest(F.lit(0.0), 1 - F.aggregate(x, F.lit(0.0), lambda a, b: a + b))))
         return _js(let(F.transform(found, lambda c: c / n), with_rest), let(ref("ref_shares"), with_rest))
 
-    def by_letters(letters: Column) -> Column:
-        common = F.filter(letters, lambda w: F.length(w) <= COMMON_LENGTH)
-        return F.when(F.size(letters) >= MIN_LETTER_WORDS, let(common, lambda hits: words(hits, F.size(letters))))
-
-    word_distance = let(_letter_words(), by_letters)
+    common = F.filter("__letters", lambda w: F.length(w) <= COMMON_LENGTH)
+    word_distance = F.when(F.size("__letters") >= MIN_LETTER_WORDS, let(common, words))
     far = lambda c, most: F.coalesce(F.col(c) > most, F.lit(False))
     kept = ~F.col("base_failed") & ~far("class_distance", max_class_distance) & ~far("word_distance", max_word_distance)
-    rows = _fixed(rows, class_distance=F.round(class_distance, 6), word_distance=F.round(word_distance, 6))
-    return rows.withColumn("kept", kept).select(*docs.columns, *out)
+    return (
+        rows.withColumn("class_distance", F.round(class_distance, 6)).withColumn("word_distance", F.round(word_distance, 6))
+        .withColumn("kept", kept).select(*docs.columns, *out)
+    )
