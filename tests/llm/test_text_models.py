@@ -52,7 +52,7 @@ def test_spans_point_into_the_whole_text():
 def test_decontamination_edge_rows(spark):
     items = spark.createDataFrame([(1, "A passage, of the benchmark; it is long enough."), (2, None), (None, "x" * 40), (3, "short"), (4, "")],
                                   "item_id bigint, text string")
-    rows = [(1, "before a PASSAGE of the benchmark it is long enough after", "m"), (2, None, "m"), (3, "", "m"), (4, "clean short text", "m"),
+    rows = [(1, "before a PASSAGE of the benchmark it is long enough after", "m"), (2, None, "m"), (3, "", "m"), (4, "clean shorter text", "m"),
             (1, "before a PASSAGE of the benchmark it is long enough after", "m"), (None, "a passage of the benchmrk it is long enough", "m"), (5, "-" * 5000, "m")]
     docs = spark.createDataFrame(rows, "doc_id bigint, text string, matches string")
     kept = decontaminate.decontaminate(docs, items)
