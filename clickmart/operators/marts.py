@@ -269,23 +269,13 @@ def page_metrics_full(ev: DataFrame) -> DataFrame:
     declares (M2 time on page, M3 landing bounce rate, M4 conversion rate),
     each per (batch, page); NULL where a page has no such sessions.
 
-    The four parts are unioned as per-(batch, page) contribution rows and
-    summed in one aggregation, instead of three joins of their results.
+    All of them come from one scan (see :func:`clickmart.operators.sessions.page_sums`).
     """
-    from clickmart.operators.sessions import page_contributions
-
-    figures = ["views", "visitors", "timed_views", "span", "landing", "bounced", "viewed_sessions", "converted"]
-    keys = ["batch_id", "page_url"]
-    per_visitor = ev.filter(_is(PAGE_VIEW)).groupBy(*keys, "user_id").agg(F.count(F.lit(1)).alias("views"))
-    parts = [per_visitor.select(*keys, "views", F.lit(1).cast("bigint").alias("visitors"))]
-    parts += page_contributions(ev, by_batch=True)
-    union = None
-    for part in parts:
-        part = part.select(*keys, *[(F.col(f) if f in part.columns else F.lit(0)).cast("bigint").alias(f) for f in figures])
-        union = part if union is None else union.unionByName(part)
-    sums = union.groupBy(*keys).agg(*[F.sum(f).alias(f) for f in figures]).filter(F.col("views") > 0)
+    from clickmart.operators.sessions import page_sums
+
+    sums = page_sums(ev).filter(F.col("views") > 0)
     return sums.select(
-        *keys,
+        "batch_id", "page_url",
         F.col("views").alias("view_count"),
         F.col("visitors").alias("unique_visitors"),
         floor_seconds("span", "timed_views").alias("avg_time_on_page"),

@@ -20,13 +20,15 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from clickmart.functions import epoch_micros, floor_div, floor_seconds, idiv, micros_between, pct2
 from clickmart.schema import ADD_TO_CART, FUNNEL_STAGES, PAGE_VIEW, PURCHASE
 
 HOUR_MICROS = 3_600_000_000
+FINE_MICROS = 60_000_000  # a minute: events of one session that meet in one task
+SALTS = 16                # groups of pages of one session
 # Order of events inside a session when no event id exists.
 SESSION_ORDER = ("timestamp", "event_type", "page_url")
 
@@ -212,25 +214,96 @@ def page_conversion_rate(ev: DataFrame, by_batch: bool = False) -> DataFrame:
     ).withColumn("conversion_rate", pct2("converted_sessions", "sessions"))
 
 
-def page_contributions(ev: DataFrame, by_batch: bool = True) -> list[DataFrame]:
-    """M2-M4 as per-(grain, page) partial sums, ready to be unioned and summed:
-    ``timed_views``/``span`` (time to the next event after a PAGE_VIEW),
-    ``landing``/``bounced`` (sessions landing on the page, one-event ones),
-    ``viewed_sessions``/``converted`` (sessions viewing it, those with a
-    PURCHASE).  The ratios of the sums are M2, M3 and M4."""
-    g = _grain(by_batch)
-    t = _timed(ev)
-    nxt = with_next_time(t.select(*g, "session_id", *SESSION_ORDER), [*g, "session_id"], out="_next")
-    timed = nxt.filter((F.col("event_type") == PAGE_VIEW) & F.col("_next").isNotNull()).groupBy(*g, "page_url").agg(
-        F.count(F.lit(1)).alias("timed_views"), F.sum(micros_between("timestamp", "_next")).alias("span"))
-    first = F.min(F.struct(*[F.col(c) for c in SESSION_ORDER]))
-    landing = t.groupBy(*g, "session_id").agg(F.count(F.lit(1)).alias("_n"), first.getField("page_url").alias("page_url")) \
-        .groupBy(*g, "page_url").agg(F.count(F.lit(1)).alias("landing"), F.count_if(F.col("_n") == 1).alias("bounced"))
-    bought = t.groupBy(*g, "session_id").agg(F.max(F.when(F.col("event_type") == PURCHASE, 1).otherwise(0)).alias("_b"))
-    viewed = t.filter(F.col("event_type") == PAGE_VIEW).select(*g, "session_id", "page_url").distinct()
-    conv = viewed.join(bought, [*g, "session_id"], "inner").groupBy(*g, "page_url").agg(
-        F.count(F.lit(1)).alias("viewed_sessions"), F.sum("_b").alias("converted"))
-    return [timed, landing, conv]
+def page_sums(ev: DataFrame) -> DataFrame:
+    """D3 with M2-M4 as sums per (batch, page), from one scan and without joins.
+
+    ``views``/``visitors`` count all PAGE_VIEW rows, also those without a session
+    or a time; ``timed_views``/``span`` the views with a next event and the
+    microseconds to it; ``landing``/``bounced`` the sessions that begin on the
+    page and those of one event; ``viewed_sessions``/``converted`` the sessions
+    that view it and those of them with a PURCHASE.
+
+    Plan: events meet once per (session, minute), where each learns the next
+    one's time, and are summed per page there.  What is left goes to the session
+    as two kinds of rows: the first and last event of each minute, whose window
+    patches the seams between minutes, and the page rows, which are spread over
+    ``SALTS`` groups so that a session of very many pages is not one task.  A
+    purchase is told to each of those groups.  Rows outside sessions only pass
+    through, spread by page and user.
+    """
+    g, ts = ["batch_id"], "timestamp"
+    micros = lambda a, b: micros_between(a, b, ev.schema[ts].dataType)
+    view, buy = F.col("event_type").eqNullSafe(PAGE_VIEW), F.col("event_type").eqNullSafe(PURCHASE)
+    spread = F.xxhash64("page_url", "user_id")
+    timed = F.col("session_id").isNotNull() & F.col(ts).isNotNull()
+    d = ev.select(*g, "session_id", "user_id", *SESSION_ORDER, timed.alias("_timed"))
+    d = _with_bucket(d, ts, FINE_MICROS).withColumn(_B, F.when(F.col("_timed"), F.col(_B)).otherwise(spread))
+
+    minute = [*g, "session_id", "_timed", _B]
+    order = Window.partitionBy(*minute).orderBy(*SESSION_ORDER, "user_id")
+    d = d.withColumn("_next", F.lead(ts).over(order)).withColumn("_k", F.row_number().over(order))
+    d = d.withColumn("_last", F.lead(F.lit(1)).over(order).isNull())
+    followed = F.col("_timed") & view & ~F.col("_last")
+    pages = d.groupBy(*minute, "page_url", "user_id").agg(
+        F.count(F.lit(1)).alias("_n"),
+        F.count_if(view).alias("views"),
+        F.max(buy).alias("_buy"),
+        F.count_if(followed).alias("timed_views"),
+        F.sum(F.when(followed, micros(ts, "_next"))).alias("span"),
+        F.min(ts).alias("_from"),
+        F.max(F.col("_k") == 1).alias("_first"),
+        F.max("_last").alias("_last"),
+        F.max(F.when(F.col("_last") & view, F.col(ts))).alias("_open"),  # a view whose next event is in a later minute
+    )
+
+    carried = ["page_url", "user_id", "_n", "views", "timed_views", "span", "_from", "_first", "_last", "_open"]
+
+    def row(salt: Column, kind: str, keep: set[str]) -> Column:
+        return F.struct(salt.cast("bigint").alias("_salt"), F.lit(kind).alias("_kind"), *[
+            (F.col(c) if c in keep else F.lit(None).cast(pages.schema[c].dataType)).alias(c) for c in carried])
+
+    by_page = F.when(F.col("_timed"), F.pmod(F.xxhash64("page_url"), F.lit(SALTS))).otherwise(spread)
+    page = F.when(F.col("views") > 0, F.array(row(by_page, "page", {"page_url", "user_id", "views", "timed_views", "span"})))
+    seam = F.when(F.col("_timed") & (F.col("_first") | F.col("_last")),
+                  F.array(row(F.lit(-1), "seam", {"page_url", "user_id", "_n", "_from", "_first", "_last", "_open"})))
+    told = F.when(F.col("_timed") & F.col("_buy"), F.array(*[row(F.lit(k), "buy", set()) for k in range(SALTS)]))
+    empty = F.array().cast(f"array<{_struct_ddl(pages, carried)}>")
+    rows = pages.select(*minute, F.inline(F.concat(*[F.coalesce(x, empty) for x in (page, seam, told)])))
+
+    group = [*g, "session_id", "_timed", "_salt"]
+    along = Window.partitionBy(*group).orderBy(_B, "_last")  # the first row of a minute, then its last
+    bought = F.max(F.col("_kind") == "buy").over(along.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing))
+    rows = (
+        rows.withColumn("_then", F.lead("_from").over(along))
+        .withColumn("_opens", F.lag("_kind").over(along).isNull())
+        .withColumn("_bought", bought)
+    )
+    is_seam = F.col("_kind") == "seam"
+    starts = is_seam & F.col("_first") & F.col("_opens")
+    patched = is_seam & F.col("_open").isNotNull() & F.col("_then").isNotNull()
+    alone = starts & F.col("_last") & (F.col("_n") == 1) & F.col("_then").isNull()
+    sums = rows.filter(F.col("_kind") != "buy").groupBy(*group, "page_url", "user_id").agg(
+        F.sum("views").alias("views"),
+        (F.coalesce(F.sum("timed_views"), F.lit(0)) + F.count_if(patched)).alias("timed_views"),
+        (F.coalesce(F.sum("span"), F.lit(0)) + F.coalesce(F.sum(F.when(patched, micros("_open", "_then"))), F.lit(0))).alias("span"),
+        F.count_if(starts).alias("landing"),
+        F.count_if(alone).alias("bounced"),
+        F.max(F.col("_timed") & (F.col("_kind") == "page")).alias("_viewed"),
+        F.max("_bought").alias("_bought"),
+    )
+    # A session of several users counts once for its page.
+    once = F.row_number().over(Window.partitionBy(*group, "page_url").orderBy("user_id")) == 1
+    sums = sums.withColumn("viewed_sessions", (once & F.col("_viewed")).cast("bigint"))
+    sums = sums.withColumn("converted", F.when(F.col("_bought"), F.col("viewed_sessions")).otherwise(F.lit(0).cast("bigint")))
+    figures = ["views", "timed_views", "span", "landing", "bounced", "viewed_sessions", "converted"]
+    per_user = sums.groupBy(*g, "page_url", "user_id").agg(*[F.sum(c).alias(c) for c in figures])
+    return per_user.groupBy(*g, "page_url").agg(
+        *[F.sum(c).alias(c) for c in figures], F.count_if(F.col("views") > 0).alias("visitors"))
+
+
+def _struct_ddl(df: DataFrame, columns: Sequence[str]) -> str:
+    fields = ["_salt:bigint", "_kind:string", *[f"{c}:{df.schema[c].dataType.simpleString()}" for c in columns]]
+    return f"struct<{','.join(fields)}>"
 
 
 def session_funnel(ev: DataFrame) -> DataFrame:
@@ -239,32 +312,34 @@ def session_funnel(ev: DataFrame) -> DataFrame:
     Page Views: the session has a PAGE_VIEW.  Add to Cart: an ADD_TO_CART at
     or after its first PAGE_VIEW.  Purchases: a PURCHASE at or after such an
     ADD_TO_CART.  Stage counts are therefore non-increasing.
+
+    Plan: per (session, minute) six flags say which of V, A, P and of the ordered
+    sequences VA, AP, VAP occur in it.  They add up along the minutes: a sequence
+    is complete in a minute, or its head in an earlier one and its tail in this.
+    Events meet per minute only and are never joined; the window over a session
+    runs over its minutes.
     """
-    t = _timed(ev).select("session_id", "event_type", "timestamp")
-    ts, et = F.col("timestamp"), F.col("event_type")
-    s = t.groupBy("session_id").agg(
-        F.min(F.when(et == PAGE_VIEW, ts)).alias("_v"),
-        F.max(F.when(et == ADD_TO_CART, ts)).alias("_amax"),
-        F.max(F.when(et == PURCHASE, ts)).alias("_pmax"),
-    ).filter(F.col("_v").isNotNull())
-    # Purchase stage: some cart event lies in [first view, last purchase].
-    carts = t.filter(et == ADD_TO_CART).select("session_id", ts.alias("_a"))
-    reached3 = (
-        carts.join(s.filter(F.col("_pmax") >= F.col("_v")), "session_id", "inner")
-        .filter((F.col("_a") >= F.col("_v")) & (F.col("_a") <= F.col("_pmax")))
-        .groupBy("session_id").agg(F.lit(1).alias("_f3"))
-    )
-    flags = s.join(reached3, "session_id", "left").select(
-        F.lit(1).alias("_f1"),
-        F.when(F.col("_amax") >= F.col("_v"), 1).otherwise(0).alias("_f2"),
-        F.coalesce("_f3", F.lit(0)).alias("_f3"),
-    )
-    totals = flags.agg(*[F.sum(f"_f{i}").alias(f"_s{i}") for i in (1, 2, 3)])
-    rows = totals.select(
+    et = F.col("event_type")
+    stages = {"_v": PAGE_VIEW, "_a": ADD_TO_CART, "_p": PURCHASE}
+    t = _with_bucket(_timed(ev).filter(et.isin(*stages.values())), "timestamp", FINE_MICROS)
+    t = t.select("session_id", _B, "timestamp", *[(et == kind).alias(c) for c, kind in stages.items()])
+    up_to = Window.partitionBy("session_id", _B).orderBy("timestamp").rangeBetween(Window.unboundedPreceding, Window.currentRow)
+    seen = lambda c: F.max(c).over(up_to)
+    t = t.withColumn("_va", F.col("_a") & seen("_v")).withColumn("_ap", F.col("_p") & seen("_a"))
+    t = t.withColumn("_vap", F.col("_p") & seen("_va"))
+    flags = ("_v", "_a", "_p", "_va", "_ap", "_vap")
+    minutes = t.groupBy("session_id", _B).agg(*[F.max(c).alias(c) for c in flags])
+
+    earlier = Window.partitionBy("session_id").orderBy(_B).rowsBetween(Window.unboundedPreceding, -1)
+    before = lambda c: F.coalesce(F.max(c).over(earlier), F.lit(False))
+    minutes = minutes.withColumn("_bv", before("_v"))
+    minutes = minutes.withColumn("_two", F.col("_va") | (F.col("_bv") & F.col("_a")))
+    minutes = minutes.withColumn("_three", F.col("_vap") | (F.col("_bv") & F.col("_ap")) | (before("_two") & F.col("_p")))
+    reached = minutes.groupBy("session_id").agg(*[F.max(c).alias(f"_f{i}") for i, c in enumerate(("_v", "_two", "_three"), start=1)])
+    totals = reached.agg(*[F.count_if(f"_f{i}").alias(f"_s{i}") for i in (1, 2, 3)])
+    return totals.select(
         F.inline(F.array(*[
-            F.struct(F.lit(label).alias("stage"), F.lit(i).cast("bigint").alias("stage_order"),
-                     F.coalesce(F.col(f"_s{i}"), F.lit(0)).cast("bigint").alias("sessions"))
+            F.struct(F.lit(label).alias("stage"), F.lit(i).cast("bigint").alias("stage_order"), F.col(f"_s{i}").alias("sessions"))
             for i, (label, _) in enumerate(FUNNEL_STAGES, start=1)
         ]))
     )
-    return rows

@@ -23,7 +23,7 @@ NOTES = {
     "sessionize": "bucket summary + window over summary rows + roll-up; events never shuffled as rows",
     "session_windows": "Spark session_window: sorts a user's events in one task (stream form; batch uses sessionize)",
     "avg_time_on_page": "window on (session, bucket); seams joined on (session, bucket): rows shuffled once",
-    "session_funnel": "per-session aggregate joined with cart rows (AQE skew join splits a hot session)",
+    "session_funnel": "flags per (session, minute), folded along the minutes; no join",
     "device_by_segment": "per-user segments joined with distinct (user, device) pairs",
     "retention_cohort": "window over distinct (user, day) rows only",
     "error_rate_alert": "one scan with pushed filter; RANGE window over the per-window table (bounded by time span)",

@@ -76,6 +76,19 @@ def test_sessionize_sorts_no_rows_per_user(spark):
     assert re.search(r"hashpartitioning\(user_id#\d+L?, _tb#\d+L?", text)
 
 
+def test_page_row_and_funnel_scan_once_and_join_nothing(spark):
+    ev = spark.read.schema(fx.EVENTS_SCHEMA).parquet(f"{SMOKE}/events.parquet").select(
+        F.col("user_id").cast("string").alias("user_id"), F.col("user_id").cast("string").alias("session_id"), "event_type",
+        F.lit("/").alias("page_url"), F.col("ts").alias("timestamp"), F.lit(0).cast("bigint").alias("batch_id"))
+    for df, shuffles in ((marts.page_metrics_full(ev), 4), (sessions.session_funnel(ev), 3)):
+        text = plan(df)
+        assert scans(text) == 1 and "Join" not in text and "SortAggregate" not in text and "Union" not in text
+        assert len(re.findall(r"^\(\d+\) Exchange", text, flags=re.M)) == shuffles
+        # No window over events has a bare session: rows meet per minute, then as minutes' rows.
+        first = re.search(r"^\(\d+\) Exchange\n.*\nArguments: hashpartitioning\(([^)]*)", text, flags=re.M).group(1)
+        assert "session_id" in first and "_tb" in first
+
+
 def test_alert_scans_events_once(spark):
     ev = fx.driver_events(spark, SMOKE)
     text = plan(windows.error_rate_alert(ev, F.col("event_type") == "error", 21600, 0.0009, 2))

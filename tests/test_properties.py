@@ -47,6 +47,50 @@ def _brute_sessions(rows, gap):
     return out
 
 
+def _page_rows(e):
+    """The stored page row from the four operators of its own, joined."""
+    keys = ["batch_id", "page_url"]
+    parts = [sessions.avg_time_on_page(e, True).select(*keys, "avg_time_on_page"),
+             sessions.page_bounce_rate(e, True).select(*keys, "bounce_rate"),
+             sessions.page_conversion_rate(e, True).select(*keys, "conversion_rate")]
+    out = marts.page_metrics(e)
+    for part in parts:
+        same = F.lit(True)
+        part = part.select(*[F.col(c).alias(f"r_{c}") if c in keys else F.col(c) for c in part.columns])
+        for k in keys:
+            same &= F.col(k).eqNullSafe(F.col(f"r_{k}"))
+        out = out.join(part, same, "left").drop("r_batch_id", "r_page_url")
+    return out
+
+
+def _rows(df):
+    return sorted((tuple(r) for r in df.collect()), key=repr)
+
+
+@SETTINGS
+@given(rows=st.lists(
+    st.tuples(st.sampled_from(["u1", "u2", None]), st.one_of(st.none(), st.integers(0, 200)), st.sampled_from([*TYPES, None]),
+              st.sampled_from(["/a", "/b", "/c", None]), st.sampled_from(["s1", "s2", None]), st.sampled_from([0, 1])),
+    min_size=1, max_size=40))
+def test_page_row_of_one_scan_equals_its_four_operators(spark, rows):
+    data = [(u, t, None if s is None else BASE + dt.timedelta(seconds=s), sess, p, b) for u, s, t, p, sess, b in rows]
+    e = spark.createDataFrame(data * 2, "user_id string, event_type string, timestamp timestamp_ntz, session_id string, page_url string, batch_id bigint")
+    assert _rows(marts.page_metrics_full(e)) == _rows(_page_rows(e))
+
+
+def test_page_row_and_funnel_of_a_hot_session_in_one_hour(spark):
+    n = 20_000  # most rows are one session's, of many pages, in one hour; ties on purpose
+    e = spark.range(n).select(
+        F.lit("u").alias("user_id"), F.element_at(F.array(*map(F.lit, TYPES)), (F.col("id") % 4 + 1).cast("int")).alias("event_type"),
+        F.timestamp_add("SECOND", (F.col("id") % 3600).cast("int"), ntz_lit(BASE)).alias("timestamp"), F.lit("hot").alias("session_id"),
+        F.concat(F.lit("/"), (F.col("id") % 997).cast("string")).alias("page_url"), F.lit(0).cast("bigint").alias("batch_id"))
+    alone = e.limit(1).withColumn("session_id", F.lit("alone"))
+    e = e.unionByName(alone).unionByName(e.limit(50).withColumn("session_id", F.lit(None).cast("string")))
+    assert _rows(marts.page_metrics_full(e)) == _rows(_page_rows(e))
+    assert [r.sessions for r in sessions.session_funnel(e).collect()] == [2, 1, 1]
+    assert [r.sessions for r in sessions.session_funnel(e.limit(0)).collect()] == [0, 0, 0]
+
+
 @SETTINGS
 @given(rows=events_strategy, gap=st.sampled_from([60, 900, 1800, 7200]))
 def test_sessionize_matches_brute_force(spark, rows, gap):
