@@ -240,7 +240,7 @@ def page_sums(ev: DataFrame) -> DataFrame:
     d = _with_bucket(d, ts, FINE_MICROS).withColumn(_B, F.when(F.col("_timed"), F.col(_B)).otherwise(spread))
 
     minute = [*g, "session_id", "_timed", _B]
-    order = Window.partitionBy(*minute).orderBy(*SESSION_ORDER, "user_id")
+    order = Window.partitionBy(*minute).orderBy(*SESSION_ORDER)
     d = d.withColumn("_next", F.lead(ts).over(order)).withColumn("_k", F.row_number().over(order))
     d = d.withColumn("_last", F.lead(F.lit(1)).over(order).isNull())
     followed = F.col("_timed") & view & ~F.col("_last")
@@ -266,7 +266,7 @@ def page_sums(ev: DataFrame) -> DataFrame:
     page = F.when(F.col("views") > 0, F.array(row(by_page, "page", {"page_url", "user_id", "views", "timed_views", "span"})))
     seam = F.when(F.col("_timed") & (F.col("_first") | F.col("_last")),
                   F.array(row(F.lit(-1), "seam", {"page_url", "user_id", "_n", "_from", "_first", "_last", "_open"})))
-    told = F.when(F.col("_timed") & F.col("_buy"), F.array(*[row(F.lit(k), "buy", set()) for k in range(SALTS)]))
+    told = F.when(F.col("_timed") & F.col("_buy"), F.transform(F.sequence(F.lit(0), F.lit(SALTS - 1)), lambda k: row(k, "buy", set())))
     empty = F.array().cast(f"array<{_struct_ddl(pages, carried)}>")
     rows = pages.select(*minute, F.inline(F.concat(*[F.coalesce(x, empty) for x in (page, seam, told)])))
 
