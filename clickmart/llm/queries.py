@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from clickmart.llm import decontaminate, jaccard, language, mixing, oracle, packing, quality, spelling, suffixes, surrogates, token_planes, toxicity, trie, windows
-from clickmart.llm.common import crc, read
+from clickmart.llm.common import crc, read, stage
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -58,7 +58,8 @@ def op8_token_planes(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op9_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     judged = quality.quality(read(spark, sf_dir, "documents"))
-    return judged.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept")
+    judged = judged.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept")
+    return stage(judged, "quality-judged")  # a written table of eight narrow columns, so filters and joins on it stay cheap
 
 
 def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -4,6 +4,7 @@ import contextlib
 import io
 import random
 import re
+import time
 import unicodedata
 
 import pytest
@@ -188,6 +189,22 @@ def test_quality_labels(spark):
     assert share[1][0] >= 0.99 * share[1][1] and share[0][0] <= 0.05 * share[0][1]
 
 
+def test_quality_runs_no_python(spark):  # the query returns a written table, so its own plan would not show it
+    buf = io.StringIO()
+    with contextlib.redirect_stdout(buf):
+        quality.quality(read(spark, SMOKE, "documents")).explain("formatted")
+    assert not re.search("Python|Pandas|Arrow", buf.getvalue())
+
+
+def test_quality_query_can_be_filtered_joined_and_grouped(spark, sf_dir):
+    judged = queries.op9_quality_rules(spark, sf_dir)
+    began = time.time()
+    kept = judged.filter("not base_failed and n_repeat_words >= 0 and kept").join(read(spark, sf_dir, "labels"), "doc_id")
+    shares = kept.groupBy("quality").count().collect()
+    assert time.time() - began < 30 and sum(r["count"] for r in shares) > 0
+    assert judged.count() == read(spark, sf_dir, "documents").count()
+
+
 def test_quality_edge_rows(spark):
     plain = "the cat sat on the mat and looked at the small bird in the tree " * 2
     rows = [(k, " ".join(random.Random(k).sample(plain.split() * 4, 100)), "en", "m") for k in range(20)]
