@@ -17,6 +17,7 @@ import pickle
 import re
 from collections import Counter
 from functools import cached_property
+from itertools import repeat
 
 import numpy as np
 from pyspark import cloudpickle
@@ -33,6 +34,7 @@ COMMON = 0.08             # share of examples that have a term of the matrix, at
 SLICE = 64                # documents a matrix product
 DAMPING = 0.3             # votes of the prior, in cosines
 # -----------------------------------------------------------------------------
+ENTRY = np.dtype([("example", np.int32), ("weight", np.float32)])  # of a posting list
 TOKEN = re.compile(r"[^\W_]+")
 EVIDENCE = "array<struct<doc_id: bigint, cosine: double, label: int>>"
 
@@ -64,7 +66,7 @@ def _document_frequencies(docs: DataFrame, terms: list[str]) -> tuple[int, np.nd
         for batch in batches:
             for text in batch["text"].to_pylist():
                 total += 1
-                hit = set(map(known.get, terms_of(text)))
+                hit = set(map(known.get, set(terms_of(text))))  # the large dict is asked once a distinct term
                 hit.discard(None)
                 found[np.fromiter(hit, np.int64, len(hit))] += 1
         ids = np.flatnonzero(found)
@@ -78,11 +80,6 @@ def _document_frequencies(docs: DataFrame, terms: list[str]) -> tuple[int, np.nd
     return int(n[ids < 0].sum()), df
 
 
-def _ranges(start: np.ndarray, size: np.ndarray) -> np.ndarray:
-    """The numbers from each start on, so many as its size, one after another."""
-    return np.repeat((start - np.cumsum(size) + size).astype(np.int32), size) + np.arange(size.sum(), dtype=np.int32)
-
-
 class Index:
     """Exact nearest neighbours among unit vectors of the examples."""
 
@@ -101,9 +98,12 @@ class Index:
         self.matrix[self.column[self.term[dense]], example[dense]] = self.term_weight[dense]
         order = np.flatnonzero(~dense)
         order = order[np.argsort(self.term[order], kind="stable")]
-        self.example, self.weight = example[order], self.term_weight[order]
+        # Narrow, and both in one place, since the lists are read from memory; the sums are of doubles.
+        pairs = np.empty(len(order), ENTRY)
+        pairs["example"], pairs["weight"] = example[order], self.term_weight[order]
+        self.lists = pairs.view(np.int64)
         self.start = np.searchsorted(self.term[order], np.arange(n_terms + 1))
-        self.slack = 2 * (len(many) + 4) * 2.0 ** -23  # twice the rounding of the matrix product, at least
+        self.slack = 2 * (len(many) + 5) * 2.0 ** -23  # twice the rounding of the matrix product and the lists, at least
         self.asked = np.zeros(n_terms)
 
     def nearest(self, ids: np.ndarray, weights: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
@@ -124,16 +124,22 @@ class Index:
         return found
 
     def _best(self, ids: np.ndarray, weights: np.ndarray, near: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
-        size = self.start[ids + 1] - self.start[ids]
-        p = _ranges(self.start[ids], size)
-        near = near + np.bincount(self.example[p], self.weight[p] * np.repeat(weights, size), self.n)
+        start, end = self.start[ids], self.start[ids + 1]
+        some = np.flatnonzero(end > start)
+        if len(some):
+            start, end = start[some], end[some]
+            # A posting list lies in one piece: it is copied, not gathered.
+            met = np.concatenate([self.lists[a:b] for a, b in zip(start.tolist(), end.tolist(), strict=True)]).view(ENTRY)
+            near = near + np.bincount(met["example"], met["weight"] * np.repeat(weights[some], end - start), self.n)
         least = np.partition(near, self.n - k)[self.n - k] - self.slack if self.n > k else -1.0
         hit = np.flatnonzero(near >= least)
         # in double precision, term by term, so equal vectors get equal cosines
-        size = self.row[hit + 1] - self.row[hit]
-        p = _ranges(self.row[hit], size)
+        start, end = self.row[hit], self.row[hit + 1]
+        rows = list(zip(start.tolist(), end.tolist(), strict=True))
+        term = np.concatenate([self.term[:0], *(self.term[a:b] for a, b in rows)])
+        term_weight = np.concatenate([self.term_weight[:0], *(self.term_weight[a:b] for a, b in rows)])
         self.asked[ids] = weights
-        cosine = np.bincount(np.repeat(np.arange(len(hit)), size), self.term_weight[p] * self.asked[self.term[p]], len(hit))
+        cosine = np.bincount(np.repeat(np.arange(len(hit)), end - start), term_weight * self.asked[term], len(hit))
         self.asked[ids] = 0.0
         top = np.lexsort((hit, -cosine))[:k]
         top = top[cosine[top] > 0]
@@ -171,11 +177,12 @@ class Model:
 
     def vector(self, text: str | None) -> tuple[np.ndarray, np.ndarray]:
         """The unit vector of a text's terms, in the order of the terms."""
-        counts = Counter(map(self.ids.get, terms_of(text)))
-        counts.pop(None, None)
-        if not counts:
+        counts = Counter(terms_of(text))
+        ids = np.fromiter(map(self.ids.get, counts, repeat(-1)), np.int64, len(counts))  # the large dict is asked once a distinct term
+        known = ids >= 0
+        if not known.any():
             return np.zeros(0, np.int64), np.zeros(0)
-        return self._unit(np.fromiter(counts.keys(), np.int64, len(counts)), np.fromiter(counts.values(), np.int64, len(counts)))
+        return self._unit(ids[known], np.fromiter(counts.values(), np.int64, len(counts))[known])
 
     def score(self, text: str | None, k: int) -> tuple[float, list[dict]]:
         return self.scores([text], k)[0]

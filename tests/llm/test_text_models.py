@@ -190,6 +190,27 @@ def test_nearest_are_exact():
         assert np.allclose(want[near], cosine)
 
 
+def test_lists_and_rows_are_read_in_one_piece():
+    """Rare and common terms, examples without a list, vectors of unknown reach; an entry of a list is 8 bytes."""
+    rng = np.random.default_rng(8)
+    vectors = []
+    for k in range(400):
+        ids = np.unique(np.concatenate([rng.integers(0, 5, 2), rng.integers(5, 3000, rng.integers(0, 30))]))
+        w = rng.random(len(ids))
+        vectors.append((ids, w / np.sqrt((w * w).sum())))
+    index = toxicity.Index(vectors, 3000)
+    assert index.lists.nbytes == 8 * len(index.lists) and len(index.matrix) >= 5
+    dense = np.zeros((400, 3000))
+    for k, (ids, w) in enumerate(vectors):
+        dense[k, ids] = w
+    asked = [*vectors[::7], (np.array([3]), np.ones(1)), (np.zeros(0, np.int64), np.zeros(0))]
+    for (ids, w), (near, cosine) in zip(asked, index.nearest_of(asked, 25), strict=True):
+        want = dense[:, ids] @ w
+        order = np.lexsort((np.arange(400), -np.round(want, 12)))[:25]
+        assert np.allclose(cosine, want[order][want[order] > 0][:len(cosine)]) and np.allclose(want[near], cosine)
+        assert len(near) == min(25, (want > 0).sum())
+
+
 def test_toxic_documents_are_told_apart(spark):
     sf = "/root/testdata/sf0.1"
     docs, labels = read(spark, sf, "documents"), read(spark, sf, "labels")
